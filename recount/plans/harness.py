@@ -1024,7 +1024,7 @@ def harness_catalogs(spark: SparkSession, sf_dir: str, suites: dict[str, list[Re
             elif isinstance(s.source, Const):  # a constant: a table holding that many rows
                 dest[d] = (lambda: src.driver("region").filter(F.col("r_regionkey") < 2))
             else:
-                dest[d] = (lambda x=s.source: x.rows(src))
+                dest[d] = (lambda x=s.source: src.derive(x.rows))
         dests[suite] = MigratedCatalog(src, dest)
     return src, dests
 

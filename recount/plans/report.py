@@ -8,7 +8,6 @@ driver, and only in ``run_suite``/``write_report``/``show_report``.
 
 from __future__ import annotations
 
-import functools
 import logging
 from collections import defaultdict
 from collections.abc import Sequence
@@ -79,40 +78,76 @@ def with_verdict(counts: DataFrame, src: str = "Source Count", dst: str = "Desti
 # planning
 
 
-def _side_counts(spark: SparkSession, items: list[tuple[int, str, Side, Catalog]]) -> list[DataFrame]:
-    """One-row-per-(spec, side) count frames; scans of one table share one pass."""
-    frames: list[DataFrame] = []
-    consts: list[tuple[int, str, int]] = []
-    scans: dict[tuple[int, str], list[tuple[int, str, Scan]]] = defaultdict(list)
-    cats: dict[int, Catalog] = {}
-    for ord_, side_name, side, cat in items:
-        if isinstance(side, Const):
-            consts.append((ord_, side_name, int(side.value)))
-        elif isinstance(side, Scan):
-            cats[id(cat)] = cat
-            scans[(id(cat), side.table)].append((ord_, side_name, side))
-        elif isinstance(side, Extract):
-            plan = side.count(cat) if side.count is not None else row_count(side.rows(cat))
-            n = plan.columns[0]
-            frames.append(plan.select(F.lit(ord_).cast("bigint").alias("ord"), F.lit(side_name).alias("side"),
-                                      F.col(n).cast("bigint").alias("n")))
-        else:  # pragma: no cover
-            raise TypeError(side)
-    for (cat_id, table), members in scans.items():
-        df = cats[cat_id].table(table)
-        aggs = [
-            (F.count_if(s.predicate()) if s.where is not None else F.count(F.lit(1))).alias(f"c{i}")
-            for i, (_, _, s) in enumerate(members)
-        ]
-        fused = df.agg(*aggs)
-        rows = F.array(*[
-            F.struct(F.lit(o).cast("bigint").alias("ord"), F.lit(sn).alias("side"), F.col(f"c{i}").cast("bigint").alias("n"))
-            for i, (o, sn, _) in enumerate(members)
-        ])
-        frames.append(fused.select(F.explode(rows).alias("r")).select("r.*"))
-    if consts:
-        frames.append(spark.createDataFrame(consts, _COUNT_ROW))
-    return frames
+def _extract_count(ord_: int, side_name: str, side: Extract, cat: Catalog) -> DataFrame:
+    plan = side.count(cat) if side.count is not None else row_count(cat.derive(side.rows))
+    n = plan.columns[0]
+    return plan.select(F.lit(ord_).cast("bigint").alias("ord"), F.lit(side_name).alias("side"),
+                       F.col(n).cast("bigint").alias("n"))
+
+
+class _Plan:
+    """Count plans of a suite, built once per spec side: extracts as one-row aggregates,
+    scans grouped per (catalog, table) for fusion, constants as literal rows."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.frames: list[DataFrame] = []
+        self.consts: list[tuple[int, str, int]] = []
+        self.scans: dict[tuple[int, str], list[tuple[int, str, Scan]]] = defaultdict(list)
+        self.tables: dict[tuple[int, str], DataFrame] = {}
+
+    def add_spec(self, spec: ReconSpec, source: Catalog, dest: Catalog) -> None:
+        """Plan both sides of ``spec``; raises (and adds nothing) if either cannot be planned."""
+        staged_frames, staged_scans, staged_consts = [], [], []
+        for side_name, side, cat in ((SOURCE, spec.source, source), (DEST, spec.dest, dest)):
+            if isinstance(side, Const):
+                staged_consts.append((spec.ord, side_name, int(side.value)))
+            elif isinstance(side, Scan):
+                key = (id(cat), side.table)
+                if key not in self.tables:
+                    self.tables[key] = cat.table(side.table)
+                if side.where is not None:  # resolve the predicate now, so errors surface here
+                    self.tables[key].select(F.count_if(side.predicate()))
+                staged_scans.append((key, (spec.ord, side_name, side)))
+            elif isinstance(side, Extract):
+                staged_frames.append(_extract_count(spec.ord, side_name, side, cat))
+            else:  # pragma: no cover
+                raise TypeError(side)
+        self.frames.extend(staged_frames)
+        self.consts.extend(staged_consts)
+        for key, member in staged_scans:
+            self.scans[key].append(member)
+
+    def count_frames(self) -> list[DataFrame]:
+        """``ord, side, n`` frames covering every planned side."""
+        frames = list(self.frames)
+        for key, members in self.scans.items():
+            df = self.tables[key]
+            aggs = [
+                (F.count_if(s.predicate()) if s.where is not None else F.count(F.lit(1))).alias(f"c{i}")
+                for i, (_, _, s) in enumerate(members)
+            ]
+            rows = F.array(*[
+                F.struct(F.lit(o).cast("bigint").alias("ord"), F.lit(sn).alias("side"),
+                         F.col(f"c{i}").cast("bigint").alias("n"))
+                for i, (o, sn, _) in enumerate(members)
+            ])
+            # One pass over the table however many specs count it (fused count_if).
+            frames.append(df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*"))
+        if self.consts or not frames:
+            frames.append(self.spark.createDataFrame(self.consts, _COUNT_ROW))
+        return frames
+
+
+def union_all(spark: SparkSession, frames: Sequence[DataFrame]) -> DataFrame:
+    """UNION ALL of frames with the same columns, analysed once.
+
+    Chaining ``DataFrame.union`` re-checks the growing plan at every step (quadratic in the
+    number of specs); one SQL statement over the frames is analysed a single time."""
+    if len(frames) == 1:
+        return frames[0]
+    args = {f"f{i}": f for i, f in enumerate(frames)}
+    return spark.sql(" UNION ALL ".join(f"SELECT * FROM {{f{i}}}" for i in range(len(frames))), **args)
 
 
 def _labels(spark: SparkSession, specs: Sequence[ReconSpec]) -> DataFrame:
@@ -121,11 +156,6 @@ def _labels(spark: SparkSession, specs: Sequence[ReconSpec]) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
-def _check(spec: ReconSpec, source: Catalog, dest: Catalog) -> None:
-    """Build (analyse) both sides of one spec; raises on a missing table or column."""
-    _side_counts(source.spark, [(spec.ord, SOURCE, spec.source, source), (spec.ord, DEST, spec.dest, dest)])
-
-
 def suite_report(
     specs: Sequence[ReconSpec],
     source: Catalog,
@@ -141,34 +171,37 @@ def suite_report(
     """
     spark = source.spark
     specs = sorted(specs, key=lambda s: s.ord)
+    plan = _Plan(spark)
     good: list[ReconSpec] = []
     errors: dict[int, str] = {}
     for s in specs:
-        if on_error == "raise":
-            good.append(s)
-            continue
         try:
-            _check(s, source, dest)
+            plan.add_spec(s, source, dest)
             good.append(s)
         except Exception as e:  # analysis errors surface here, before any job runs
+            if on_error == "raise":
+                raise
             log.warning("spec %s %s -> %s cannot be planned: %s", s.ord, s.source_label, s.dest_label, e)
             if on_error == "stop":
                 break
             errors[s.ord] = _short(e)
-    items = [(s.ord, SOURCE, s.source, source) for s in good] + [(s.ord, DEST, s.dest, dest) for s in good]
-    frames = _side_counts(spark, items)
-    counts = (
-        functools.reduce(DataFrame.unionByName, frames)
-        if frames
-        else spark.createDataFrame([], _COUNT_ROW)
-    )
-    pivot = counts.groupBy("ord").agg(
-        F.max(F.when(F.col("side") == SOURCE, F.col("n"))).alias("Source Count"),
-        F.max(F.when(F.col("side") == DEST, F.col("n"))).alias("Destination Count"),
-    )
     kept = good + [s for s in specs if s.ord in errors]
-    labels = _labels(spark, kept)
-    report = with_verdict(labels.join(F.broadcast(pivot), "ord", "left"))
+    frames = plan.count_frames()
+    args = {f"f{i}": f for i, f in enumerate(frames)}
+    args["labels"] = _labels(spark, kept)
+    union = " UNION ALL ".join(f"SELECT ord, side, n FROM {{f{i}}}" for i in range(len(frames)))
+    # Union, pivot of the two sides and the label join in one statement: the plan of a suite
+    # is large, and every separate DataFrame step would analyse it again.
+    pairs = spark.sql(
+        "SELECT l.ord, l.suite, l.`Source Table`, l.`Destination Table`, "
+        "c.s AS `Source Count`, c.d AS `Destination Count` "
+        "FROM {labels} l LEFT JOIN ("
+        f"SELECT ord, max(CASE WHEN side = '{SOURCE}' THEN n END) AS s, max(CASE WHEN side = '{DEST}' THEN n END) AS d "
+        f"FROM ({union}) u GROUP BY ord) c ON l.ord = c.ord",
+        **args,
+    )
+    src_c, dst_c = F.col("Source Count"), F.col("Destination Count")
+    report = pairs.select("*", verdict(src_c, dst_c).alias("Result"), comment(src_c, dst_c).alias("Comments"))
     cols = ["ord", "suite", *REPORT_COLUMNS]
     if on_error == "isolate":
         err = _error_frame(spark, errors)
@@ -234,7 +267,7 @@ def run_all(suites: Sequence[tuple[Sequence[ReconSpec], Catalog, Catalog]], on_e
     The legacy tool runs four scripts by hand; here the four suites are one plan, so their
     scans run side by side on the cluster."""
     reports = [suite_report(specs, src, dst, on_error) for specs, src, dst in suites]
-    return functools.reduce(DataFrame.unionByName, reports)
+    return union_all(reports[0].sparkSession, reports)
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -19,6 +19,7 @@ class Catalog:
     def __init__(self, spark: SparkSession):
         self.spark = spark
         self._cache: dict[str, DataFrame] = {}
+        self._derived: dict[tuple, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
         df = self._cache.get(name)
@@ -29,6 +30,16 @@ class Catalog:
 
     __getitem__ = table
 
+    def derive(self, fn: Callable[["Catalog"], DataFrame]) -> DataFrame:
+        """``fn(self)``, built once per catalog: specs that read the same extract share one
+        DataFrame (and so one plan, whose exchanges Spark can reuse)."""
+        key = ("__derived__", fn)
+        df = self._derived.get(key)
+        if df is None:
+            df = fn(self)
+            self._derived[key] = df
+        return df
+
     def _load(self, name: str) -> DataFrame:  # pragma: no cover - abstract
         raise NotImplementedError
 
