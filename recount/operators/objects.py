@@ -3,8 +3,8 @@
 The legacy script lists one page of keys under a prefix and copies the objects one at a time
 through one process, holding each body in memory. Here:
 
-* ``list_objects`` lists every file under a root with Spark's ``binaryFile`` source, reading
-  no bodies (the ``content`` column is pruned away);
+* ``list_objects`` lists every object under a root, walking sub-folders in executor tasks
+  (empty objects included, which Spark's file scans would skip);
 * ``object_manifest`` turns any (key, content) frame into key, byte length and SHA-256, so
   source and target can be reconciled like tables (R1-R4 on objects);
 * ``copy_objects`` spreads the keys over many tasks with ``mapInPandas``; each task streams
@@ -21,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
 import uuid
 from collections.abc import Iterator
 
@@ -55,30 +54,99 @@ def _local(path: str) -> str:
     return path
 
 
-def list_objects(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
+LIST_SCHEMA = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("modified", T.TimestampType()),
+    ]
+)
+
+MANIFEST_SCHEMA = T.StructType(
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("length", T.LongType()),
+        T.StructField("sha256", T.StringType()),
+    ]
+)
+
+
+def _entries(path: str) -> tuple[list[tuple[str, int, float]], list[str]]:
+    """Files (path, size, mtime) and sub-folders directly under ``path``."""
+    files, dirs = [], []
+    if _is_local(path):
+        with os.scandir(_local(path)) as it:
+            for e in it:
+                if e.is_dir(follow_symlinks=False):
+                    dirs.append(e.path)
+                elif e.is_file(follow_symlinks=False):
+                    st = e.stat()
+                    files.append((e.path, st.st_size, st.st_mtime))
+        return files, dirs
+    fs, p = _fsspec(path)
+    for info in fs.ls(p, detail=True):
+        if info.get("type") == "directory":
+            dirs.append(info["name"])
+        else:
+            m = info.get("LastModified") or info.get("last_modified") or info.get("mtime")
+            files.append((info["name"], int(info.get("size") or 0), m.timestamp() if hasattr(m, "timestamp") else m))
+    return files, dirs
+
+
+def _walk(path: str) -> Iterator[tuple[str, int, float]]:
+    if _is_local(path):
+        for d, _, names in os.walk(_local(path)):
+            for n in names:
+                fp = os.path.join(d, n)
+                st = os.stat(fp)
+                yield fp, st.st_size, st.st_mtime
+        return
+    fs, p = _fsspec(path)
+    for name, info in fs.find(p, detail=True).items():
+        m = info.get("LastModified") or info.get("last_modified") or info.get("mtime")
+        yield name, int(info.get("size") or 0), (m.timestamp() if hasattr(m, "timestamp") else m)
+
+
+def _key_of(base: str, path: str) -> str:
+    b = _local(base).rstrip("/")
+    p = _local(path)
+    i = p.find(b)
+    return p[i + len(b):].lstrip("/") if i >= 0 else p
+
+
+def _rows(base: str, found) -> pd.DataFrame:
+    out = [(_key_of(base, p), n, None if m is None else int(m * 1_000_000)) for p, n, m in found]
+    pdf = pd.DataFrame(out, columns=["key", "length", "modified"])
+    pdf["modified"] = pd.to_datetime(pdf["modified"], unit="us")  # whole microseconds: Arrow-safe
+    return pdf
+
+
+def list_objects(spark: SparkSession, root: str, prefix: str = "", num_tasks: int | None = None) -> DataFrame:
     """Every object under ``root/prefix`` as ``key, length, modified``.
 
-    The whole listing is read (the legacy call stops after its first page). Keys are relative
-    to ``root``; folder markers (keys ending in '/') are dropped."""
+    The driver reads one folder level; the sub-folders are walked in executor tasks, so the
+    full key list never passes through the driver. The whole listing is read (the legacy
+    call stops after its first page), empty objects included (Spark's file scans skip
+    zero-length files, so ``binaryFile`` cannot be used here). Keys are relative to
+    ``root``; folder markers (keys ending in '/') are dropped."""
     base = root.rstrip("/")
-    where = f"{base}/{prefix}" if prefix else base
-    df = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", "true")
-        .load(where)
-        .select("path", "length", "modificationTime")
-    )
-    # binaryFile reports fully qualified paths; cut the root (qualified or not) to get the key.
-    key = F.regexp_replace(F.col("path"), r"^.*?" + _regex_escape(_local(base).rstrip("/")) + "/", "")
-    return (
-        df.select(key.alias("key"), F.col("length").cast("bigint").alias("length"),
-                  F.col("modificationTime").alias("modified"))
-        .filter(~F.col("key").endswith("/"))
-    )
+    start = f"{base}/{prefix.strip('/')}" if prefix else base
+    files, dirs = _entries(start)
+    n = num_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
+    def walker(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            for d in pdf["dir"]:
+                yield _rows(base, _walk(d))
 
-def _regex_escape(s: str) -> str:
-    return re.escape(s)
+    walked = (
+        spark.createDataFrame([(d,) for d in dirs], "dir string")
+        .repartition(max(1, min(n, len(dirs))), "dir")
+        .mapInPandas(walker, LIST_SCHEMA)
+    )
+    here = spark.createDataFrame(_rows(base, files), LIST_SCHEMA) if files else None
+    listing = walked.unionByName(here) if here is not None else walked
+    return listing.filter(~F.col("key").endswith("/"))
 
 
 def object_manifest(objects: DataFrame, key: str = "key", content: str = "content") -> DataFrame:
@@ -92,13 +160,37 @@ def object_manifest(objects: DataFrame, key: str = "key", content: str = "conten
     )
 
 
-def read_manifest(spark: SparkSession, root: str, prefix: str = "") -> DataFrame:
-    """Manifest of the files under a root, hashing their bodies in the tasks."""
-    base = root.rstrip("/")
-    where = f"{base}/{prefix}" if prefix else base
-    df = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(where)
-    key = F.regexp_replace(F.col("path"), r"^.*?" + _regex_escape(_local(base).rstrip("/")) + "/", "")
-    return object_manifest(df.select(key.alias("key"), "content"))
+def _hash_one(root: str, key: str) -> tuple[int, str]:
+    path = f"{root.rstrip('/')}/{key}"
+    h = hashlib.sha256()
+    n = 0
+    if _is_local(path):
+        f = open(_local(path), "rb")
+    else:
+        fs, p = _fsspec(path)
+        f = fs.open(p, "rb")
+    with f:
+        while True:
+            b = f.read(CHUNK)
+            if not b:
+                break
+            h.update(b)
+            n += len(b)
+    return n, h.hexdigest()
+
+
+def read_manifest(spark: SparkSession, root: str, prefix: str = "", num_tasks: int | None = None) -> DataFrame:
+    """``key, length, sha256`` of every object under a root: listed as in ``list_objects`` and
+    hashed in the tasks, each object streamed in chunks (no object is held whole)."""
+    n = num_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    keys = list_objects(spark, root, prefix, n).select("key").repartition(n, "key")
+
+    def hasher(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = [(k, *_hash_one(root, k)) for k in pdf["key"]]
+            yield pd.DataFrame(out, columns=["key", "length", "sha256"])
+
+    return keys.mapInPandas(hasher, MANIFEST_SCHEMA)
 
 
 def ensure_target(root: str) -> None:
