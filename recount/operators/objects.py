@@ -274,6 +274,14 @@ def copy_objects(manifest: DataFrame, src_root: str, dst_root: str, num_tasks: i
     return keys.mapInPandas(_copier(src_root, dst_root), COPY_SCHEMA)
 
 
+def pending_objects(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Keys of ``source`` missing from ``target`` or of another length (two listings).
+
+    Copying only these resumes an interrupted migration; on an empty target it is every key,
+    the legacy behaviour. A distributed anti-join, so neither listing passes the driver."""
+    return source.join(target.select("key", "length"), ["key", "length"], "left_anti")
+
+
 def copy_summary(outcomes: DataFrame) -> DataFrame:
     """Totals per outcome: ``status, objects, bytes``."""
     return outcomes.groupBy("status").agg(

@@ -80,6 +80,10 @@ def with_verdict(counts: DataFrame, src: str = "Source Count", dst: str = "Desti
 
 def _extract_count(ord_: int, side_name: str, side: Extract, cat: Catalog) -> DataFrame:
     plan = side.count(cat) if side.count is not None else row_count(cat.derive(side.rows))
+    return _count_frame(ord_, side_name, plan)
+
+
+def _count_frame(ord_: int, side_name: str, plan: DataFrame) -> DataFrame:
     n = plan.columns[0]
     return plan.select(F.lit(ord_).cast("bigint").alias("ord"), F.lit(side_name).alias("side"),
                        F.col(n).cast("bigint").alias("n"))
@@ -102,10 +106,15 @@ class _Plan:
         for side_name, side, cat in ((SOURCE, spec.source, source), (DEST, spec.dest, dest)):
             if isinstance(side, Const):
                 staged_consts.append((spec.ord, side_name, int(side.value)))
+            elif isinstance(side, Scan) and not cat.fuse_scans:
+                df = cat.count_source(side.table)
+                if side.where is not None:
+                    df = df.filter(side.predicate())
+                staged_frames.append(_count_frame(spec.ord, side_name, row_count(df)))
             elif isinstance(side, Scan):
                 key = (id(cat), side.table)
                 if key not in self.tables:
-                    self.tables[key] = cat.table(side.table)
+                    self.tables[key] = cat.count_source(side.table)
                 if side.where is not None:  # resolve the predicate now, so errors surface here
                     self.tables[key].select(F.count_if(side.predicate()))
                 staged_scans.append((key, (spec.ord, side_name, side)))

@@ -14,7 +14,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 class Catalog:
-    """name -> DataFrame. Subclasses implement ``_load``; results are cached per name."""
+    """name -> DataFrame. Subclasses implement ``_load``; results are cached per name.
+
+    ``fuse_scans``: whether several counts over one table should share one pass (right for
+    files and tables Spark scans itself; wrong where each count can be answered by the
+    source, as with JDBC aggregate push-down)."""
+
+    fuse_scans = True
 
     def __init__(self, spark: SparkSession):
         self.spark = spark
@@ -43,6 +49,10 @@ class Catalog:
     def _load(self, name: str) -> DataFrame:  # pragma: no cover - abstract
         raise NotImplementedError
 
+    def count_source(self, name: str) -> DataFrame:
+        """The frame a plain or filtered count of ``name`` should read (default: ``table``)."""
+        return self.table(name)
+
     def names(self) -> list[str]:
         return sorted(self._cache)
 
@@ -84,9 +94,13 @@ class JdbcCatalog(Catalog):
     """A relational database read over JDBC (the reference's PostgreSQL connections).
 
     ``partitioning`` gives per-table range splits so large tables are read by many tasks;
-    ``fetchsize`` keeps the driver-side cursor from buffering whole tables.
+    ``fetchsize`` keeps the driver-side cursor from buffering whole tables. Counts of a whole
+    or filtered table are read without partitioning and with aggregate push-down, so the
+    database answers ``SELECT count(*) ... WHERE ...`` and one row crosses the wire.
     """
 
+    fuse_scans = False
+
     def __init__(
         self,
         spark: SparkSession,
@@ -101,15 +115,24 @@ class JdbcCatalog(Catalog):
         self.partitioning = dict(partitioning or {})
         self.fetchsize = fetchsize
 
-    def _load(self, name: str) -> DataFrame:
+    def _reader(self, name: str):
         reader = (
             self.spark.read.format("jdbc")
             .option("url", self.url)
             .option("dbtable", name)
             .option("fetchsize", str(self.fetchsize))
+            .option("pushDownPredicate", "true")
+            .option("pushDownAggregate", "true")
         )
         for k, v in self.properties.items():
             reader = reader.option(k, v)
+        return reader
+
+    def count_source(self, name: str) -> DataFrame:
+        return self._reader(name).load()
+
+    def _load(self, name: str) -> DataFrame:
+        reader = self._reader(name)
         p = self.partitioning.get(name)
         if p is not None:
             reader = (

@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reconciliation checks and the object copy are bounded, run-to-completion jobs: nothing in
+the behaviour being reproduced is a stream (no unbounded source, watermark or state). The
+copy survives failures without a streaming query: each object is written under a temporary
+name and renamed, task retries overwrite, and ``operators.objects.pending_objects`` resumes
+an interrupted migration by copying only the keys still missing. Nothing is built here.
+"""

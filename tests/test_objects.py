@@ -63,3 +63,17 @@ def test_missing_source_object_is_an_error_row(spark, tmp_path):
     manifest = spark.createDataFrame([("OrderHistory/a.jpg",), ("OrderHistory/gone.jpg",), ("OrderHistory/",)], "key string")
     rows = {r.key: r.status for r in copy_objects(manifest, src, dst).collect()}
     assert rows == {"OrderHistory/a.jpg": "ok", "OrderHistory/gone.jpg": "error"}  # folder marker skipped
+
+
+def test_pending_objects_resume(spark, tmp_path):
+    from recount.operators.objects import pending_objects
+
+    src, dst = str(tmp_path / "src"), str(tmp_path / "dst")
+    _make_bucket(src)
+    ensure_target(dst)
+    listing = list_objects(spark, src, "OrderHistory")
+    first = copy_objects(listing.filter("key LIKE '%a.jpg'"), src, dst).collect()
+    assert [r.status for r in first] == ["ok"]
+    todo = pending_objects(listing, list_objects(spark, dst))
+    assert sorted(r.key for r in todo.collect()) == ["OrderHistory/b.png", "OrderHistory/d.txt",
+                                                     "OrderHistory/nested/c.gif"]

@@ -117,3 +117,17 @@ def test_show_report(spark, capsys):
     show_report(suite_report(_specs(), cat, cat))
     out = capsys.readouterr().out
     assert "Number of records not migrated : 5" in out and "count matches" in out
+
+
+def test_unfused_catalog_counts_each_scan_alone(spark):
+    from tests.conftest import optimized_text
+
+    class PushDownCatalog(FrameCatalog):
+        fuse_scans = False
+
+    t = spark.range(10).withColumn("even", F.col("id") % 2 == 0)
+    cat = PushDownCatalog(spark, {"t": t})
+    specs = [ReconSpec("s", 1, "t", "t", Scan("t"), Scan("t", "even"))]
+    rep = suite_report(specs, cat, cat)
+    assert [(r["Source Count"], r["Destination Count"]) for r in rep.collect()] == [(10, 5)]
+    assert optimized_text(rep).count("Range (0, 10") == 2  # one count per side, each pushable
