@@ -191,6 +191,21 @@ def strip_trailing_number(c: ColumnOrName) -> Column:
     return F.regexp_replace(col(c), r"-[0-9]+\z", "")
 
 
+_INTEGRAL = ("tinyint", "smallint", "int", "bigint")
+
+
+def divide(a: ColumnOrName, b: ColumnOrName, a_type: str, b_type: str) -> Column:
+    """``a / b`` as PostgreSQL computes it for the given operand types (F20, trap 5):
+    integer by integer truncates toward zero; anything else is an ordinary division.
+    The types come from the DataFrame schema (``dict(df.dtypes)``), so the same extract
+    is right whether the legacy columns are integers or numerics."""
+    a, b = col(a), col(b)
+    if a_type in _INTEGRAL and b_type in _INTEGRAL:
+        q = a / b
+        return F.when(q >= 0, F.floor(q)).otherwise(F.ceil(q)).cast("bigint")
+    return a / b
+
+
 def desc(c: ColumnOrName) -> Column:
     """ORDER BY c DESC as PostgreSQL sorts it: nulls first."""
     return col(c).desc_nulls_first()

@@ -69,8 +69,12 @@ def order_product(cat: Catalog, as_of: Column | None = None) -> DataFrame:
         so, F.col("so.id") == F.col("sli.order_id"), "inner"
     )
     inc, req, qty, price = (F.col(c) for c in ("sv.weight_increment", "sli.requested_quantity", "sli.quantity", "sli.price"))
+    t_inc, t_req = dict(sv.dtypes)["weight_increment"], dict(sli.dtypes)["requested_quantity"]
     weighted = _weighted(inc, F.col("sv.default_weight_count"), F.col("sv.max_weight_per_order"))
-    quantity = F.when(weighted, F.when((req < inc) & (req > 0), inc / req).otherwise(req / inc)).otherwise(req)
+    quantity = F.when(
+        weighted,
+        F.when((req < inc) & (req > 0), pg.divide(inc, req, t_inc, t_req)).otherwise(pg.divide(req, inc, t_req, t_inc)),
+    ).otherwise(req)
     on_sale = F.col("sli.on_sale")
     pref = F.col("so.replace_product").cast("string")
     return j.select(
@@ -161,7 +165,8 @@ def order_shipment(cat: Catalog) -> DataFrame:
         pg.value_map("so.state", SHIPMENT_STATUS).alias("order_status"),
         F.col("so.created_at").alias("created_at"),
         F.col("so.updated_at").alias("updated_at"),
-        (F.col("so.total") * (F.col("so.vat_percentage") / 100)).cast("double").alias("tax_total"),
+        (F.col("so.total") * pg.divide("so.vat_percentage", F.lit(100), dict(so.dtypes)["vat_percentage"], "int"))
+        .cast("double").alias("tax_total"),
         F.col("so.total").alias("total"),
         F.col("dsto.start_time").cast("string").alias("start_time"),
         F.col("dsto.end_time").cast("string").alias("end_time"),

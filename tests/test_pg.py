@@ -115,3 +115,11 @@ def test_null_ordering_follows_postgres(spark):  # trap 3
     first_desc = df.withColumn("r", F.row_number().over(w_desc)).filter("r = 1").first()["v"]
     first_asc = df.withColumn("r", F.row_number().over(w_asc)).filter("r = 1").first()["v"]
     assert first_desc is None and first_asc == 5
+
+
+def test_divide_follows_operand_types(spark):  # trap 5
+    df = spark.createDataFrame([(7, 2, -7)], "a int, b int, c int")
+    assert df.select(pg.divide("a", "b", "int", "int")).first()[0] == 3
+    assert df.select(pg.divide("c", "b", "int", "int")).first()[0] == -3  # toward zero
+    dec = spark.createDataFrame([(7, 2)], "a int, b int").selectExpr("CAST(a AS decimal(5,2)) a", "CAST(b AS decimal(5,2)) b")
+    assert float(dec.select(pg.divide("a", "b", "decimal(5,2)", "decimal(5,2)")).first()[0]) == 3.5
