@@ -1,0 +1,258 @@
+"""Extracts on small hand-made legacy tables, one case per branch and null (D rows)."""
+
+import datetime as dt
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+
+from recount.plans.extracts import auth, order, product, user
+from recount.sources.catalog import FrameCatalog
+
+T0 = dt.datetime(2024, 1, 1)
+T1 = dt.datetime(2024, 1, 2)
+
+
+def cat_of(spark, **tables):
+    return FrameCatalog(spark, {k: spark.createDataFrame(rows, schema) for k, (rows, schema) in tables.items()})
+
+
+ORDERS = "id bigint, state string, total decimal(12,2), vat_percentage decimal(5,2), replace_product boolean, " \
+         "order_type string, supermarket_id bigint, created_at timestamp_ntz, updated_at timestamp_ntz"
+
+
+def test_order_product_branches(spark):
+    li = "id bigint, order_id bigint, variant_id bigint, quantity decimal(12,4), requested_quantity decimal(12,4), " \
+         "price decimal(12,2), on_sale boolean, replaced boolean, created_at timestamp_ntz, updated_at timestamp_ntz"
+    d = Decimal
+    c = cat_of(
+        spark,
+        spree_line_items=([
+            (1, 10, 100, d(3), d(2), d("5.00"), True, False, T0, None),     # weighted, req < inc -> inc/req
+            (2, 10, 100, d(3), d(8), d("5.00"), False, False, T0, T1),      # weighted, req >= inc -> req/inc
+            (3, 10, 200, d(3), d(8), d("5.00"), None, False, T0, T1),       # not weighted -> req
+            (4, 10, 200, d(3), None, d("5.00"), None, False, T0, T1),       # null -> 0
+            (5, 11, 100, d(3), d(2), d("5.00"), True, False, T0, T1),       # cart order: dropped
+            (6, 12, 999, d(3), d(2), d("5.00"), True, False, T0, T1),       # no variant: kept, not weighted
+        ], li),
+        spree_variants=([(100, 7, d(4), 1, 1), (200, 8, d(4), 0, 1)],
+                        "id bigint, product_id bigint, weight_increment decimal(12,4), default_weight_count int, "
+                        "max_weight_per_order int"),
+        spree_orders=([(10, "complete", d("1"), d("0"), True, "x", 1, T0, T0),
+                       (11, "cart", d("1"), d("0"), None, "x", 1, T0, T0),
+                       (12, "payment", d("1"), d("0"), None, "x", 1, T0, T0)], ORDERS),
+    )
+    rows = {r.id: r for r in order.order_product(c, F.lit(T1).cast("timestamp_ntz")).collect()}
+    assert set(rows) == {1, 2, 3, 4, 6}
+    assert float(rows[1].quantity) == 2.0 and float(rows[1].picked_weight) == 3 and rows[1].picked_quantity == 1
+    assert float(rows[2].quantity) == 2.0
+    assert float(rows[3].quantity) == 8 and rows[3].picked_weight is None and float(rows[3].picked_quantity) == 3
+    assert float(rows[4].quantity) == 0
+    assert float(rows[6].quantity) == 2 and rows[6].product_id is None
+    assert (float(rows[1].action_price), float(rows[1].sale_price)) == (0, 5)
+    assert (float(rows[2].action_price), float(rows[2].sale_price)) == (5, 0)
+    assert (float(rows[3].action_price), float(rows[3].sale_price)) == (0, 0)  # null on_sale
+    assert rows[1].updated_at == T1 and rows[2].updated_at == T1
+    assert rows[1].replacement_pref == "replace-with-similar-product" and rows[6].replacement_pref is None
+
+
+def test_order_product_integer_columns_truncate(spark):
+    c = cat_of(
+        spark,
+        spree_line_items=([(1, 10, 100, 3, 2, 5, True, False, T0, T0)],
+                          "id bigint, order_id bigint, variant_id bigint, quantity int, requested_quantity int, "
+                          "price int, on_sale boolean, replaced boolean, created_at timestamp_ntz, updated_at timestamp_ntz"),
+        spree_variants=([(100, 7, 5, 1, 1)], "id bigint, product_id bigint, weight_increment int, "
+                                              "default_weight_count int, max_weight_per_order int"),
+        spree_orders=([(10, "complete", Decimal(1), Decimal(0), True, "x", 1, T0, T0)], ORDERS),
+    )
+    assert order.order_product(c).first().quantity == 2  # 5 / 2 in PostgreSQL integers
+
+
+def test_order_shipment_first_of_each_list(spark):
+    c = cat_of(
+        spark,
+        spree_orders=([(1, "delivery", Decimal("100.00"), Decimal("15.00"), None, "express", 3, T0, T1),
+                       (2, "cart", Decimal("1.00"), Decimal("0"), None, "regular", 3, T0, T1),
+                       (3, "weird", Decimal("10.00"), Decimal("0"), None, "regular", 3, T0, T1)], ORDERS),
+        danube_slot_to_orders=([(1, 5, "12:00:00", "14:00:00"), (1, 6, "08:00:00", "10:00:00")],
+                               "order_id bigint, time_slots_schedule_id bigint, start_time string, end_time string"),
+        danube_time_slots_schedules=([(5, 1, 2), (6, 4, 9)], "id bigint, day_of_week int, spree_shipping_method_id bigint"),
+        spree_lift_assignments=([(1, dt.date(2024, 2, 3)), (1, dt.date(2024, 2, 1))], "order_id bigint, delivery_date date"),
+        spree_adjustments=([(1, "Express Fee", Decimal("9")), (1, "Express Fee", Decimal("4")), (1, "Tax", Decimal("1"))],
+                           "order_id bigint, label string, amount decimal(8,2)"),
+    )
+    rows = {r.id: r for r in order.order_shipment(c).collect()}
+    assert set(rows) == {1, 3}
+    r = rows[1]
+    assert (r.start_time, r.day_of_week, r.delivery_option_id) == ("08:00:00", "thursday", 9)
+    assert r.delivery_date == dt.date(2024, 2, 1) and float(r.delivery_charges) == 4
+    assert r.order_status == "delivered" and r.tax_total == 15.0
+    assert rows[3].order_status is None and rows[3].day_of_week == "sunday" and rows[3].start_time is None
+
+
+USERS = "id bigint, first_name string, last_name string, email string, deleted_at timestamp_ntz, " \
+        "blacklisted_at timestamp_ntz, blacklisted_reason string, mobile_number_country_code string, " \
+        "mobile_phone_number string, dob date, referral_code string, locale string, created_at timestamp_ntz, " \
+        "updated_at timestamp_ntz, encrypted_password string, password_salt string, is_phone_verified boolean, " \
+        "spree_api_key string"
+
+
+def _users(spark, extra=None):
+    tables = dict(
+        spree_users=([(1, "A" * 50, None, "a@x", None, None, None, "966", "+966501", dt.date(2000, 1, 2), None, "en", T0, T0,
+                       "h1", "s", True, None),
+                      (2, "B", "b", "b@x", T0, None, None, None, "501", None, "R", "ar", T0, T0, "h2", "s", False, "k")],
+                     USERS),
+        spree_user_authentications=([(10, 1, "google_oauth2", "g", T1), (11, 1, "apple", "a", None), (12, 2, "facebook", "f", T0)],
+                                    "id bigint, user_id bigint, provider string, uid string, updated_at timestamp_ntz"),
+        spree_user_addresses=([(20, 1, 30, True, T0, T0), (21, 1, 31, True, T0, T0), (22, 2, 31, False, T0, T0)],
+                              "id bigint, user_id bigint, address_id bigint, is_default boolean, created_at timestamp_ntz, "
+                              "updated_at timestamp_ntz"),
+        spree_addresses=([(30, "City30", 1.5, 2.5, 0), (31, "City31", None, None, 4)],
+                         "id bigint, city string, latitude double, longitude double, country_id int"),
+    )
+    tables.update(extra or {})
+    return cat_of(spark, **tables)
+
+
+def test_user_latest_login_nulls_first_and_default_address(spark):
+    rows = {r.id: r for r in user.user(_users(spark)).collect()}
+    u1, u2 = rows[1], rows[2]
+    assert u1.login_type == "apple"  # the undated login sorts first under DESC (PostgreSQL)
+    assert (u1.city, u1.country_id) == ("City30", 1)  # lowest default user-address; '0' -> '1'
+    assert u1.first_name == "A" * 40 and u1.last_name == ""
+    assert (u1.country_code, u1.mobile_number, u1.dob, u1.language_id) == ("+966", "501", "2000-01-02", 1)
+    assert (u2.country_code, u2.mobile_number, u2.language_id, u2.is_deleted) == ("+", "", 2, True)
+    assert u2.city is None and u2.login_type == "facebook"
+
+
+def test_employees_first_role_by_name(spark):
+    extra = dict(
+        spree_roles=([(0, "picker"), (1, "user"), (2, "admin"), (3, None)], "id bigint, name string"),
+        spree_roles_users=([(1, 0), (1, 2), (2, 1), (2, 3)], "user_id bigint, role_id bigint"),
+    )
+    c = _users(spark, extra)
+    rows = {r.id: r for r in user.employee(c).collect()}
+    assert set(rows) == {1}  # user 2 only holds 'user' and a nameless role
+    assert (rows[1].role_name, rows[1].role_id, rows[1].rn, rows[1].active) == ("admin", 2, 1, True)
+    # the auth database's employee: role id != 2 and name != 'user'
+    assert sorted(r.id for r in auth.auth_employee(c).collect()) == [1]
+
+
+def test_auth_user_fans_out_per_login(spark):
+    rows = auth.auth_user(_users(spark), F.lit(T1).cast("timestamp_ntz")).collect()
+    assert sorted((r.user_id, r.login_type) for r in rows) == [(1, "apple"), (1, "google"), (2, "facebook")]
+
+
+def test_device_token_one_per_user_including_null(spark):
+    c = cat_of(spark, spree_user_clients=(
+        [(1, "d2", "ios", "t", T0, T0), (1, "d1", "android", "t", T0, T0), (None, "d3", "ios", "t", T0, T0),
+         (None, "d4", "ios", "t", T0, T0)],
+        "user_id bigint, uuid string, platform string, push_notification_token string, created_at timestamp_ntz, "
+        "updated_at timestamp_ntz"))
+    rows = sorted((r.user_id or 0, r.device_id) for r in auth.device_token(c).collect())
+    assert rows == [(0, "d3"), (1, "d1")]
+
+
+def test_supermarket_payment_sections(spark):
+    doc = "---\nhome_delivery:\n- '1'\n- '12'\nstore_pick_up:\n- '7'\n"
+    c = cat_of(spark, danube_supermarkets=([(1, doc), (2, "---\nstore_pick_up:\n- '5'\n"), (3, None)],
+                                          "id bigint, payment_options string"))
+    rows = sorted((r.super_market_id, r.payment_id, r.delivery_option_id) for r in user.supermarket_payment(c).collect())
+    assert rows == [(1, 1, "1"), (1, 7, "2"), (1, 12, "1"), (2, 5, "2")]
+    opts = sorted(tuple(r) for r in user.supermarket_delivery_option(c).collect())
+    assert opts == [(1, 1), (1, 2), (2, 2)]
+
+
+def test_delivery_type_both_for_regular_and_express(spark):
+    c = cat_of(spark, danube_supermarkets=([(1, "regular"), (2, "express"), (3, "regular_and_express"), (4, None)],
+                                          "id bigint, supermarket_type string"))
+    assert sorted(tuple(r) for r in user.supermarket_delivery_type(c).collect()) == [(1, 1), (2, 2), (3, 1), (3, 2)]
+
+
+def test_promotion_one_per_english_name(spark):
+    promo = "id bigint, starts_at timestamp_ntz, expires_at timestamp_ntz, usage_limit int, match_policy string, " \
+            "per_code_usage_limit int, apply_automatically boolean, deleted_at timestamp_ntz, created_at timestamp_ntz, " \
+            "updated_at timestamp_ntz"
+    c = cat_of(
+        spark,
+        spree_promotions=([(i, T0, None, None, "all", 1, True, None, T0, T0) for i in (1, 2, 3, 4, 5)], promo),
+        spree_promotion_translations=([
+            (1, "en", "Big Sale!", "d1"), (2, "en", "Big Sale!", "d2"), (2, "ar", "x", "a2"),
+            (3, "ar", "only ar", "a3"), (4, "ar", "only ar too", "a4"), (5, "en", None, "d5"),
+        ], "spree_promotion_id bigint, locale string, name string, description string"),
+    )
+    rows = {r.id: r for r in product.promotion(c).collect()}
+    assert set(rows) == {1, 3}  # 2 loses to 1 on 'Big Sale!'; 4 loses to 3 on ''; 5 has no name
+    assert (rows[1].code, rows[1].usage_limit) == ("BIG_SALE", 0)
+    assert (rows[3].name_en, rows[3].code, rows[3].name_ar) == ("", None, "only ar")
+
+
+def test_supplier_two_levels(spark):
+    c = cat_of(spark, spree_product_translations=([
+        (1, "en", "Acme-12", T0, T0, None), (1, "ar", "acme-ar", T0, T1, None),
+        (2, "en", "Bolt-3", T0, T0, T1), (2, "ar", "acme-ar", T1, T0, None),
+        (3, "en", "Solo", T0, T0, None), (4, "en", None, T0, T0, None),
+    ], "spree_product_id bigint, locale string, manufacturer string, created_at timestamp_ntz, updated_at timestamp_ntz, "
+       "deleted_at timestamp_ntz"))
+    rows = {r.code: r for r in product.supplier(c).collect()}
+    assert set(rows) == {"acme-ar", ""}
+    assert rows["acme-ar"].name == "Bolt" and rows["acme-ar"].deleted_at == T1 and rows["acme-ar"].created_at == T1
+    assert rows[""].name == "Solo"
+
+
+def test_brand_codes_and_ids(spark):
+    taxons = "id bigint, parent_id bigint, created_at timestamp_ntz, updated_at timestamp_ntz"
+    c = cat_of(
+        spark,
+        spree_taxons=([(0, None, T0, T0), (5, 0, T0, T0), (3, 0, T0, T0), (9, 1, T0, T0)], taxons),
+        spree_taxon_translations=([(0, "en", "Brands"), (5, "en", "3-M Company"), (5, "ar", "ar5"), (3, "en", "Nike"),
+                                   (9, "en", "Not a brand")], "spree_taxon_id bigint, locale string, name string"),
+    )
+    rows = sorted((r.id, r.temp_taxon_id, r.name_en, r.code, r.name_ar) for r in product.brand(c).collect())
+    assert rows == [(1, 3, "Nike", "NIKE_1", ""), (2, 5, "3-M Company", "3M_2", "ar5")]
+
+
+def test_barcodes_digits_or_minus_one(spark):
+    c = cat_of(spark, spree_custom_products=([(1, ["628", "x1", None]), (2, []), (3, None), (4, ["99999999999999999999"])],
+                                            "id bigint, barcodes array<string>"))
+    assert sorted(tuple(r) for r in product.offline_product_barcode(c).collect()) == [
+        (1, -1, 1), (1, -1, 1), (1, 628, 1), (4, -1, 1)]
+
+
+def test_shopping_list_products_null_product_is_one_group(spark):
+    c = cat_of(
+        spark,
+        spree_wished_products=([(1, 10), (1, 11), (1, 12), (1, 13), (2, 10)], "wishlist_id bigint, variant_id bigint"),
+        spree_variants=([(10, 100), (11, 100)], "id bigint, product_id bigint"),
+    )
+    got = sorted((r.shopping_list_id, r.product_id or 0) for r in product.shopping_list_products(c).collect())
+    assert got == [(1, 0), (1, 100), (2, 100)]
+
+
+def test_cancellation_reason_latest_with_ids(spark):
+    c = cat_of(spark, spree_fulfilments=([(1, "late", T0, T0), (2, "late", None, T1), (3, "broken", T1, T1), (4, None, T1, T1)],
+                                        "id bigint, cancel_reason string, created_at timestamp_ntz, updated_at timestamp_ntz"))
+    rows = sorted((r.id, r.reason_en, r.updated_at) for r in order.cancellation_reason(c).collect())
+    assert rows == [(1, "broken", T1), (2, "late", T1)]  # the undated fulfilment is 'latest' (nulls first)
+
+
+@pytest.mark.parametrize("zone_sizes", [(0, 3), (5, 0), (2, 4)])
+def test_delivery_capacity_fan_out_counts(spark, zone_sizes):
+    from recount.plans.suites import _d23_count
+
+    n_a, n_b = zone_sizes
+    ds = [(i, 1) for i in range(n_a)] + [(100 + i, 2) for i in range(n_b)]
+    sched = "id bigint, time_slot_id bigint, spree_shipping_method_id bigint, day_of_week int, zone_id bigint, " \
+            "delivery_capacity int, enabled boolean, created_at timestamp_ntz, updated_at timestamp_ntz"
+    c = cat_of(
+        spark,
+        danube_time_slots_schedules=([(1, 1, 1, 0, 1, None, True, T0, T0), (2, 1, 1, 9, 2, 5, True, T0, T0),
+                                      (3, None, 1, None, None, 1, False, T0, T0)], sched),
+        danube_time_slots=([(1, "08:00:00", "10:00:00")], "id bigint, start_time string, end_time string"),
+        danube_supermarkets=(ds or [(999, 99)], "id bigint, zone_id bigint"),
+    )
+    rows = user.delivery_capacity(c).collect()
+    assert len(rows) == max(n_a, 1) + max(n_b, 1) + 1 == _d23_count(c).first()[0]
+    assert {r.supermarket_id for r in rows if r.id == 3} == {0}
