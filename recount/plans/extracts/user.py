@@ -285,22 +285,25 @@ def supermarket_payment(cat: Catalog) -> DataFrame:
     )
 
 
-def supermarket_delivery_type(cat: Catalog) -> DataFrame:
-    """D19 ``supermarket_delivery_type``: regular stores -> 1, express stores -> 2, both for
-    ``regular_and_express``; one scan, distinct pairs."""
+def supermarket_delivery_types_all(cat: Catalog) -> DataFrame:
+    """Regular stores -> 1, express stores -> 2, both for ``regular_and_express``: the two
+    legacy branches as one scan emitting up to two rows per store (UNION ALL)."""
     ds = cat["danube_supermarkets"]
     typ = F.col("supermarket_type")
     kinds = F.array(
         F.when(pg.in_list(typ, ["regular", "regular_and_express"]), F.lit(1)),
         F.when(pg.in_list(typ, ["express", "regular_and_express"]), F.lit(2)),
     )
-    return (
-        ds.select(F.col("id").alias("supermarket_id"), F.explode(kinds).alias("delivery_type_id"))
-        .filter(F.col("delivery_type_id").isNotNull())
-        .distinct()
+    return ds.select(F.col("id").alias("supermarket_id"), F.explode(kinds).alias("delivery_type_id")).filter(
+        F.col("delivery_type_id").isNotNull()
     )
 
 
+def supermarket_delivery_type(cat: Catalog) -> DataFrame:
+    """D19 ``supermarket_delivery_type``: the pairs above, distinct (UNION)."""
+    return supermarket_delivery_types_all(cat).distinct()
+
+
 def delivery_type_count(cat: Catalog) -> int:
     """D20 ``delivery_type``: the legacy side is the constant ``select 2``."""
     return 2

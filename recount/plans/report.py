@@ -84,9 +84,17 @@ def _extract_count(ord_: int, side_name: str, side: Extract, cat: Catalog) -> Da
 
 
 def _count_frame(ord_: int, side_name: str, plan: DataFrame) -> DataFrame:
+    # One SQL expression per column: each Column-API call is a round trip to the JVM.
     n = plan.columns[0]
-    return plan.select(F.lit(ord_).cast("bigint").alias("ord"), F.lit(side_name).alias("side"),
-                       F.col(n).cast("bigint").alias("n"))
+    return plan.selectExpr(f"CAST({int(ord_)} AS BIGINT) AS ord", f"'{side_name}' AS side", f"CAST(`{n}` AS BIGINT) AS n")
+
+
+def _count_expr(scan: Scan, name: str) -> Column:
+    if scan.where is None:
+        return F.expr(f"count(1) AS {name}")
+    if isinstance(scan.where, str):
+        return F.expr(f"count_if({scan.where}) AS {name}")
+    return F.count_if(scan.where).alias(name)
 
 
 class _Plan:
@@ -115,8 +123,10 @@ class _Plan:
                 key = (id(cat), side.table)
                 if key not in self.tables:
                     self.tables[key] = cat.count_source(side.table)
-                if side.where is not None:  # resolve the predicate now, so errors surface here
-                    self.tables[key].select(F.count_if(side.predicate()))
+                if isinstance(side.where, str):  # resolve the predicate now, so errors surface here
+                    self.tables[key].selectExpr(f"count_if({side.where})")
+                elif side.where is not None:
+                    self.tables[key].select(F.count_if(side.where))
                 staged_scans.append((key, (spec.ord, side_name, side)))
             elif isinstance(side, Extract):
                 staged_frames.append(_extract_count(spec.ord, side_name, side, cat))
@@ -132,17 +142,14 @@ class _Plan:
         frames = list(self.frames)
         for key, members in self.scans.items():
             df = self.tables[key]
-            aggs = [
-                (F.count_if(s.predicate()) if s.where is not None else F.count(F.lit(1))).alias(f"c{i}")
-                for i, (_, _, s) in enumerate(members)
-            ]
-            rows = F.array(*[
-                F.struct(F.lit(o).cast("bigint").alias("ord"), F.lit(sn).alias("side"),
-                         F.col(f"c{i}").cast("bigint").alias("n"))
+            aggs = [_count_expr(s, f"c{i}") for i, (_, _, s) in enumerate(members)]
+            rows = ", ".join(
+                f"named_struct('ord', CAST({int(o)} AS BIGINT), 'side', '{sn}', 'n', CAST(c{i} AS BIGINT))"
                 for i, (o, sn, _) in enumerate(members)
-            ])
-            # One pass over the table however many specs count it (fused count_if).
-            frames.append(df.agg(*aggs).select(F.explode(rows).alias("r")).select("r.*"))
+            )
+            # One pass over the table however many specs count it (fused count_if), then one
+            # row per spec side.
+            frames.append(df.agg(*aggs).selectExpr(f"inline(array({rows}))"))
         if self.consts or not frames:
             frames.append(self.spark.createDataFrame(self.consts, _COUNT_ROW))
         return frames
