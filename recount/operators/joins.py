@@ -6,10 +6,12 @@ result as ``(L JOIN R) UNION ALL (L ANTI JOIN distinct keys of R, padded with nu
 
 * the inner join can be split on either side by AQE's skew-join rule;
 * the anti join reads only the distinct keys of ``R``, aggregated map-side first, so a hot
-  key costs one row per map task;
-* the exchange of ``L`` on the key is shared by both branches (exchange reuse).
+  key costs one row per map task.
 
-When ``R`` is small, Spark broadcasts it in both branches after its own size check.
+The price is that ``L`` is read and shuffled once per branch (the optimizer shapes the two
+branches differently, so their exchanges are not reused). Where only the row count is
+needed, ``counts.left_join_count`` avoids both the fan-out and the second pass. When ``R`` is
+small, Spark broadcasts it in both branches after its own size check.
 """
 
 from __future__ import annotations

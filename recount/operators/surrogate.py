@@ -40,6 +40,8 @@ def surrogate_id(
     """Add ``name`` = 1, 2, ... following ``order`` (which should be total for stable ids)."""
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if n > MAX_OFFSET_ROWS:  # the offsets table has one row per partition
+        raise ValueError(f"{n} partitions: offsets table too large to broadcast")
     ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
     if checkpoint:
         ensure_checkpoint_dir(spark)
@@ -48,9 +50,6 @@ def surrogate_id(
     tagged = ranged.withColumn(pos, F.monotonically_increasing_id())
     part = F.shiftright(F.col(pos), _POS_BITS)
     counts = tagged.groupBy(part.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    n_parts = ranged.rdd.getNumPartitions()
-    if n_parts > MAX_OFFSET_ROWS:
-        raise ValueError(f"{n_parts} partitions: offsets table too large to broadcast")
     offsets = counts.select(
         "__pid",
         F.coalesce(

@@ -60,3 +60,23 @@ def test_fast_counts_equal_extract_counts(spark, cat):
             src = s.source
             if getattr(src, "count", None) is not None:
                 assert src.count(cat).first()[0] == src.rows(cat).count(), s.dest_label
+
+
+def _hot(spark, n=30000):
+    # one key holds a third of the rows
+    return spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit(7)).otherwise(F.col("id")).alias("k"), F.col("id").alias("v")
+    )
+
+
+def test_hot_key_fanout_join_and_count(spark):
+    left = spark.range(0, 30000, 7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("lv"))
+    right = _hot(spark).select(F.col("k").alias("rk"), "v")
+    plain = left.join(right, left.k == right.rk, "left")
+    assert left_join_fanout(left, right, ["k"], ["rk"]).count() == plain.count()
+    assert left_join_count(left, right, ["k"], ["rk"]).first()[0] == plain.count()
+
+
+def test_hot_key_first_per_key(spark):
+    got = first_per_key(_hot(spark), ["k"], [pg.desc("v")]).filter("k = 7").collect()
+    assert [r.v for r in got] == [29997]
