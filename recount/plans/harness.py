@@ -94,11 +94,23 @@ class Query:
 
 REGISTRY: dict[str, Query] = {}
 
+_CATALOGS: dict[tuple[str, str], FixtureCatalog] = {}
+
+
+def fixture_catalog(spark: SparkSession, sf_dir: str) -> FixtureCatalog:
+    """One fixture catalog per (application, scale factor): the legacy projections are
+    analysed once however many registered queries read them."""
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    cat = _CATALOGS.get(key)
+    if cat is None or cat.spark is not spark:
+        cat = _CATALOGS[key] = FixtureCatalog(spark, sf_dir)
+    return cat
+
 
 def _reg(name: str, cols: str, sql: str | None, tables: str = "") -> Callable:
     def deco(fn: Callable[[Catalog], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(FixtureCatalog(spark, sf_dir))
+            return fn(fixture_catalog(spark, sf_dir))
 
         REGISTRY[name] = Query(name, run, sql, cols, tuple(tables.split()))
         return fn
@@ -129,7 +141,7 @@ def _map_sql(c: str, mapping: dict, default: str) -> str:
 
 
 def _table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cat = FixtureCatalog(spark, sf_dir)
+    cat = fixture_catalog(spark, sf_dir)
     frames = [row_count(cat.driver(t), "row_count").select(F.lit(t).alias("table_name"), "row_count") for t in DRIVER_TABLES]
     out = frames[0]
     for f in frames[1:]:
@@ -189,7 +201,7 @@ def demo_suite() -> list[ReconSpec]:
 
 
 def _demo_suite_spark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cat = FixtureCatalog(spark, sf_dir)
+    cat = fixture_catalog(spark, sf_dir)
     return suite_report(demo_suite(), cat, cat)
 
 
@@ -212,7 +224,7 @@ REGISTRY["recon_suite"] = Query(
 
 
 def _const_count_spark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cat = FixtureCatalog(spark, sf_dir)
+    cat = fixture_catalog(spark, sf_dir)
     specs = [ReconSpec("user", 12, "NA", "delivery_type", Const(2), Scan("region", F.col("r_regionkey") < 2))]
     return suite_report(specs, cat, cat)
 
@@ -228,7 +240,7 @@ REGISTRY["const_count"] = Query(
 # R3, R4, F23 over per-key count pairs: orders per customer nation vs distinct orders served
 # by the suppliers of each nation. Both sides aggregate before the only join.
 def _per_nation_spark(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cat = FixtureCatalog(spark, sf_dir)
+    cat = fixture_catalog(spark, sf_dir)
     c, o, s, li = cat["customer"], cat["orders"], cat["supplier"], cat["lineitem"]
     src = (
         o.join(c, o["o_custkey"] == c["c_custkey"])
@@ -270,7 +282,7 @@ FROM (
 
 # The pages table seen as a bucket of objects.
 def _object_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = FixtureCatalog(spark, sf_dir).driver("pages")
+    pages = fixture_catalog(spark, sf_dir).driver("pages")
     objects = pages.select(F.format_string("pages/%d.html", F.col("page_id")).alias("key"), F.col("html").alias("content"))
     return object_manifest(objects)
 
@@ -1029,14 +1041,28 @@ def harness_catalogs(spark: SparkSession, sf_dir: str, suites: dict[str, list[Re
     return src, dests
 
 
+_SUITES: dict[tuple[str, str], tuple] = {}
+
+
+def _suite_setup(spark: SparkSession, sf_dir: str):
+    """Specs and catalogs per (application, scale factor), so suites share derived extracts."""
+    from .suites import all_suites
+
+    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    got = _SUITES.get(key)
+    if got is None or got[1].spark is not spark:
+        suites = all_suites(as_of())
+        src, dests = harness_catalogs(spark, sf_dir, suites)
+        got = _SUITES[key] = (suites, src, dests)
+    return got
+
+
 def suites_report(spark: SparkSession, sf_dir: str, names: list[str] | None = None, tables_only: bool = False) -> DataFrame:
     """The report of the chosen suites (all four by default) as one lazy DataFrame;
     ``tables_only`` keeps the plain table-count specs."""
     from .report import run_all
-    from .suites import all_suites
 
-    suites = all_suites(as_of())
-    src, dests = harness_catalogs(spark, sf_dir, suites)
+    suites, src, dests = _suite_setup(spark, sf_dir)
     plan = _plan_tables(suites)
     chosen = []
     for k, specs in suites.items():
