@@ -123,11 +123,11 @@ def _country_id(c: str) -> Column:
     return F.when(F.col(c) == 0, F.lit(1)).otherwise(F.col(c))
 
 
-def _names(prefix: str) -> list[Column]:
-    p = prefix
+def _names() -> list[Column]:
+    """``LEFT(COALESCE(name, ''), 40)`` for the first and last name."""
     return [
-        pg.left(F.coalesce(F.col(f"{p}first_name"), F.lit("")), 40).alias("first_name"),
-        pg.left(F.coalesce(F.col(f"{p}last_name"), F.lit("")), 40).alias("last_name"),
+        pg.left(F.coalesce(F.col("first_name"), F.lit("")), 40).alias("first_name"),
+        pg.left(F.coalesce(F.col("last_name"), F.lit("")), 40).alias("last_name"),
     ]
 
 
@@ -150,7 +150,7 @@ def user(cat: Catalog) -> DataFrame:
         pg.flag("deleted_at").alias("is_deleted"),
         "created_at",
         "updated_at",
-        *_names(""),
+        *_names(),
         "email",
         F.lit("others").alias("gender"),
         pg.country_code("mobile_number_country_code").alias("country_code"),
@@ -345,7 +345,7 @@ def employee(cat: Catalog) -> DataFrame:
         "created_at",
         "updated_at",
         pg.flag("deleted_at").alias("is_deleted"),
-        *_names(""),
+        *_names(),
         pg.normalize_phone("mobile_phone_number", "mobile_number_country_code").alias("mobile_number"),
         "dob",
         pg.country_code("mobile_number_country_code").alias("country_code"),

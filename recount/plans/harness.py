@@ -27,7 +27,7 @@ from ..operators.objects import object_manifest
 from ..sources.catalog import Catalog
 from ..sources.fixtures import DRIVER_TABLES, FixtureCatalog, fixture_ctes
 from .extracts import auth, order, product, user
-from .report import REPORT_COLUMNS, suite_report, with_verdict
+from .report import suite_report, with_verdict
 from .spec import Const, Extract, ReconSpec, Scan
 
 # Fixed value: the "current timestamp" of every harness run, so results repeat.
