@@ -105,7 +105,7 @@ def default_address(cat: Catalog) -> DataFrame:
     """One default address per user (the lowest user-address id), with its address row.
 
     Columns: ``da_user_id, da_city, da_latitude, da_longitude, da_country_id``."""
-    ua = cat["spree_user_addresses"].filter(F.col("is_default") == F.lit(True))
+    ua = cat["spree_user_addresses"].filter(F.col("default") == F.lit(True))
     first = first_per_key(ua, ["user_id"], [pg.asc("id")]).select("user_id", "address_id")
     a = cat["spree_addresses"].select("id", "city", "latitude", "longitude", "country_id")
     j = first.join(a, a["id"] == first["address_id"], "left")
@@ -215,7 +215,7 @@ def user_address(cat: Catalog) -> DataFrame:
         F.coalesce(F.col("sdt_en.name"), F.col("sdt_ar.name")).alias("district"),
         F.coalesce(F.col("sa.latitude"), F.lit(0)).alias("latitude"),
         F.coalesce(F.col("sa.longitude"), F.lit(0)).alias("longitude"),
-        F.coalesce(F.col("sua.is_default"), F.lit(False)).alias("is_default"),
+        F.coalesce(F.col("sua.default"), F.lit(False)).alias("is_default"),
         F.col("sua.user_id").alias("user_id"),
         F.lit("other").alias("type"),
         verified.alias("is_verified"),

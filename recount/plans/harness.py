@@ -97,10 +97,14 @@ REGISTRY: dict[str, Query] = {}
 _CATALOGS: dict[tuple[str, str], FixtureCatalog] = {}
 
 
+def _app(spark: SparkSession) -> str:
+    return spark.conf.get("spark.app.id", None) or str(id(spark))
+
+
 def fixture_catalog(spark: SparkSession, sf_dir: str) -> FixtureCatalog:
     """One fixture catalog per (application, scale factor): the legacy projections are
     analysed once however many registered queries read them."""
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (_app(spark), sf_dir.rstrip("/"))
     cat = _CATALOGS.get(key)
     if cat is None or cat.spark is not spark:
         cat = _CATALOGS[key] = FixtureCatalog(spark, sf_dir)
@@ -1048,7 +1052,7 @@ def _suite_setup(spark: SparkSession, sf_dir: str):
     """Specs and catalogs per (application, scale factor), so suites share derived extracts."""
     from .suites import all_suites
 
-    key = (spark.sparkContext.applicationId, sf_dir.rstrip("/"))
+    key = (_app(spark), sf_dir.rstrip("/"))
     got = _SUITES.get(key)
     if got is None or got[1].spark is not spark:
         suites = all_suites(as_of())

@@ -36,13 +36,17 @@ def local_session(cpus: int | str = "*", app: str = "recount", **conf: str) -> S
 
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared folder the cluster names for checkpoints, if any."""
-    d = spark.sparkContext.getCheckpointDir()
+    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session: the server reads spark.checkpoint.dir
+        return conf_dir
+    d = sc.getCheckpointDir()
     if d:
         return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
-    if d:
-        spark.sparkContext.setCheckpointDir(d)
-        return spark.sparkContext.getCheckpointDir()
+    if conf_dir:
+        sc.setCheckpointDir(conf_dir)
+        return sc.getCheckpointDir()
     return None
 
 
@@ -55,7 +59,7 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     d = checkpoint_dir(spark)
     if d:
         return d
-    master = spark.sparkContext.master
+    master = spark.conf.get("spark.master", "")
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. hdfs:// or s3a://)")
     d = tempfile.mkdtemp(prefix="recount-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))

@@ -107,7 +107,7 @@ def _users(spark, extra=None):
         spree_user_authentications=([(10, 1, "google_oauth2", "g", T1), (11, 1, "apple", "a", None), (12, 2, "facebook", "f", T0)],
                                     "id bigint, user_id bigint, provider string, uid string, updated_at timestamp_ntz"),
         spree_user_addresses=([(20, 1, 30, True, T0, T0), (21, 1, 31, True, T0, T0), (22, 2, 31, False, T0, T0)],
-                              "id bigint, user_id bigint, address_id bigint, is_default boolean, created_at timestamp_ntz, "
+                              "id bigint, user_id bigint, address_id bigint, `default` boolean, created_at timestamp_ntz, "
                               "updated_at timestamp_ntz"),
         spree_addresses=([(30, "City30", 1.5, 2.5, 0), (31, "City31", None, None, 4)],
                          "id bigint, city string, latitude double, longitude double, country_id int"),
