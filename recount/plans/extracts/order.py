@@ -143,19 +143,23 @@ def order_shipment(cat: Catalog) -> DataFrame:
     earliest delivery date; smallest fee). Nothing fans out and no order's lists meet in
     one task."""
     so = live_orders(cat).alias("so")
-    slot = first_per_key(
+    first_slot = first_per_key(
         cat["danube_slot_to_orders"],
         ["order_id"],
         [pg.asc("start_time"), pg.asc("time_slots_schedule_id"), pg.asc("end_time")],
-    ).alias("dsto")
-    dtss = cat["danube_time_slots_schedules"].select("id", "day_of_week", "spree_shipping_method_id").alias("dtss")
+    )
+    dtss = cat["danube_time_slots_schedules"].select(
+        F.col("id").alias("sched_id"), "day_of_week", "spree_shipping_method_id"
+    )
+    # The schedule joins the one slot of each order (narrow rows) before the orders do, so
+    # every join with the orders is on the order id and the orders are shuffled once.
+    slot = first_slot.join(dtss, F.col("sched_id") == F.col("time_slots_schedule_id"), "left").alias("dsto")
     lift = first_per_key(cat["spree_lift_assignments"], ["order_id"], [pg.asc("delivery_date")]).alias("sla")
     fee = first_per_key(
         cat["spree_adjustments"].filter(F.col("label") == "Express Fee"), ["order_id"], [pg.asc("amount")]
     ).alias("sa")
     j = (
         so.join(slot, F.col("dsto.order_id") == F.col("so.id"), "left")
-        .join(dtss, F.col("dtss.id") == F.col("dsto.time_slots_schedule_id"), "left")
         .join(lift, F.col("sla.order_id") == F.col("so.id"), "left")
         .join(fee, F.col("sa.order_id") == F.col("so.id"), "left")
     )
@@ -170,8 +174,8 @@ def order_shipment(cat: Catalog) -> DataFrame:
         F.col("so.total").alias("total"),
         F.col("dsto.start_time").cast("string").alias("start_time"),
         F.col("dsto.end_time").cast("string").alias("end_time"),
-        pg.weekday_name("dtss.day_of_week", "sunday").alias("day_of_week"),
-        F.col("dtss.spree_shipping_method_id").alias("delivery_option_id"),
+        pg.weekday_name("dsto.day_of_week", "sunday").alias("day_of_week"),
+        F.col("dsto.spree_shipping_method_id").alias("delivery_option_id"),
         F.col("so.order_type").alias("order_type"),
         F.col("so.supermarket_id").alias("supermarket_id"),
         F.col("sla.delivery_date").alias("delivery_date"),
