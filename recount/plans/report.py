@@ -97,7 +97,7 @@ def _count_expr(scan: Scan, name: str) -> Column:
     return F.count_if(scan.where).alias(name)
 
 
-class _Plan:
+class _Counts:
     """Count plans of a suite, built once per spec side: extracts as one-row aggregates,
     scans grouped per (catalog, table) for fusion, constants as literal rows."""
 
@@ -187,7 +187,7 @@ def suite_report(
     """
     spark = source.spark
     specs = sorted(specs, key=lambda s: s.ord)
-    plan = _Plan(spark)
+    plan = _Counts(spark)
     good: list[ReconSpec] = []
     errors: dict[int, str] = {}
     for s in specs:
