@@ -100,7 +100,9 @@ def brand(cat: Catalog, with_ids: bool = True) -> DataFrame:
         .join(st.select(F.col("id").alias("tid")), F.col("pid") == F.col("tid"), "left_semi")
     )
     children = st.join(parents, st["parent_id"] == parents["pid"], "left_semi").select("id", "created_at", "updated_at")
-    names = _pivot_locale(stt, "spree_taxon_id", {"name_en_raw": ("en", "name"), "name_ar_raw": ("ar", "name")})
+    # Only the brands' own translations are pivoted, not every taxon's.
+    brand_names = stt.join(children.select(F.col("id").alias("cid")), F.col("spree_taxon_id") == F.col("cid"), "left_semi")
+    names = _pivot_locale(brand_names, "spree_taxon_id", {"name_en_raw": ("en", "name"), "name_ar_raw": ("ar", "name")})
     rt = children.join(names, children["id"] == names["spree_taxon_id"], "left").select(
         F.col("id").alias("temp_taxon_id"), "name_en_raw", "name_ar_raw", "created_at", "updated_at"
     )

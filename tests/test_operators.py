@@ -80,3 +80,11 @@ def test_hot_key_fanout_join_and_count(spark):
 def test_hot_key_first_per_key(spark):
     got = first_per_key(_hot(spark), ["k"], [pg.desc("v")]).filter("k = 7").collect()
     assert [r.v for r in got] == [29997]
+
+
+def test_surrogate_ids_repeat_across_actions(spark):
+    df = spark.range(0, 3000, 1, numPartitions=6).select(((F.col("id") * 37) % 1000).alias("v"), F.col("id").alias("w"))
+    ids = surrogate_id(df, [F.col("v").asc(), F.col("w").asc()], num_partitions=4)
+    first = sorted((r.id, r.v, r.w) for r in ids.collect())
+    second = sorted((r.id, r.v, r.w) for r in ids.collect())
+    assert first == second and [r[0] for r in first] == list(range(1, 3001))
