@@ -2,6 +2,8 @@
 
 from collections import Counter
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from recount.functions import pg
@@ -34,12 +36,14 @@ def test_surrogate_id_is_consecutive_in_order(spark):
     assert [r.v for r in out] == sorted(r.v for r in out)
 
 
-def test_left_join_fanout_equals_left_join(spark):
-    left = spark.createDataFrame([(1, "a"), (2, "b"), (3, "c"), (None, "n")], "k int, lv string")
-    right = spark.createDataFrame([(1, "x"), (1, "y"), (3, "z"), (None, "q")], "rk int, rv string")
-    got = Counter(tuple(r) for r in left_join_fanout(left, right, ["k"], ["rk"]).select("k", "lv", "rk", "rv").collect())
+@pytest.mark.parametrize("hot_rows,salts", [(1_000_000, 64), (1, 4), (0, 16)])
+def test_left_join_fanout_equals_left_join(spark, hot_rows, salts):
+    left = spark.createDataFrame([(1, "a"), (1, "a2"), (2, "b"), (3, "c"), (None, "n")], "k int, lv string")
+    right = spark.createDataFrame([(1, "x"), (1, "y"), (1, "y"), (3, "z"), (None, "q")], "rk int, rv string")
+    out = left_join_fanout(left, right, ["k"], ["rk"], hot_rows=hot_rows, salts=salts)
+    got = Counter(tuple(r) for r in out.select("k", "lv", "rk", "rv").collect())
     want = Counter(tuple(r) for r in left.join(right, left.k == right.rk, "left").select("k", "lv", "rk", "rv").collect())
-    assert got == want
+    assert got == want and out.columns == ["k", "lv", "rk", "rv"]
 
 
 def test_join_counts_match_materialized_joins(spark):
@@ -71,12 +75,21 @@ def _hot(spark, n=30000):
 
 def test_hot_key_fanout_join_and_count(spark):
     left = spark.range(0, 30000, 7).select(F.col("id").alias("k"), (F.col("id") * 2).alias("lv"))
+    left = left.unionByName(spark.range(5).select(F.lit(7).cast("bigint").alias("k"), F.col("id").alias("lv")))
     right = _hot(spark).select(F.col("k").alias("rk"), "v")
     plain = left.join(right, left.k == right.rk, "left")
-    assert left_join_fanout(left, right, ["k"], ["rk"]).count() == plain.count()
+    salted = left_join_fanout(left, right, ["k"], ["rk"], hot_rows=1000, salts=16)
+    assert Counter(tuple(r) for r in salted.collect()) == Counter(tuple(r) for r in plain.collect())
     assert left_join_count(left, right, ["k"], ["rk"]).first()[0] == plain.count()
 
 
+def test_hot_key_is_spread_over_salts(spark):
+    left = spark.range(3).select(F.lit(7).cast("bigint").alias("k"))
+    right = _hot(spark).select(F.col("k").alias("rk"), "v")
+    plan = left_join_fanout(left, right, ["k"], ["rk"], hot_rows=1000, salts=16)._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64" in plan and "explode" in plan and "strategy=broadcast" in plan
+
+
 def test_hot_key_first_per_key(spark):
     got = first_per_key(_hot(spark), ["k"], [pg.desc("v")]).filter("k = 7").collect()
     assert [r.v for r in got] == [29997]
