@@ -14,7 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.counts import left_join_count
+from ..operators.counts import left_join_count, row_count
 from ..sources.catalog import Catalog
 from .extracts import auth, order, product, user
 from .spec import Const, Extract, ReconSpec, Scan, Side
@@ -44,6 +44,40 @@ def _d23_count(cat: Catalog) -> DataFrame:
     return left_join_count(cat["danube_time_slots_schedules"], cat["danube_supermarkets"], ["zone_id"], ["zone_id"])
 
 
+# Rank-1 extracts keep exactly one row per distinct partition key (left joins never remove
+# a key), so their count is a distinct count: one aggregation, combined map-side, no joins
+# and no window.
+
+
+def _distinct_count(df: DataFrame, *keys: str) -> DataFrame:
+    return row_count(df.select(*keys).distinct())
+
+
+def _d2_count(cat: Catalog) -> DataFrame:
+    return _distinct_count(cat["spree_user_clients"], "user_id")
+
+
+def _d4_count(cat: Catalog) -> DataFrame:
+    return _distinct_count(cat["spree_fulfilments"].filter(F.col("cancel_reason").isNotNull()), "cancel_reason")
+
+
+def _d8_count(cat: Catalog) -> DataFrame:
+    return _distinct_count(order.live_orders(cat), "id")
+
+
+def _d15_count(cat: Catalog) -> DataFrame:
+    return _distinct_count(cat["spree_users"], "id")
+
+
+def _d22_count(cat: Catalog) -> DataFrame:
+    sr = cat["spree_roles"].filter(F.col("name") != "user").select(F.col("id").alias("sr_id"))
+    holders = cat["spree_roles_users"].join(sr, F.col("role_id") == F.col("sr_id"), "left_semi").select(
+        F.col("user_id").alias("h_id")
+    )
+    u = cat["spree_users"]
+    return _distinct_count(u.join(holders, u["id"] == holders["h_id"], "left_semi"), "id")
+
+
 def _specs(suite: str, rows: list[tuple[str, Side, str, Side]]) -> list[ReconSpec]:
     return [ReconSpec(suite, i + 1, src_label, dst_label, src, dst) for i, (src_label, src, dst_label, dst) in enumerate(rows)]
 
@@ -55,20 +89,21 @@ def _t(source_table: str, dest_table: str, dest_name: str | None = None) -> tupl
 def auth_suite(as_of: Column | None = None) -> list[ReconSpec]:
     return _specs(AUTH, [
         ("spree_users", _x(lambda c: auth.auth_user(c, as_of), _d1_count), "user", Scan("public.user")),
-        ("spree_user_clients", _x(auth.device_token), "device_token", Scan("device_token")),
+        ("spree_user_clients", _x(auth.device_token, _d2_count), "device_token", Scan("device_token")),
         ("spree_users", _x(lambda c: auth.auth_employee(c, as_of)), "employee", Scan("employee")),
     ])
 
 
 def order_suite(as_of: Column | None = None) -> list[ReconSpec]:
     return _specs(ORDER, [
-        ("spree_fulfilments", _x(lambda c: order.cancellation_reason(c, with_ids=False)), "order_cancellation_reason",
+        ("spree_fulfilments", _x(lambda c: order.cancellation_reason(c, with_ids=False), _d4_count),
+         "order_cancellation_reason",
          Scan("order_cancellation_reason")),
         ("spree_orders", Scan("spree_orders", "state != 'cart'"), "order", Scan("public.order")),
         ("spree_line_items", _x(lambda c: order.order_product(c, as_of)), "order_product", Scan("order_product")),
         ("spree_payment_methods", _x(lambda c: order.order_payment(c, with_ids=False), _d7_count), "order_payment",
          Scan("order_payment")),
-        ("spree_shipments", _x(order.order_shipment), "order_shipment", Scan("order_shipment")),
+        ("spree_shipments", _x(order.order_shipment, _d8_count), "order_shipment", Scan("order_shipment")),
         ("spree_orders/spree_addresses", _x(order.order_address), "order_address", Scan("order_address")),
         _t("spree_cashbacks", "cashbacks", "cashback"),
         _t("spree_adjustments", "order_adjustment"),
@@ -92,7 +127,7 @@ def user_suite() -> list[ReconSpec]:
         ("danube_time_slot_schedules", _x(user.time_slot), "time_slot", Scan("time_slot")),
         ("spree_shipping_methods", _x(user.delivery_option), "delivery_option", Scan("delivery_option")),
         _t("spree_countries", "country"),
-        ("spree_users", _x(user.user), "user", Scan("public.user")),
+        ("spree_users", _x(user.user, _d15_count), "user", Scan("public.user")),
         ("spree_user_addresses", _x(user.user_address), "address", Scan("address")),
         ("spree_credit_cards", _x(user.checkout_cards), "checkout_cards", Scan("checkout_cards")),
         _t("danube_supermarkets", "super_market"),
@@ -104,7 +139,7 @@ def user_suite() -> list[ReconSpec]:
          Scan("supermarket_delivery_option")),
         _t("spree_feedback_reviews", "feedback"),
         _t("spree_loyalty_members", "loyalty_member"),
-        ("spree_users", _x(user.employee), "employee", Scan("employee")),
+        ("spree_users", _x(user.employee, _d22_count), "employee", Scan("employee")),
         ("danube_time_slots_schedules", _x(user.delivery_capacity, _d23_count), "delivery_capacity",
          Scan("delivery_capacity")),
     ])
