@@ -566,12 +566,13 @@ def _time_slots(cat: Catalog) -> DataFrame:
 
 @_reg(
     "enabled_slots",
-    "id:i, start_time:s, end_time:s, enabled:b",
-    "SELECT * FROM danube_time_slots WHERE enabled",
-    "danube_time_slots",
+    "id:i, time_slot_id:i, spree_shipping_method_id:i, day_of_week:i, zone_id:i, delivery_capacity:i, enabled:b, "
+    "created_at:t, updated_at:t",
+    "SELECT * FROM danube_time_slots_schedules WHERE enabled",
+    "danube_time_slots_schedules",
 )
 def _enabled_slots(cat: Catalog) -> DataFrame:
-    return cat["danube_time_slots"].filter(F.col("enabled"))  # P5, bare boolean filter
+    return cat["danube_time_slots_schedules"].filter(F.col("enabled"))  # P5, bare boolean filter
 
 
 @_reg(
