@@ -7,3 +7,11 @@ def test_checkpoint_dir_is_read_from_the_session(spark):
     d = ensure_checkpoint_dir(spark)
     assert d and checkpoint_dir(spark) == d
     assert ensure_checkpoint_dir(spark) == d  # idempotent, never replaced
+
+
+def test_fixtures_leave_no_views_behind(spark):
+    from recount.sources.fixtures import FixtureCatalog
+
+    before = {t.name for t in spark.catalog.listTables()}
+    FixtureCatalog(spark, "/root/testdata/sf0.001").table("spree_user_addresses").count()
+    assert {t.name for t in spark.catalog.listTables()} == before
