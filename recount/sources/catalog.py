@@ -82,12 +82,15 @@ class TableCatalog(Catalog):
 
 @dataclass(frozen=True)
 class JdbcPartitioning:
-    """Parallel JDBC read: one query per range of ``column``; without it a table is one task."""
+    """Parallel JDBC read: one query per range of ``column``; without it a table is one task.
+
+    Leave ``lower``/``upper`` unset to have them read from the table
+    (``SELECT min(column), max(column)``, answered by the database: one row comes back)."""
 
     column: str
-    lower: int
-    upper: int
-    num_partitions: int
+    num_partitions: int = 200
+    lower: int | None = None
+    upper: int | None = None
 
 
 class JdbcCatalog(Catalog):
@@ -128,6 +131,17 @@ class JdbcCatalog(Catalog):
             reader = reader.option(k, v)
         return reader
 
+    def _query(self, sql: str) -> DataFrame:
+        return self._reader(f"({sql}) AS q").load()
+
+    def bounds(self, name: str, p: JdbcPartitioning) -> tuple[int, int]:
+        """The range of the partition column (given, or one pushed-down min/max row)."""
+        if p.lower is not None and p.upper is not None:
+            return p.lower, p.upper
+        row = self._query(f"SELECT min({p.column}) AS lo, max({p.column}) AS hi FROM {name}").first()
+        lo, hi = row["lo"], row["hi"]
+        return (int(lo) if lo is not None else 0), (int(hi) if hi is not None else 0)
+
     def count_source(self, name: str) -> DataFrame:
         return self._reader(name).load()
 
@@ -135,10 +149,11 @@ class JdbcCatalog(Catalog):
         reader = self._reader(name)
         p = self.partitioning.get(name)
         if p is not None:
+            lo, hi = self.bounds(name, p)
             reader = (
                 reader.option("partitionColumn", p.column)
-                .option("lowerBound", str(p.lower))
-                .option("upperBound", str(p.upper))
+                .option("lowerBound", str(lo))
+                .option("upperBound", str(hi + 1))
                 .option("numPartitions", str(p.num_partitions))
             )
         return reader.load()
