@@ -50,3 +50,11 @@ def test_parquet_and_frame_catalogs(spark):
     assert frames["a"].count() == 3 and frames["b"].count() == 4
     fn = lambda c: c["a"].filter("id > 0")
     assert frames.derive(fn) is frames.derive(fn)  # one frame per derivation
+
+
+def test_alias_catalog_maps_names(spark):
+    from recount.sources.catalog import AliasCatalog
+
+    base = FrameCatalog(spark, {"users_v2": spark.range(7)})
+    cat = AliasCatalog(base, {"public.user": "users_v2"})
+    assert cat["public.user"].count() == 7 and cat.spark is spark
