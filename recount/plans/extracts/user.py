@@ -202,9 +202,7 @@ def user_address(cat: Catalog) -> DataFrame:
         .when(a2.isNotNull(), pg.concat(a2, ", "))
         .otherwise(F.lit(""))
     )
-    meta = F.col("sa.driver_meta_data")
-    verified = F.coalesce(F.when(meta.isNotNull(), pg.json_text(meta, "verified")).otherwise(F.lit("false")), F.lit("false"))
-    return j.select(
+    rows = j.select(
         F.col("sua.id").alias("id"),
         formatted.alias("formatted_address"),
         F.coalesce(F.col("sst_en.name"), F.col("sst_ar.name"), F.lit("")).alias("city"),
@@ -217,10 +215,18 @@ def user_address(cat: Catalog) -> DataFrame:
         F.coalesce(F.col("sa.longitude"), F.lit(0)).alias("longitude"),
         F.coalesce(F.col("sua.default"), F.lit(False)).alias("is_default"),
         F.col("sua.user_id").alias("user_id"),
+        F.col("sa.driver_meta_data").isNotNull().alias("has_meta"),
+        # ``->> 'verified'`` and ``->> 'notes'`` from one parse of the document.
+        F.json_tuple(F.col("sa.driver_meta_data"), "verified", "notes").alias("meta_verified", "meta_notes"),
+    )
+    verified = F.coalesce(F.when(F.col("has_meta"), F.col("meta_verified")).otherwise(F.lit("false")), F.lit("false"))
+    return rows.select(
+        "id", "formatted_address", "city", "country", "postal_code", "created_at", "updated_at", "district",
+        "latitude", "longitude", "is_default", "user_id",
         F.lit("other").alias("type"),
         verified.alias("is_verified"),
         F.lit("").alias("title"),
-        pg.json_text(meta, "notes").alias("comments"),
+        F.col("meta_notes").alias("comments"),
     ).distinct()
 
 
