@@ -171,10 +171,12 @@ def user(cat: Catalog) -> DataFrame:
     )
 
 
-def user_address(cat: Catalog) -> DataFrame:
+def user_address(cat: Catalog, state_key: str = "id") -> DataFrame:
     """D16 ``address``: user addresses with district and city names (English, else Arabic).
 
-    Joins the state translations on the translation's own id, as the legacy query does."""
+    The legacy query joins the state translations on the translation's own ``id`` (the city
+    extract uses ``spree_state_id``, which is likely what was meant); ``state_key`` keeps the
+    line as written by default and selects the other key with ``"spree_state_id"``."""
     sua = cat["spree_user_addresses"].alias("sua")
     sa = cat["spree_addresses"].filter(F.col("city").isNotNull()).alias("sa")
     scon = cat["spree_countries"].alias("scon")
@@ -192,8 +194,8 @@ def user_address(cat: Catalog) -> DataFrame:
         .join(sdist, F.col("sdist.id") == F.col("sa.district_id"), "left")
         .join(sdt_en, F.col("sdt_en.spree_district_id") == F.col("sdist.id"), "left")
         .join(sdt_ar, F.col("sdt_ar.spree_district_id") == F.col("sdist.id"), "left")
-        .join(sst_en, F.col("sst_en.id") == F.col("sa.state_id"), "left")
-        .join(sst_ar, F.col("sst_ar.id") == F.col("sa.state_id"), "left")
+        .join(sst_en, F.col(f"sst_en.{state_key}") == F.col("sa.state_id"), "left")
+        .join(sst_ar, F.col(f"sst_ar.{state_key}") == F.col("sa.state_id"), "left")
     )
     a1, a2 = F.col("sa.address1"), F.col("sa.address2")
     formatted = (

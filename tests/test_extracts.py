@@ -256,3 +256,24 @@ def test_delivery_capacity_fan_out_counts(spark, zone_sizes):
     rows = user.delivery_capacity(c).collect()
     assert len(rows) == max(n_a, 1) + max(n_b, 1) + 1 == _d23_count(c).first()[0]
     assert {r.supermarket_id for r in rows if r.id == 3} == {0}
+
+
+def test_user_address_state_key(spark):
+    c = cat_of(
+        spark,
+        spree_user_addresses=([(1, 7, 30, None, T0, T0)],
+                              "id bigint, user_id bigint, address_id bigint, `default` boolean, created_at timestamp_ntz, "
+                              "updated_at timestamp_ntz"),
+        spree_addresses=([(30, "a1", None, "C", "12-34", 5, 2, 1, None, None, '{"verified": true}')],
+                         "id bigint, address1 string, address2 string, city string, zipcode string, country_id bigint, "
+                         "district_id bigint, state_id bigint, latitude double, longitude double, driver_meta_data string"),
+        spree_countries=([(5, "KSA")], "id bigint, name string"),
+        spree_districts=([(2,)], "id bigint"),
+        spree_district_translations=([(2, "ar", "d-ar")], "spree_district_id bigint, locale string, name string"),
+        spree_state_translations=([(1, 9, "en", "by-id"), (8, 1, "en", "by-state")],
+                                  "id bigint, spree_state_id bigint, locale string, name string"),
+    )
+    as_written = user.user_address(c).first()
+    assert (as_written.city, as_written.district, as_written.postal_code) == ("by-id", "d-ar", 1234)
+    assert (as_written.formatted_address, as_written.is_verified, as_written.is_default) == ("a1 ", "true", False)
+    assert user.user_address(c, state_key="spree_state_id").first().city == "by-state"
