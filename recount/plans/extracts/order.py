@@ -141,7 +141,8 @@ def order_shipment(cat: Catalog) -> DataFrame:
     has, as its first row under a lexicographic order, the first of each list; so each list is
     cut to its first row per order *before* the joins (first slot by start, schedule, end;
     earliest delivery date; smallest fee). Nothing fans out and no order's lists meet in
-    one task."""
+    one task. Schedule ids are the schedules' primary key (a duplicate id would repeat the
+    order's row; the suite's count path, distinct order ids, does not depend on it)."""
     so = live_orders(cat).alias("so")
     first_slot = first_per_key(
         cat["danube_slot_to_orders"],

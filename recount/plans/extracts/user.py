@@ -102,7 +102,8 @@ def delivery_option(cat: Catalog) -> DataFrame:
 
 
 def default_address(cat: Catalog) -> DataFrame:
-    """One default address per user (the lowest user-address id), with its address row.
+    """One default address per user (the lowest user-address id), with its address row
+    (address ids are the addresses' primary key).
 
     Columns: ``da_user_id, da_city, da_latitude, da_longitude, da_country_id``."""
     ua = cat["spree_user_addresses"].filter(F.col("default") == F.lit(True))
