@@ -101,3 +101,11 @@ def test_surrogate_ids_repeat_across_actions(spark):
     first = sorted((r.id, r.v, r.w) for r in ids.collect())
     second = sorted((r.id, r.v, r.w) for r in ids.collect())
     assert first == second and [r[0] for r in first] == list(range(1, 3001))
+
+
+def test_surrogate_id_edge_sizes(spark):
+    empty = spark.range(0).select(F.col("id").alias("v"))
+    assert surrogate_id(empty, [F.col("v").asc()]).count() == 0
+    few = spark.range(3).select(F.col("id").alias("v"))
+    assert sorted((r.id, r.v) for r in surrogate_id(few, [F.col("v").desc()], num_partitions=16).collect()) == [
+        (1, 2), (2, 1), (3, 0)]
