@@ -24,6 +24,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 HOT_ROWS = 1_000_000
 MAX_HOT = 10_000
@@ -58,9 +59,12 @@ def left_join_fanout(
 
     r = right.join(hot_b, _eq(right, hot, right_on, hk), "left")
     r_hot = F.coalesce(F.col("__hot"), F.lit(False))
+    # The salt hashes the row's content (maps cannot be hashed): deterministic, so a retried
+    # task puts every row in the same bucket. Identical rows share a bucket.
+    hashable = [F.col(f.name) for f in right.schema.fields if not isinstance(f.dataType, T.MapType)]
     r = r.select(
         *right.columns,
-        F.when(r_hot, F.pmod(F.xxhash64(*[F.col(c) for c in right.columns]), F.lit(salts)))
+        F.when(r_hot, F.pmod(F.xxhash64(*hashable), F.lit(salts)))
         .otherwise(F.lit(0))
         .cast("int")
         .alias("__rsalt"),
