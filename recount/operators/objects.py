@@ -15,6 +15,10 @@ through one process, holding each body in memory. Here:
 
 Local and mounted paths work out of the box; store URLs (s3://, abfs://, gs://) go through
 ``fsspec`` when that package is installed on the executors.
+
+Keys are spread by hash, so many objects balance by count; one object is one task's stream
+(its memory stays bounded by the chunk size, but a single huge object is not split: a ranged
+multipart copy is a feature of the store's own API, outside Spark).
 """
 
 from __future__ import annotations
