@@ -48,3 +48,15 @@ def test_order_shipment_does_not_fan_out(cat):
 def test_order_address_reads_orders_once(cat):
     p = optimized_text(order.order_address(cat))
     assert p.count("Generate explode") == 1 and "Union" not in p
+
+
+def test_no_registered_query_plans_a_cross_join(spark):
+    import __spark_entry__ as entry
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for name, fn in entry.queries().items():
+            p = plan_text(fn(spark, "/root/testdata/sf0.001"))
+            assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
