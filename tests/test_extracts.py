@@ -277,3 +277,78 @@ def test_user_address_state_key(spark):
     assert (as_written.city, as_written.district, as_written.postal_code) == ("by-id", "d-ar", 1234)
     assert (as_written.formatted_address, as_written.is_verified, as_written.is_default) == ("a1 ", "true", False)
     assert user.user_address(c, state_key="spree_state_id").first().city == "by-state"
+
+
+def test_order_address_bill_and_ship(spark):
+    orders = "id bigint, state string, bill_address_id bigint, ship_address_id bigint, special_instructions string, " \
+             "created_at timestamp_ntz, updated_at timestamp_ntz"
+    c = cat_of(
+        spark,
+        spree_orders=([(1, "complete", 10, 11, "door", T0, T1), (2, None, 10, 10, None, T0, T1)], orders),
+        spree_addresses=([(10, "St 1", None, "Riyadh", "12345", 5, 2, 1.5, None),
+                          (11, None, "Unit", None, "99999999999", 6, 3, None, 2.5)],
+                         "id bigint, address1 string, address2 string, city string, zipcode string, country_id bigint, "
+                         "district_id bigint, latitude double, longitude double"),
+        spree_countries=([(5, "KSA")], "id bigint, name string"),
+        spree_districts=([(2,), (3,)], "id bigint"),
+        spree_district_translations=([(2, "en", "North"), (3, "ar", "x")], "spree_district_id bigint, locale string, name string"),
+    )
+    rows = {r.is_bill_address: r for r in order.order_address(c).collect()}
+    assert set(rows) == {"true", "false"}  # order 2 has a null state: not past the cart
+    b, s = rows["true"], rows["false"]
+    assert (b.address_id, b.city, b.country, b.district, b.formatted_address, b.postal_code) == (
+        10, "Riyadh", "KSA", "North", "St 1 ", 12345)
+    assert (b.latitude, b.longitude, b.delivery_instruction) == (1.5, 0.0, "door")
+    assert (s.address_id, s.city, s.country, s.district, s.formatted_address, s.postal_code) == (
+        11, "", "", None, " Unit", None)  # out-of-range postal code is null
+
+
+def test_payment_refund_status_and_transaction(spark):
+    c = cat_of(
+        spark,
+        spree_refunds=([(1, 7, None, "uncertain", Decimal("1"), T0, T0), (2, 8, "TX2", "weird", Decimal("2"), T0, T0),
+                        (3, None, "TX3", "success", Decimal("3"), T0, T0), (4, 99, None, "failed", Decimal("4"), T0, T0)],
+                       "id bigint, payment_id bigint, transaction_id string, status string, amount decimal(12,2), "
+                       "created_at timestamp_ntz, updated_at timestamp_ntz"),
+        spree_payments=([(7, 70, "RC7"), (8, 80, "RC8")], "id bigint, order_id bigint, response_code string"),
+    )
+    rows = sorted((r.id, r.order_id, r.transaction_id, r.status, r.currency) for r in order.payment_refund(c).collect())
+    assert rows == [(1, 70, "RC7", "pending", "SAR"), (2, 80, "TX2", "", "SAR")]
+
+
+def test_time_slot_groups_and_repeats(spark):
+    sched = "id bigint, time_slot_id bigint, spree_shipping_method_id bigint, day_of_week int"
+    c = cat_of(
+        spark,
+        danube_time_slots_schedules=([(1, 1, 1, 0), (2, 1, 1, 0), (3, 2, 1, 0), (4, 3, 1, 7), (5, None, 1, 0)], sched),
+        danube_time_slots=([(1, "08:00:00", "10:00:00", True), (2, "08:00:00", "10:00:00", True),
+                            (3, "09:00:00", "11:00:00", True)], "id bigint, start_time string, end_time string, enabled boolean"),
+    )
+    rows = sorted(tuple(r) for r in user.time_slot(c).collect())
+    # slots 1 and 2 give equal output rows (the slot id is grouped on but not output)
+    assert rows == [(1, "", "09:00:00", "11:00:00", True, 1), (1, "sunday", "08:00:00", "10:00:00", True, 1),
+                    (1, "sunday", "08:00:00", "10:00:00", True, 1)]
+
+
+def test_delivery_option_keeps_methods_without_english(spark):
+    c = cat_of(
+        spark,
+        spree_shipping_methods=([(1, T0, T0, None), (2, T0, T0, T1)],
+                                "id bigint, created_at timestamp_ntz, updated_at timestamp_ntz, deleted_at timestamp_ntz"),
+        spree_shipping_method_translations=([(1, "en", "Home"), (2, "ar", "x")],
+                                            "spree_shipping_method_id bigint, locale string, name string"),
+    )
+    assert sorted((r.id, r.name) for r in user.delivery_option(c).collect()) == [(1, "Home"), (2, None)]
+
+
+def test_checkout_cards_filters_and_defaults(spark):
+    cards = "id bigint, user_id bigint, name string, cc_type string, gateway_payment_profile_id string, " \
+            "gateway_customer_profile_id string, last_digits string, month int, year int, created_at timestamp_ntz, " \
+            "updated_at timestamp_ntz"
+    c = cat_of(spark, spree_credit_cards=([
+        (1, 10, None, "MADA", None, "c", "1234", 1, 2030, T0, T0),
+        (2, None, "n", "VISA", "p", "c", "1", 1, 2030, T0, T0),
+        (3, 11, "n", None, "p", None, "1", 1, 2030, T0, T0),
+    ], cards))
+    rows = [tuple(r)[:6] for r in user.checkout_cards(c).collect()]
+    assert rows == [(1, 10, "", "MADA", "mada", "")]
