@@ -352,3 +352,46 @@ def test_checkout_cards_filters_and_defaults(spark):
     ], cards))
     rows = [tuple(r)[:6] for r in user.checkout_cards(c).collect()]
     assert rows == [(1, 10, "", "MADA", "mada", "")]
+
+
+def test_order_payment_once_per_shipment(spark):
+    c = cat_of(
+        spark,
+        spree_payments=([(1, 10, "RC1", Decimal("5"), "paid", 3, 7, "Spree::CreditCard"),
+                         (2, 11, "RC2", Decimal("6"), "void", 3, 7, None),
+                         (3, 99, "RC3", Decimal("7"), "paid", 3, 7, "Spree::StoreCredit")],
+                        "id bigint, order_id bigint, response_code string, amount decimal(12,2), state string, "
+                        "payment_method_id bigint, source_id bigint, source_type string"),
+        spree_orders=([(10, None), (11, "SAR")], "id bigint, currency string"),
+        spree_shipments=([(100, 10), (101, 10), (102, 99)], "id bigint, order_id bigint"),
+    )
+    rows = sorted((r.id, r.order_id, r.shipment_id, r.currency, r.source_type) for r in order.order_payment(c).collect())
+    # order 99 does not exist, so its payment meets no shipment (shipments join the order's id)
+    assert rows == [(1, 10, 100, "", "CreditCard"), (2, 10, 101, "", "CreditCard"), (3, 11, None, "SAR", None),
+                    (4, 99, None, "", "StoreCredit")]
+
+
+def test_city_distinct_english_names(spark):
+    c = cat_of(
+        spark,
+        danube_supermarkets=([(1, 0), (2, 0), (3, 1), (4, 9)], "id bigint, state_id bigint"),
+        spree_states=([(0, 5, T0, T0), (1, 5, T0, T0)], "id bigint, country_id bigint, created_at timestamp_ntz, "
+                                                        "updated_at timestamp_ntz"),
+        spree_state_translations=([(0, 0, "en", "RIYADH"), (1, 0, "ar", "x"), (2, 1, "ar", "y")],
+                                  "id bigint, spree_state_id bigint, locale string, name string"),
+    )
+    assert [(r.name, r.state_id) for r in user.city(c).collect()] == [("riyadh", 0)]
+
+
+def test_payment_option_codes(spark):
+    c = cat_of(
+        spark,
+        spree_payment_methods=([(1, "Spree::Gateway::PayFort::ApplePay", T0, T0, None), (2, "Spree::Other", T0, T0, None),
+                                (3, "Spree::PaymentMethod::Check", T0, T0, None)],
+                               "id bigint, type string, created_at timestamp_ntz, updated_at timestamp_ntz, "
+                               "deleted_at timestamp_ntz"),
+        spree_payment_method_translations=([(1, "en", "Apple"), (2, "en", "Other"), (3, "ar", "cash")],
+                                           "spree_payment_method_id bigint, locale string, name string"),
+    )
+    assert sorted((r.id, r.name, r.code) for r in user.payment_option(c).collect()) == [(1, "Apple", "a-pay"),
+                                                                                     (2, "Other", "")]
