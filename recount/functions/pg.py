@@ -59,8 +59,27 @@ def left(c: ColumnOrName, n: int) -> Column:
     return F.substring(col(c), 1, n)
 
 
+def _sql_name(name: str) -> str:
+    return ".".join(f"`{part}`" for part in name.split("."))
+
+
+def _sql_literal(v: Any) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, bool):
+        return "TRUE" if v else "FALSE"
+    if isinstance(v, int):
+        return str(v)
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def value_map(c: ColumnOrName, mapping: Mapping[Any, Any], default: Any = None) -> Column:
     """Searched CASE over equality tests: ``mapping[c]`` else ``default``."""
+    plain = (int, str, bool, type(None))
+    if isinstance(c, str) and isinstance(default, plain) and all(isinstance(x, plain) for kv in mapping.items() for x in kv):
+        # One SQL expression (one call to the JVM) instead of a Column per branch.
+        whens = " ".join(f"WHEN {_sql_literal(k)} THEN {_sql_literal(v)}" for k, v in mapping.items())
+        return F.expr(f"CASE {_sql_name(c)} {whens} ELSE {_sql_literal(default)} END")
     c = col(c)
     out = None
     for k, v in mapping.items():
