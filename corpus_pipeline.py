@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recount.llm import line_dedup, quality
+from recount.llm import line_dedup, quality, simhash
 from recount.llm.common import table, written
 
 
@@ -34,9 +34,15 @@ def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     return _with_text(docs, line_dedup.apply_bitmaps(docs, line_dedup.line_bitmaps(docs)), "__kept_text")
 
 
+def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of documents whose fingerprints are linked, the one of the smallest id stays."""
+    return simhash.one_of_each(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup_stage),
+    ("simhash_dedup", simhash_stage),
 ]
 
 ORACLE_SQL = None

@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, quality
+from . import line_dedup, quality, simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_simhash": simhash.op2_simhash,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_quality": quality.op8_quality,
 }
