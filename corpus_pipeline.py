@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recount.llm import line_dedup, quality, simhash
+from recount.llm import line_dedup, packing, quality, simhash, suffix_array
 from recount.llm.common import table, written
 
 
@@ -26,7 +26,7 @@ def _with_text(docs: DataFrame, new: DataFrame, text: str) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that a quality rule rejects go."""
-    return quality.quality_cascade(docs, keep=docs.columns).filter("kept").select(*docs.columns)
+    return quality.kept_rows(docs)
 
 
 def line_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,10 +39,22 @@ def simhash_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return simhash.one_of_each(docs)
 
 
+def suffix_array_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Bytes of strings of 400 bytes that start in several places go."""
+    return _with_text(docs, suffix_array.without_repeats(docs), "__kept_text")
+
+
+def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every remaining document in bins of 2048 tokens, one per source and cluster in a bin."""
+    return packing.best_fit(docs)
+
+
 STAGES = [
     ("quality_rules", quality_rules),
     ("line_dedup", line_dedup_stage),
     ("simhash_dedup", simhash_stage),
+    ("suffix_array_dedup", suffix_array_stage),
+    ("best_fit_packing", packing_stage),
 ]
 
 ORACLE_SQL = None

@@ -178,6 +178,17 @@ def quality_cascade(
     return out
 
 
+def kept_rows(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The rows of ``docs`` that no rule rejects, with the same columns."""
+    ordered = order_rules(text_stats(docs.limit(sample_rows), text, []), rules, sample_rows)
+    verdict = (~base_failed() & cascade(ordered)).alias("__kept")
+    # A row number keeps the optimizer from pushing the filter below the projections, which would
+    # write every figure's expression out at each of its uses.
+    judged = text_stats(docs, text, docs.columns).select("*", verdict, F.monotonically_increasing_id().alias("__row"))
+    good = judged.filter("__kept AND __row >= 0")
+    return good.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(docs.columns)])
+
+
 QUALITY_SQL = r"""
 WITH t AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
 w AS (

@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, quality, simhash
+from . import line_dedup, packing, quality, simhash, suffix_array
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": simhash.op2_simhash,
+    "op4_packing": packing.op4_packing,
+    "op6_suffix_array": suffix_array.op6_suffix_array,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_quality": quality.op8_quality,
 }
