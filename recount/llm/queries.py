@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import line_dedup, packing, quality, simhash, suffix_array
+from . import bpe, line_dedup, packing, quality, simhash, suffix_array, token_ids
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_simhash": simhash.op2_simhash,
+    "op3_bpe": bpe.op3_bpe,
     "op4_packing": packing.op4_packing,
     "op6_suffix_array": suffix_array.op6_suffix_array,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_quality": quality.op8_quality,
+    "op10_token_ids": token_ids.op10_token_ids,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
