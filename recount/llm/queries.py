@@ -6,20 +6,24 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_dedup, packing, quality, simhash, suffix_array, token_ids
+from . import bpe, line_dedup, packing, quality, simhash, suffix_array, token_ids, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": warc.op1_warc,
     "op2_simhash": simhash.op2_simhash,
     "op3_bpe": bpe.op3_bpe,
     "op4_packing": packing.op4_packing,
     "op6_suffix_array": suffix_array.op6_suffix_array,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_quality": quality.op8_quality,
+    "op9_topk": topk.op9_topk,
     "op10_token_ids": token_ids.op10_token_ids,
 }
 
 #: DuckDB SQL of the queries that SQL can express.
 SQL: dict[str, str] = {
+    "op1_warc": warc.WARC_SQL,
     "op7_line_dedup": line_dedup.LINE_DEDUP_SQL,
     "op8_quality": quality.QUALITY_SQL,
+    "op9_topk": topk.TOPK_SQL,
 }
