@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, line_dedup, packing, quality, simhash, suffix_array, token_ids, topk, warc
+from . import bpe, compact_windows, line_dedup, packing, quality, simhash, suffix_array, token_ids, topk, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
     "op2_simhash": simhash.op2_simhash,
     "op3_bpe": bpe.op3_bpe,
     "op4_packing": packing.op4_packing,
+    "op5_compact_windows": compact_windows.op5_compact_windows,
     "op6_suffix_array": suffix_array.op6_suffix_array,
     "op7_line_dedup": line_dedup.op7_line_dedup,
     "op8_quality": quality.op8_quality,
