@@ -40,13 +40,3 @@ def left_join_count(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
     joined = lc.join(rc, on=lk, how="left")
     per_key = F.col("__nl") * F.greatest(F.coalesce(F.col("__nr"), F.lit(0)), F.lit(1))
     return joined.agg(F.coalesce(F.sum(per_key), F.lit(0)).cast("bigint").alias(name))
-
-
-def inner_join_count(left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str],
-                     name: str = "count") -> DataFrame:
-    """Row count of ``left JOIN right ON left_keys = right_keys`` as ``[name: bigint]``."""
-    lk = [f"__k{i}" for i in range(len(left_keys))]
-    lc = _key_counts(left.select(*[F.col(c).alias(k) for c, k in zip(left_keys, lk)]).dropna(subset=lk), lk, "__nl")
-    rc = _key_counts(right.select(*[F.col(c).alias(k) for c, k in zip(right_keys, lk)]).dropna(subset=lk), lk, "__nr")
-    joined = lc.join(rc, on=lk, how="inner")
-    return joined.agg(F.coalesce(F.sum(F.col("__nl") * F.col("__nr")), F.lit(0)).cast("bigint").alias(name))

@@ -1,21 +1,15 @@
 """Joins whose right side fans out on a key that may be hot.
 
-In ``L LEFT JOIN R ON key`` one key may hold a third of ``R``. A plain shuffle join sends all of
-that key's rows to one task, and Spark's adaptive skew handling can split only the *left*
-side of a left join. ``left_join_fanout`` salts the hot keys instead:
+In ``L LEFT JOIN R ON key`` one key may hold a third of ``R``; Spark's adaptive skew handling can
+split only the left side of a left join. ``left_join_fanout`` therefore is the union of
 
-1. the hot keys of ``R`` (more than ``hot_rows`` rows) are found by a count per key, combined
-   map-side; at most ``max_hot`` of them (the largest) are kept, so the broadcast table has a
-   proven bound. Keys beyond it simply take the ordinary path, which is still exact;
-2. each right row of a hot key gets a salt ``0..salts-1`` from a hash of the row
-   (deterministic, so a re-run task sends every row to the same bucket);
-3. each left row of a hot key is repeated once per salt; other rows get salt 0;
-4. one left join on ``(key, salt)`` spreads a hot key over ``salts`` tasks. A left row of a hot
-   key always has partners, so the null-extended copies produced by buckets that happen to be
-   empty are dropped; rows of other keys keep ordinary left-join semantics.
+* the inner join, of which adaptive execution may split either side, or both, and
+* the left rows without a partner (an anti join, whose left side may be split), null keys among
+  them, with nulls for the right columns.
 
-``L`` is read once; ``R`` is read twice (once for the key counts, pruned to the key).
-Where only the row count is needed, ``counts.left_join_count`` avoids the fan-out entirely.
+No key is counted, salted or treated apart, and there is no threshold: the same plan holds for
+every size and every skew. Where only the row count is needed, ``counts.left_join_count`` avoids
+the fan-out entirely.
 """
 
 from __future__ import annotations
@@ -24,66 +18,18 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-HOT_ROWS = 1_000_000
-MAX_HOT = 10_000
-SALTS = 64
 
-
-def left_join_fanout(
-    left: DataFrame,
-    right: DataFrame,
-    left_on: Sequence[str],
-    right_on: Sequence[str],
-    hot_rows: int = HOT_ROWS,
-    max_hot: int = MAX_HOT,
-    salts: int = SALTS,
-) -> DataFrame:
+def left_join_fanout(left: DataFrame, right: DataFrame, left_on: Sequence[str], right_on: Sequence[str]) -> DataFrame:
     """``left LEFT JOIN right ON left_on = right_on``; column names of the two sides must differ."""
     clash = set(left.columns) & set(right.columns)
     if clash:
         raise ValueError(f"rename overlapping columns first: {sorted(clash)}")
-    hk = [f"__hk{i}" for i in range(len(right_on))]
-    hot = (
-        right.select(*[F.col(c).alias(h) for c, h in zip(right_on, hk)])
-        .dropna()
-        .groupBy(*hk)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .filter(F.col("__n") > hot_rows)
-        .orderBy(F.col("__n").desc())
-        .limit(max_hot)  # the bound of the broadcast; other keys stay exact on the plain path
-        .select(*hk, F.lit(True).alias("__hot"))
-    )
-    hot_b = F.broadcast(hot)
-
-    r = right.join(hot_b, _eq(right, hot, right_on, hk), "left")
-    r_hot = F.coalesce(F.col("__hot"), F.lit(False))
-    # The salt hashes the row's content (maps cannot be hashed): deterministic, so a retried
-    # task puts every row in the same bucket. Identical rows share a bucket.
-    hashable = [F.col(f.name) for f in right.schema.fields if not isinstance(f.dataType, T.MapType)]
-    r = r.select(
-        *right.columns,
-        F.when(r_hot, F.pmod(F.xxhash64(*hashable), F.lit(salts)))
-        .otherwise(F.lit(0))
-        .cast("int")
-        .alias("__rsalt"),
-    )
-
-    lh = hot.select(*[F.col(h).alias(f"__l{h}") for h in hk], F.col("__hot").alias("__lhot"))
-    l_ = left.join(F.broadcast(lh), _eq(left, lh, left_on, [f"__l{h}" for h in hk]), "left")
-    l_hot = F.coalesce(F.col("__lhot"), F.lit(False))
-    l_ = l_.select(
-        *left.columns,
-        l_hot.alias("__is_hot"),
-        F.explode(F.when(l_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))).alias("__lsalt"),
-    )
-
-    cond = _eq(l_, r, left_on, right_on) & (F.col("__lsalt") == F.col("__rsalt"))
-    j = l_.join(r, cond, "left")
-    # A hot left row has partners in some bucket; its unmatched copies are not left-join rows.
-    j = j.filter(~(F.col("__is_hot") & F.col("__rsalt").isNull()))
-    return j.select(*left.columns, *right.columns)
+    met = left.join(right, _eq(left, right, left_on, right_on), "inner")
+    keys = right.select(*right_on)
+    alone = left.join(keys, _eq(left, keys, left_on, right_on), "left_anti")
+    nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
+    return met.select(*left.columns, *right.columns).unionByName(alone.select(*left.columns, *nulls))
 
 
 def _eq(a: DataFrame, b: DataFrame, a_on: Sequence[str], b_on: Sequence[str]) -> Column:

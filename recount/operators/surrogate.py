@@ -1,17 +1,17 @@
-"""Consecutive surrogate ids, ``ROW_NUMBER() OVER (ORDER BY o)`` without one global task.
+"""Consecutive surrogate ids, ``ROW_NUMBER() OVER (ORDER BY ...)`` without one global task.
 
 A plain ``row_number()`` over an un-partitioned window pulls every row into a single task.
 Instead:
 
-1. range-partition on the order and sort within partitions (one shuffle, sampled bounds);
-2. cut the lineage with a reliable checkpoint, so partition ids and row positions are fixed
-   even if an executor is lost and tasks are re-run;
-3. count rows per partition: one row per partition, a size bounded by the partition count;
-4. prefix-sum those counts into offsets and broadcast them (same bound);
-5. id = offset of the row's partition + its position inside the partition + 1.
+1. borders: at most ``SAMPLE_PER_RANGE`` rows per range, those of the smallest hashes, give the
+   quantiles of the order. They are taken once and stand in the plan as literals, so every
+   evaluation of it, also after a lost executor, cuts the same ranges. They decide the balance
+   only: the ids are right whatever they are;
+2. a row's range is found by binary search among the literals; rows are numbered within their range;
+3. the ranges' counts (one row per range, a number fixed beforehand) are summed up and broadcast;
+4. id = rows in earlier ranges + number within the range.
 
-Positions come from ``monotonically_increasing_id`` (partition id in the upper 31 bits,
-position in the lower 33) evaluated on the checkpointed data, so they are stable.
+No checkpoint, no folder, no state besides the plan.
 """
 
 from __future__ import annotations
@@ -21,45 +21,55 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+SAMPLE_PER_RANGE = 20
 
-_POS_BITS = 33
 
-# Above this many partitions the offsets table is no longer small; refuse rather than
-# broadcast something that grows with the data.
-MAX_OFFSET_ROWS = 1_000_000
+def _key(by: Sequence[str]) -> Column:
+    """A struct that sorts like ``by`` ascending, nulls last."""
+    parts = []
+    for i, c in enumerate(by):
+        parts += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
+    return F.struct(*parts)
 
 
-def surrogate_id(
-    df: DataFrame,
-    order: Sequence[Column],
-    name: str = "id",
-    num_partitions: int | None = None,
-    checkpoint: bool = True,
-) -> DataFrame:
-    """Add ``name`` = 1, 2, ... following ``order`` (which should be total for stable ids)."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    if n > MAX_OFFSET_ROWS:  # the offsets table has one row per partition
-        raise ValueError(f"{n} partitions: offsets table too large to broadcast")
-    ranged = df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    if checkpoint:
-        ensure_checkpoint_dir(spark)
-        ranged = ranged.checkpoint(eager=True)
-    pos = "__mono"
-    tagged = ranged.withColumn(pos, F.monotonically_increasing_id())
-    part = F.shiftright(F.col(pos), _POS_BITS)
-    counts = tagged.groupBy(part.alias("__pid")).agg(F.count(F.lit(1)).alias("__n"))
-    offsets = counts.select(
-        "__pid",
-        F.coalesce(
-            F.sum("__n").over(Window.orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)),
-            F.lit(0),
-        ).alias("__off"),
+def _borders(df: DataFrame, by: Sequence[str], ranges: int) -> list[tuple]:
+    """At most ``ranges - 1`` rows (values of ``by``) that cut ``df`` into about equal ranges."""
+    keys = df.select(*by)
+    sample = keys.orderBy(F.xxhash64(*by)).limit(SAMPLE_PER_RANGE * ranges).select(_key(by).alias("k"))
+    rows = [r["k"] for r in sample.orderBy("k").collect()]
+    cut = {tuple(rows[i * len(rows) // ranges]) for i in range(1, ranges)} if rows else set()
+    return [r for r in dict.fromkeys(tuple(x) for x in rows) if r in cut]
+
+
+def _range_of(key: Column, borders: list[Column], first: int = 0) -> Column:
+    """The number of borders that are not greater than ``key``: a tree of comparisons."""
+    if not borders:
+        return F.lit(first)
+    mid = len(borders) // 2
+    return F.when(key < borders[mid], _range_of(key, borders[:mid], first)).otherwise(
+        _range_of(key, borders[mid + 1 :], first + mid + 1)
     )
-    local_pos = F.col(pos).bitwiseAND(F.lit((1 << _POS_BITS) - 1))
+
+
+def surrogate_id(df: DataFrame, by: Sequence[str], name: str = "id", num_ranges: int | None = None) -> DataFrame:
+    """Add ``name`` = 1, 2, ... in the ascending order of the columns ``by``, nulls last (they
+    should determine the row's place, for stable ids)."""
+    n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    types = {f.name: f.dataType for f in df.schema.fields}
+    literals = []
+    for row in _borders(df, by, n):
+        parts = []
+        for i, c in enumerate(by):
+            parts += [F.lit(row[2 * i]).alias(f"n{i}"), F.lit(row[2 * i + 1]).cast(types[c]).alias(f"v{i}")]
+        literals.append(F.struct(*parts))
+    tagged = df.withColumn("__range", _range_of(_key(by), literals))
+    counts = tagged.groupBy(F.col("__range").alias("__of")).agg(F.count(F.lit(1)).alias("__n"))
+    before = F.sum("__n").over(Window.orderBy("__of").rowsBetween(Window.unboundedPreceding, -1))
+    offsets = counts.select("__of", F.coalesce(before, F.lit(0)).alias("__before"))
+    within = F.row_number().over(Window.partitionBy("__range").orderBy(*[F.col(c).asc_nulls_last() for c in by]))
     return (
-        tagged.join(F.broadcast(offsets), part == F.col("__pid"))
-        .withColumn(name, (F.col("__off") + local_pos + 1).cast("bigint"))
-        .drop(pos, "__pid", "__off")
+        tagged.withColumn("__within", within)
+        .join(F.broadcast(offsets), F.col("__range") == F.col("__of"))
+        .withColumn(name, (F.col("__before") + F.col("__within")).cast("bigint"))
+        .drop("__range", "__within", "__of", "__before")
     )

@@ -48,7 +48,7 @@ def cancellation_reason(cat: Catalog, with_ids: bool = True) -> DataFrame:
     )
     if not with_ids:
         return rows
-    return surrogate_id(rows, [F.col("reason_en").asc()]).select(
+    return surrogate_id(rows, ["reason_en"]).select(
         "id", "reason_en", "reason_ar", "visible", "created_at", "updated_at"
     )
 
@@ -65,8 +65,9 @@ def order_product(cat: Catalog, as_of: Column | None = None) -> DataFrame:
     sli = cat["spree_line_items"].alias("sli")
     sv = cat["spree_variants"].alias("sv")
     so = live_orders(cat).select("id", "state", "replace_product").alias("so")
-    j = sli.join(sv, F.col("sv.id") == F.col("sli.variant_id"), "left").join(
-        so, F.col("so.id") == F.col("sli.order_id"), "inner"
+    # Lines of carts go before the variants are looked up.
+    j = sli.join(so, F.col("so.id") == F.col("sli.order_id"), "inner").join(
+        sv, F.col("sv.id") == F.col("sli.variant_id"), "left"
     )
     inc, req, qty, price = (F.col(c) for c in ("sv.weight_increment", "sli.requested_quantity", "sli.quantity", "sli.price"))
     t_inc, t_req = dict(sv.dtypes)["weight_increment"], dict(sli.dtypes)["requested_quantity"]
@@ -128,8 +129,7 @@ def order_payment(cat: Catalog, with_ids: bool = True) -> DataFrame:
             "shipment_id", "source_type"]
     if not with_ids:
         return rows.select(*cols)
-    order = [pg.asc("order_id"), pg.asc("shipment_id"), pg.asc("_payment_id")]
-    return surrogate_id(rows, order).select("id", *cols)
+    return surrogate_id(rows, ["order_id", "shipment_id", "_payment_id"]).select("id", *cols)
 
 
 def order_shipment(cat: Catalog) -> DataFrame:
@@ -191,7 +191,8 @@ def order_address(cat: Catalog) -> DataFrame:
     """D9 ``order_address``: the bill and the ship address of every non-cart order.
 
     The legacy UNION ALL of two near-identical branches reads orders once here: each order
-    emits two (address id, is-bill) pairs, then one set of joins serves both."""
+    emits two (address id, is-bill) pairs. Country and district are joined to the addresses, at
+    their grain, so the doubled orders go through a single join."""
     so = live_orders(cat).select(
         "id", "special_instructions", "created_at", "updated_at",
         F.explode(
@@ -205,24 +206,37 @@ def order_address(cat: Catalog) -> DataFrame:
     con = cat["spree_countries"].alias("con")
     dist = cat["spree_districts"].alias("dist")
     sdt = cat["spree_district_translations"].filter(F.col("locale") == "en").alias("sdt")
-    j = (
-        so.join(sa, F.col("sa.id") == F.col("so.address_id"), "left")
-        .join(con, F.col("con.id") == F.col("sa.country_id"), "left")
-        .join(dist, F.col("dist.id") == F.col("sa.district_id"), "left")
-        .join(sdt, F.col("sdt.spree_district_id") == F.col("dist.id"), "left")
+    area = dist.join(sdt, F.col("sdt.spree_district_id") == F.col("dist.id"), "left").select(
+        F.col("dist.id").alias("area_id"), F.col("sdt.name").alias("district")
+    )
+    place = (
+        sa.join(con, F.col("con.id") == F.col("sa.country_id"), "left")
+        .join(area, F.col("area_id") == F.col("sa.district_id"), "left")
+        .select(
+            F.col("sa.id").alias("place_id"),
+            F.col("sa.city").alias("city"),
+            F.col("con.name").alias("country"),
+            "district",
+            F.col("sa.address1").alias("address1"),
+            F.col("sa.address2").alias("address2"),
+            F.col("sa.latitude").alias("latitude"),
+            F.col("sa.longitude").alias("longitude"),
+            F.col("sa.zipcode").alias("zipcode"),
+        )
     )
+    j = so.join(place, F.col("place_id") == F.col("so.address_id"), "left")
     return j.select(
         F.col("so.id").alias("order_id"),
         F.col("so.address_id").alias("address_id"),
         F.col("so.is_bill_address").alias("is_bill_address"),
-        F.coalesce(F.col("sa.city"), F.lit("")).alias("city"),
-        F.coalesce(F.col("con.name"), F.lit("")).alias("country"),
-        F.col("sdt.name").alias("district"),
+        F.coalesce(F.col("city"), F.lit("")).alias("city"),
+        F.coalesce(F.col("country"), F.lit("")).alias("country"),
+        F.col("district"),
         F.lit("other").alias("type"),
-        pg.concat(F.col("sa.address1"), " ", F.col("sa.address2")).alias("formatted_address"),
-        F.coalesce(F.col("sa.latitude"), F.lit(0.0)).alias("latitude"),
-        F.coalesce(F.col("sa.longitude"), F.lit(0.0)).alias("longitude"),
-        pg.digits_or_null("sa.zipcode", "int").alias("postal_code"),
+        pg.concat(F.col("address1"), " ", F.col("address2")).alias("formatted_address"),
+        F.coalesce(F.col("latitude"), F.lit(0.0)).alias("latitude"),
+        F.coalesce(F.col("longitude"), F.lit(0.0)).alias("longitude"),
+        pg.digits_or_null("zipcode", "int").alias("postal_code"),
         F.col("so.special_instructions").alias("delivery_instruction"),
         F.col("so.created_at").alias("created_at"),
         F.col("so.updated_at").alias("updated_at"),

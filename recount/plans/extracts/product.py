@@ -108,7 +108,7 @@ def brand(cat: Catalog, with_ids: bool = True) -> DataFrame:
     )
     cols = ["name_en", "code", "created_at", "updated_at", "temp_taxon_id", "name_ar"]
     if with_ids:
-        rt = surrogate_id(rt, [F.col("temp_taxon_id").asc()])
+        rt = surrogate_id(rt, ["temp_taxon_id"])
         code = F.coalesce(pg.brand_code("name_en_raw", "id"), F.lit(""))
     else:
         code = F.lit(None).cast("string")

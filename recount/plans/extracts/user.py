@@ -313,11 +313,6 @@ def supermarket_delivery_type(cat: Catalog) -> DataFrame:
     return supermarket_delivery_types_all(cat).distinct()
 
 
-def delivery_type_count(cat: Catalog) -> int:
-    """D20 ``delivery_type``: the legacy side is the constant ``select 2``."""
-    return 2
-
-
 def supermarket_delivery_option(cat: Catalog) -> DataFrame:
     """D21 ``supermarket_delivery_option``: pick-up -> 2, home delivery -> 1; distinct."""
     ds = cat["danube_supermarkets"]

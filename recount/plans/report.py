@@ -12,6 +12,8 @@ import logging
 from collections import defaultdict
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -115,14 +117,11 @@ class _Counts:
             if isinstance(side, Const):
                 staged_consts.append((spec.ord, side_name, int(side.value)))
             elif isinstance(side, Scan) and not cat.fuse_scans:
-                df = cat.count_source(side.table)
-                if side.where is not None:
-                    df = df.filter(side.predicate())
-                staged_frames.append(_count_frame(spec.ord, side_name, row_count(df)))
+                staged_frames.append(_count_frame(spec.ord, side_name, cat.count(side.table, side.where)))
             elif isinstance(side, Scan):
                 key = (id(cat), side.table)
                 if key not in self.tables:
-                    self.tables[key] = cat.count_source(side.table)
+                    self.tables[key] = cat.table(side.table)
                 if isinstance(side.where, str):  # resolve the predicate now, so errors surface here
                     self.tables[key].selectExpr(f"count_if({side.where})")
                 elif side.where is not None:
@@ -181,7 +180,8 @@ def suite_report(
     """The report of a suite as one lazy DataFrame.
 
     ``on_error`` applies to specs that cannot be planned (missing table or column):
-    ``'stop'`` keeps the specs before the first failing one, as the legacy loop does;
+    ``'stop'`` keeps the specs before the first failing one, as the legacy loop does, and one row
+    that names the failing spec, with null counts and the error as its comment;
     ``'isolate'`` keeps every spec and reports the failing ones with null counts and an
     ``Error`` column; ``'raise'`` re-raises.
     """
@@ -198,9 +198,9 @@ def suite_report(
             if on_error == "raise":
                 raise
             log.warning("spec %s %s -> %s cannot be planned: %s", s.ord, s.source_label, s.dest_label, e)
+            errors[s.ord] = _text(e)
             if on_error == "stop":
                 break
-            errors[s.ord] = _short(e)
     kept = good + [s for s in specs if s.ord in errors]
     frames = plan.count_frames()
     args = {f"f{i}": f for i, f in enumerate(frames)}
@@ -219,12 +219,13 @@ def suite_report(
     src_c, dst_c = F.col("Source Count"), F.col("Destination Count")
     report = pairs.select("*", verdict(src_c, dst_c).alias("Result"), comment(src_c, dst_c).alias("Comments"))
     cols = ["ord", "suite", *REPORT_COLUMNS]
-    if on_error == "isolate":
+    if on_error == "isolate" or errors:
         err = _error_frame(spark, errors)
         report = report.join(F.broadcast(err), "ord", "left")
         report = report.withColumn(
             "Result", F.when(F.col("Error").isNotNull(), F.lit(MISMATCH)).otherwise(F.col("Result"))
         ).withColumn("Comments", F.when(F.col("Error").isNotNull(), F.col("Error")).otherwise(F.col("Comments")))
+    if on_error == "isolate":
         cols.append("Error")
     return report.select(*cols)
 
@@ -233,9 +234,16 @@ def _error_frame(spark: SparkSession, errors: dict[int, str]) -> DataFrame:
     return spark.createDataFrame(list(errors.items()), "ord bigint, Error string")
 
 
-def _short(e: BaseException) -> str:
-    msg = str(e).strip().splitlines()
-    return (msg[0] if msg else type(e).__name__)[:500]
+def _text(e: BaseException) -> str:
+    """The whole error."""
+    return str(e).strip() or type(e).__name__
+
+
+def _of_query(e: BaseException, spark: SparkSession) -> bool:
+    """Whether an error is a query's own: not that of a stopped session or a cancelled job."""
+    if not isinstance(e, (PySparkException, Py4JJavaError)) or spark.sparkContext._jsc.sc().isStopped():
+        return False
+    return "cancelled" not in str(e).lower()
 
 
 def run_suite(
@@ -248,15 +256,16 @@ def run_suite(
 
     The suite runs as one job. If that job fails (a database error, a bad value under ANSI
     casts), the specs are re-run one job each, in order, and ``on_error`` decides: ``'stop'``
-    keeps the rows before the first failing spec; ``'isolate'`` reports each failing spec
-    with null counts and its error; ``'raise'`` re-raises.
+    keeps the rows before the first failing spec and that spec's, with its error as the
+    comment; ``'isolate'`` reports each failing spec with null counts and its error; ``'raise'``
+    re-raises. Errors other than a query's (a lost cluster, a cancelled job) are always raised.
     """
     spark = source.spark
     try:
         rows = suite_report(specs, source, dest, on_error).collect()
         return spark.createDataFrame(rows, _schema(on_error))
-    except Exception:
-        if on_error == "raise":
+    except Exception as e:
+        if on_error == "raise" or not _of_query(e, spark):
             raise
         log.warning("suite job failed; re-running spec by spec", exc_info=True)
     out = []
@@ -265,9 +274,12 @@ def run_suite(
             r = suite_report([s], source, dest, "raise").collect()
             out.extend(tuple(x) + ((None,) if on_error == "isolate" else ()) for x in r)
         except Exception as e:
+            if isinstance(e, (PySparkException, Py4JJavaError)) and not _of_query(e, spark):
+                raise
+            row = (s.ord, s.suite, s.source_label, s.dest_label, None, None, MISMATCH, _text(e))
+            out.append(row + ((_text(e),) if on_error == "isolate" else ()))
             if on_error == "stop":
                 break
-            out.append((s.ord, s.suite, s.source_label, s.dest_label, None, None, MISMATCH, _short(e), _short(e)))
     return spark.createDataFrame(out, _schema(on_error))
 
 
@@ -300,6 +312,7 @@ def write_report(report: DataFrame, path: str) -> None:
     )
 
 
-def show_report(report: DataFrame, n: int = 1000) -> None:
-    """Print every row and column."""
-    report.orderBy("ord").show(n=n, truncate=False)
+def show_report(report: DataFrame) -> None:
+    """Print every row and column (R9); a report has one row per spec."""
+    rows = report.orderBy("ord").collect()
+    report.sparkSession.createDataFrame(rows, report.schema).show(n=max(1, len(rows)), truncate=False)

@@ -1,13 +1,7 @@
-"""Session helpers: a local session for tests and tools, and the checkpoint folder.
-
-On a cluster the session comes from the caller; nothing here overrides what the cluster set.
-"""
+"""A local session for tests and tools. On a cluster the session comes from the caller."""
 
 from __future__ import annotations
 
-import os
-import tempfile
-
 from pyspark.sql import SparkSession
 
 # Settings a local run needs; on a cluster these come from the deployment.
@@ -30,38 +24,4 @@ def local_session(cpus: int | str = "*", app: str = "recount", **conf: str) -> S
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
-
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """The shared folder the cluster names for checkpoints, if any."""
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None)
-    try:
-        sc = spark.sparkContext
-    except Exception:  # a remote (Connect) session: the server reads spark.checkpoint.dir
-        return conf_dir
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir()
-    return None
-
-
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Use the session's checkpoint folder; make a private one only on a local master.
-
-    A machine-local folder is never right on a cluster (executors cannot read each
-    other's disks), so a non-local session without ``spark.checkpoint.dir`` is an error.
-    """
-    d = checkpoint_dir(spark)
-    if d:
-        return d
-    master = spark.conf.get("spark.master", "")
-    if not master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a shared folder (e.g. hdfs:// or s3a://)")
-    d = tempfile.mkdtemp(prefix="recount-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.sparkContext.setCheckpointDir(d)
-    return spark.sparkContext.getCheckpointDir()

@@ -7,10 +7,14 @@ a metastore, parquet folders or in-memory frames.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+log = logging.getLogger(__name__)
 
 
 class Catalog:
@@ -18,7 +22,7 @@ class Catalog:
 
     ``fuse_scans``: whether several counts over one table should share one pass (right for
     files and tables Spark scans itself; wrong where each count can be answered by the
-    source, as with JDBC aggregate push-down)."""
+    source, as a database does)."""
 
     fuse_scans = True
 
@@ -49,9 +53,12 @@ class Catalog:
     def _load(self, name: str) -> DataFrame:  # pragma: no cover - abstract
         raise NotImplementedError
 
-    def count_source(self, name: str) -> DataFrame:
-        """The frame a plain or filtered count of ``name`` should read (default: ``table``)."""
-        return self.table(name)
+    def count(self, name: str, where: str | Column | None = None) -> DataFrame:
+        """One row, the number of rows of ``name`` that ``where`` keeps."""
+        df = self.table(name)
+        if where is not None:
+            df = df.filter(where)
+        return df.agg(F.count(F.lit(1)).alias("n"))
 
     def names(self) -> list[str]:
         return sorted(self._cache)
@@ -96,10 +103,12 @@ class JdbcPartitioning:
 class JdbcCatalog(Catalog):
     """A relational database read over JDBC (the reference's PostgreSQL connections).
 
-    ``partitioning`` gives per-table range splits so large tables are read by many tasks;
-    ``fetchsize`` keeps the driver-side cursor from buffering whole tables. Counts of a whole
-    or filtered table are read without partitioning and with aggregate push-down, so the
-    database answers ``SELECT count(*) ... WHERE ...`` and one row crosses the wire.
+    ``partitioning`` gives per-table range splits so large tables are read by many tasks; a
+    table without one is read by a single task, which ``unpartitioned="warn"`` reports and
+    ``"error"`` refuses. ``fetchsize`` keeps the driver-side cursor from buffering whole tables.
+    Counts are sent as a statement, ``SELECT count(*) FROM t WHERE ...``: one row crosses the
+    wire. (Spark's own JDBC reader would stream a value per row: its aggregate push-down applies
+    to catalog tables only.)
     """
 
     fuse_scans = False
@@ -111,12 +120,14 @@ class JdbcCatalog(Catalog):
         properties: Mapping[str, str],
         partitioning: Mapping[str, JdbcPartitioning] | None = None,
         fetchsize: int = 10_000,
+        unpartitioned: str = "warn",
     ):
         super().__init__(spark)
         self.url = url
         self.properties = dict(properties)
         self.partitioning = dict(partitioning or {})
         self.fetchsize = fetchsize
+        self.unpartitioned = unpartitioned
 
     def _reader(self, name: str):
         reader = (
@@ -125,7 +136,6 @@ class JdbcCatalog(Catalog):
             .option("dbtable", name)
             .option("fetchsize", str(self.fetchsize))
             .option("pushDownPredicate", "true")
-            .option("pushDownAggregate", "true")
         )
         for k, v in self.properties.items():
             reader = reader.option(k, v)
@@ -142,12 +152,19 @@ class JdbcCatalog(Catalog):
         lo, hi = row["lo"], row["hi"]
         return (int(lo) if lo is not None else 0), (int(hi) if hi is not None else 0)
 
-    def count_source(self, name: str) -> DataFrame:
-        return self._reader(name).load()
+    def count(self, name: str, where: str | Column | None = None) -> DataFrame:
+        if isinstance(where, Column):
+            raise ValueError(f"count of {name}: give the condition as SQL text, which the database can evaluate")
+        return self._query(f"SELECT count(*) AS n FROM {name}" + (f" WHERE {where}" if where else ""))
 
     def _load(self, name: str) -> DataFrame:
         reader = self._reader(name)
         p = self.partitioning.get(name)
+        if p is None:
+            said = f"{name} is read by one task: no partitioning is given for it"
+            if self.unpartitioned == "error":
+                raise ValueError(said)
+            log.warning(said)
         if p is not None:
             lo, hi = self.bounds(name, p)
             reader = (
@@ -172,17 +189,3 @@ class FrameCatalog(Catalog):
 
     def names(self) -> list[str]:
         return sorted(self.tables)
-
-
-@dataclass
-class AliasCatalog(Catalog):
-    """Renames: ``aliases[name]`` is looked up in ``base``; other names pass through."""
-
-    base: Catalog
-    aliases: Mapping[str, str] = field(default_factory=dict)
-
-    def __post_init__(self):
-        Catalog.__init__(self, self.base.spark)
-
-    def _load(self, name: str) -> DataFrame:
-        return self.base.table(self.aliases.get(name, name))

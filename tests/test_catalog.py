@@ -1,5 +1,10 @@
 """Catalog behaviour that does not need a live database."""
 
+import pytest
+from pyspark.sql import functions as F
+
+from recount.plans.report import suite_report
+from recount.plans.suites import order_suite
 from recount.sources.catalog import FrameCatalog, JdbcCatalog, JdbcPartitioning, ParquetCatalog
 
 
@@ -34,10 +39,41 @@ def test_jdbc_partition_bounds_from_the_table(spark):
     assert cat.queries == ["SELECT min(id) AS lo, max(id) AS hi FROM spree_orders"]
     assert (opts["partitionColumn"], opts["lowerBound"], opts["upperBound"], opts["numPartitions"]) == (
         "id", "3", "1000003", "64")
-    assert "partitionColumn" not in cat.count_source("spree_orders")  # counts: one pushed-down query
     assert cat.fuse_scans is False
 
 
+def test_counts_are_sent_to_the_database(spark):
+    cat = _FakeJdbc(spark, {})
+    cat.count("spree_orders")
+    cat.count("spree_orders", "state != 'cart'")
+    assert cat.queries == ["SELECT count(*) AS n FROM spree_orders",
+                           "SELECT count(*) AS n FROM spree_orders WHERE state != 'cart'"]
+    with pytest.raises(ValueError, match="SQL text"):
+        cat.count("spree_orders", F.col("state") != "cart")
+
+
+def test_suite_scans_send_their_condition(spark):
+    sent = []
+
+    class Counting(_FakeJdbc):
+        def _query(self, sql):
+            sent.append(sql)
+            return self.spark.createDataFrame([(7,)], "n bigint")
+
+    cat = Counting(spark, {})
+    specs = [s for s in order_suite() if s.dest_label == "order"]
+    row = suite_report(specs, cat, cat).first()
+    assert (row["Source Count"], row["Destination Count"]) == (7, 7)
+    assert sent == ["SELECT count(*) AS n FROM spree_orders WHERE state != 'cart'", "SELECT count(*) AS n FROM public.order"]
+
+
+def test_unpartitioned_reads_are_a_choice(spark):
+    cat = _FakeJdbc(spark, {})
+    cat.unpartitioned = "error"
+    with pytest.raises(ValueError, match="one task"):
+        cat._load("spree_orders")
+
+
 def test_jdbc_given_bounds_skip_the_query(spark):
     cat = _FakeJdbc(spark, {"t": JdbcPartitioning("id", 8, lower=0, upper=99)})
     assert cat._load("t")["upperBound"] == "100" and cat.queries == []
@@ -50,11 +86,3 @@ def test_parquet_and_frame_catalogs(spark):
     assert frames["a"].count() == 3 and frames["b"].count() == 4
     fn = lambda c: c["a"].filter("id > 0")
     assert frames.derive(fn) is frames.derive(fn)  # one frame per derivation
-
-
-def test_alias_catalog_maps_names(spark):
-    from recount.sources.catalog import AliasCatalog
-
-    base = FrameCatalog(spark, {"users_v2": spark.range(7)})
-    cat = AliasCatalog(base, {"public.user": "users_v2"})
-    assert cat["public.user"].count() == 7 and cat.spark is spark

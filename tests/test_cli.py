@@ -22,13 +22,28 @@ def test_report_auth_suite_from_parquet(spark, cat, tmp_path, capsys):
     assert [r["Result"] for r in rows] == ["count matches", "count mismatch", "count matches"]
 
 
+def test_report_of_missing_tables_fails(spark, tmp_path, capsys):
+    for policy in ("stop", "isolate"):
+        status = main(["report", "--suite", "auth", "--source-parquet", str(tmp_path / "no"), "--dest-parquet", str(tmp_path / "none"),
+                       "--on-error", policy])
+        printed = capsys.readouterr().out
+        assert status == 1 and "spree_users" in printed and "count mismatch" in printed
+
+
+def test_partition_arguments():
+    from recount.__main__ import _partitioning
+
+    got = _partitioning(["spree_orders=id:64", "spree_users=id"])
+    assert (got["spree_orders"].column, got["spree_orders"].num_partitions, got["spree_users"].num_partitions) == ("id", 64, 200)
+
+
 def test_copy_command(spark, tmp_path, capsys):
     src, dst = tmp_path / "s3", tmp_path / "blob"
-    os.makedirs(src / "DEBUG" / "processed" / "OrderHistory" / "2024")
+    os.makedirs(src / "archive" / "images" / "2023" / "2024")
     for i in range(5):
-        (src / "DEBUG" / "processed" / "OrderHistory" / "2024" / f"{i}.jpg").write_bytes(bytes([i]) * (i * 10))
-    assert main(["copy", "--src", str(src), "--dst", str(dst), "--prefix", "DEBUG/processed/OrderHistory"]) == 0
+        (src / "archive" / "images" / "2023" / "2024" / f"{i}.jpg").write_bytes(bytes([i]) * (i * 10))
+    assert main(["copy", "--src", str(src), "--dst", str(dst), "--prefix", "archive/images/2023"]) == 0
     assert "ok: 5 objects, 100 bytes" in capsys.readouterr().out
-    assert main(["copy", "--src", str(src), "--dst", str(dst), "--prefix", "DEBUG/processed/OrderHistory",
+    assert main(["copy", "--src", str(src), "--dst", str(dst), "--prefix", "archive/images/2023",
                  "--resume"]) == 0
-    assert sorted(os.listdir(dst / "DEBUG" / "processed" / "OrderHistory" / "2024")) == [f"{i}.jpg" for i in range(5)]
+    assert sorted(os.listdir(dst / "archive" / "images" / "2023" / "2024")) == [f"{i}.jpg" for i in range(5)]

@@ -72,8 +72,24 @@ def test_missing_table_stop_keeps_prefix(spark):
     cat = _catalog(spark)
     specs = _specs()[:2] + [ReconSpec("s", 3, "nope", "t", Scan("missing"), Scan("t"))] + _specs()[2:]
     specs[3] = ReconSpec("s", 4, "t_even", "t", Scan("t", "even"), Scan("t"))
-    rows = suite_report(specs, cat, cat, on_error="stop").collect()
-    assert sorted(r["ord"] for r in rows) == [1, 2]
+    rows = {r["ord"]: r for r in suite_report(specs, cat, cat, on_error="stop").collect()}
+    assert sorted(rows) == [1, 2, 3]  # the failing spec is named, the one after it is not reached
+    assert rows[3]["Source Count"] is None and rows[3]["Result"] == "count mismatch" and rows[3]["Comments"]
+
+
+@pytest.mark.parametrize("at", [1, 2, 3])
+@pytest.mark.parametrize("policy", ["stop", "isolate", "raise"])
+def test_missing_table_in_any_place(spark, at, policy):
+    cat = _catalog(spark)
+    specs = [ReconSpec("s", i, "t", "t", Scan("missing" if i == at else "t"), Scan("t")) for i in (1, 2, 3)]
+    if policy == "raise":
+        with pytest.raises(Exception, match="missing"):
+            run_suite(specs, cat, cat, on_error=policy)
+        return
+    rows = {r["ord"]: r for r in run_suite(specs, cat, cat, on_error=policy).collect()}
+    assert sorted(rows) == list(range(1, (at if policy == "stop" else 3) + 1))
+    assert "missing" in rows[at]["Comments"]
+    assert all(r["Result"] == ("count mismatch" if i == at else "count matches") for i, r in rows.items())
 
 
 def test_missing_table_isolate_reports_error(spark):
@@ -98,7 +114,8 @@ def test_runtime_failure_isolated_per_spec(spark):
     assert iso[1]["Result"] == "count matches" and iso[3]["Result"] == "count matches"
     assert iso[2]["Error"] and iso[2]["Source Count"] is None
     stop = run_suite(specs, cat, cat, on_error="stop").collect()
-    assert [r["ord"] for r in stop] == [1]
+    assert [r["ord"] for r in stop] == [1, 2] and stop[1]["Comments"] == iso[2]["Error"]
+    assert len(iso[2]["Error"]) > 500 or "\n" in iso[2]["Error"] or "CAST_INVALID_INPUT" in iso[2]["Error"]  # whole
 
 
 def test_write_report_csv_roundtrip(spark, tmp_path):

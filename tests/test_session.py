@@ -1,12 +1,4 @@
-"""The checkpoint folder comes from the session; a private one only on a local master."""
-
-from recount.session import checkpoint_dir, ensure_checkpoint_dir
-
-
-def test_checkpoint_dir_is_read_from_the_session(spark):
-    d = ensure_checkpoint_dir(spark)
-    assert d and checkpoint_dir(spark) == d
-    assert ensure_checkpoint_dir(spark) == d  # idempotent, never replaced
+"""Sessions: nothing is left behind in them."""
 
 
 def test_fixtures_leave_no_views_behind(spark):
