@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from .common import KEY, null_safe, row_key, text_or_empty, written
+from .common import KEY, null_safe, packed, row_key, text_or_empty, unpacked, written
 
 LENGTH = 400
 SHARD_BITS = 20
@@ -219,40 +219,50 @@ def refine(buf, depth: int):
 
 def common_prefixes(buf, order, length: int):
     """For positions in suffix order, the common prefix of each with its predecessor in that
-    order, exact where it matters: whether it reaches ``length``. Kasai's rule: if the
-    predecessor of p + 1 follows that of p, their prefix is one byte shorter; only the first of
-    such a chain is compared, eight bytes at a time."""
+    order, exact up to ``length``. Kasai's rule: if the predecessor of p + 1 follows that of p,
+    their prefix is one byte shorter, as long as there was one; only where such a chain begins, or
+    runs out, bytes are compared, eight at a time."""
     import numpy as np
 
     n = len(buf)
     before = np.full(n + 1, -2, np.int64)
     before[order[1:]] = order[:-1]
     p = np.sort(order[1:])
+    q = before[p]
     head = np.ones(len(p), bool)
-    head[1:] = (p[1:] != p[:-1] + 1) | (before[p[1:]] != before[p[:-1]] + 1)
+    head[1:] = (p[1:] != p[:-1] + 1) | (q[1:] != q[:-1] + 1)
     at = np.flatnonzero(head)
     span = np.diff(np.append(at, len(p)))
     pad = np.concatenate((buf, np.zeros(8, np.uint8)))
     word = np.lib.stride_tricks.sliding_window_view(pad, 8)[: n + 1].copy().view(np.uint64).ravel()
-    x, y = p[at], before[p[at]]
-    lcp = np.zeros(len(at), np.int64)
-    need = length + span  # beyond the chain's last decision nothing is asked
-    live = np.arange(len(at))
-    done = 0
-    while len(live):
-        a, b = np.minimum(x[live] + done, n), np.minimum(y[live] + done, n)
-        same = word[a] == word[b]
-        stop = live[~same]
-        if len(stop):
-            differ = word[np.minimum(x[stop] + done, n)] ^ word[np.minimum(y[stop] + done, n)]
-            low = differ & (~differ + np.uint64(1))
-            lcp[stop] = done + np.bitwise_count(low - np.uint64(1)).astype(np.int64) // 8
-        live = live[same]
-        done += 8
-        lcp[live] = done
-        live = live[need[live] > done]
-    plcp = np.repeat(lcp, span) - (np.arange(len(p)) - np.repeat(at, span))
-    return p, before[p], plcp
+    plcp = np.zeros(len(p), np.int64)
+    while len(at):
+        x, y = p[at], q[at]
+        lcp = np.zeros(len(at), np.int64)
+        need = length + span  # beyond that, no decision of the chain is open
+        live, done = np.arange(len(at)), 0
+        while len(live):
+            differ = word[np.minimum(x[live] + done, n)] ^ word[np.minimum(y[live] + done, n)]
+            stop = differ != 0
+            low = differ[stop] & (~differ[stop] + np.uint64(1))
+            lcp[live[stop]] = done + np.bitwise_count(low - np.uint64(1)).astype(np.int64) // 8
+            live = live[~stop]
+            done += 8
+            lcp[live] = done
+            live = live[need[live] > done]
+        known = np.minimum(span, lcp + 1)
+        plcp[np.repeat(at, known) + _count(known)] = np.repeat(lcp, known) - _count(known)
+        more = span > known
+        at, span = (at + known)[more], (span - known)[more]
+    return p, q, plcp
+
+
+def _count(sizes):
+    """0, 1, ... within each of the consecutive stretches of these sizes."""
+    import numpy as np
+
+    total = np.cumsum(sizes)
+    return np.arange(int(total[-1]) if len(sizes) else 0) - np.repeat(total - sizes, sizes)
 
 
 def repeated(buf, is_start, length: int):
@@ -503,9 +513,9 @@ def without_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     only a part was covered goes with it."""
     t = text_or_empty(text)
     cut = written(cut_texts(docs, id_col, text, length, as_text=True), "cut-texts").dropDuplicates([f"__r{c}" for c in KEY])
-    left = docs.select("*", *row_key(id_col, t))
+    left = packed(docs, *row_key(id_col, t), t.alias("__text"))
     j = left.join(cut, null_safe(left, cut, KEY, "__r"), "left")
-    return j.select(*[F.col(f"`{c}`") for c in docs.columns], F.coalesce("kept", t).alias("__kept_text"))
+    return j.select(*unpacked(docs.columns), F.coalesce("kept", "__text").alias("__kept_text"))
 
 
 def op6_suffix_array(spark, sf_dir):
