@@ -75,6 +75,15 @@ def row_key(id_col: str, text: Column) -> list[Column]:
 KEY = ["__id", "__t1", "__t2"]
 
 
+def packed(docs: DataFrame, *more: Column) -> DataFrame:
+    """The rows as one column ``__row``, so that no name of theirs can clash, and ``more``."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), *more)
+
+
+def unpacked(columns: Sequence[str]) -> list[Column]:
+    return [F.col(f"__row.`{c}`").alias(c) for c in columns]
+
+
 def null_safe(a: DataFrame, b: DataFrame, cols: Sequence[str], prefix: str = "") -> Column:
     cond = F.lit(True)
     for c in cols:

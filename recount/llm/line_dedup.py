@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import KEY, null_safe, row_key, strip_ascii, text_or_empty, written
+from .common import KEY, null_safe, packed, row_key, strip_ascii, text_or_empty, unpacked, written
 
 MIN_CHARS = 20
 MIN_DOCS = 3
@@ -105,12 +105,12 @@ def _kept(t: Column) -> Column:
 def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with ``__kept_text`` (never null) and ``__n_dropped``."""
     t = text_or_empty(text)
-    left = docs.select("*", *row_key(id_col, t))
+    left = packed(docs, *row_key(id_col, t), t.alias("__text"))
     right = bitmaps.select(*[F.col(c).alias(f"__r{c}") for c in KEY], "drop_words", F.col("n_dropped").alias("__n_dropped"))
     j = left.join(right, null_safe(left, right, KEY, "__r"), "left")
     return j.select(
-        *[F.col(f"`{c}`") for c in docs.columns],
-        _kept(t).alias("__kept_text"),
+        *unpacked(docs.columns),
+        _kept(F.col("__text")).alias("__kept_text"),
         F.coalesce("__n_dropped", F.lit(0).cast("long")).alias("__n_dropped"),
     )
 

@@ -26,7 +26,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_or_empty, written
+from .common import packed, text_or_empty, unpacked, written
 from .components import connected_components
 
 SHINGLE = 3
@@ -133,14 +133,14 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shi
     t = text_or_empty(text)
     keepers = near_duplicates(docs, id_col, text, shingle, max_bits).select("keeper.*").distinct()
     key = ["__no", "__id", "__t1", "__t2"]
-    rows = docs.select("*", F.col(f"`{id_col}`").isNull().alias("__no"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)).alias("__id"), F.xxhash64(t).alias("__t1"), F.hash(t).alias("__t2"))
+    rows = packed(docs, F.col(f"`{id_col}`").isNull().alias("__no"), F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(0)).alias("__id"), F.xxhash64(t).alias("__t1"), F.hash(t).alias("__t2"))
     stay = rows.join(
         keepers,
         (F.col("__no") == F.col("no_id")) & (F.col("__id") == F.col("id")) & (F.col("__t1") == F.col("t1")) & (F.col("__t2") == F.col("t2")),
         "left_semi",
     )
     nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.lit(0)))
-    return stay.withColumn("__nth", nth).filter("__nth = 1").select(*[F.col(f"`{c}`") for c in docs.columns])
+    return stay.withColumn("__nth", nth).filter("__nth = 1").select(*unpacked(docs.columns))
 
 
 def op2_simhash(spark, sf_dir):
