@@ -106,6 +106,8 @@ def copy(args) -> int:
         outcomes.write.mode("overwrite").parquet(args.out)
         outcomes = spark.read.parquet(args.out)
     summary = {r.status: (r.objects, r.bytes) for r in copy_summary(outcomes).collect()}
+    if not summary:
+        print(f"nothing found under {args.src} with prefix {args.prefix!r}")
     for status, (n, b) in sorted(summary.items()):
         print(f"{status}: {n} objects, {b} bytes")
     return 1 if "error" in summary else 0

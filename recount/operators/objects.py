@@ -3,36 +3,45 @@
 The legacy script lists one page of keys under a prefix and copies the objects one at a time
 through one process, holding each body in memory. Here:
 
-* ``list_objects`` lists every object under a root, walking sub-folders in executor tasks
-  (empty objects included, which Spark's file scans would skip);
+* ``list_objects`` lists every object whose key begins with a prefix (a string, as stores
+  understand it). A task lists the first folder and sends its rows in batches; its sub-folders are
+  dealt to tasks that walk them. The driver sees neither keys nor folders. Empty objects are
+  included, which Spark's file scans would skip;
 * ``object_manifest`` turns any (key, content) frame into key, byte length and SHA-256, so
   source and target can be reconciled like tables (R1-R4 on objects);
 * ``copy_objects`` spreads the keys over many tasks with ``mapInPandas``; each task streams
-  its objects in fixed-size chunks (bounded memory whatever the object size), writes to a
-  temporary name and renames, so a task killed with its executor leaves no partial object and
-  its retry simply overwrites. Each key yields one outcome row (``ok`` or ``error``), and a
-  bad object never stops the others.
+  its objects in fixed-size chunks (bounded memory whatever the object size) to a temporary name
+  that is moved into place when it is whole, on local paths and on stores. A task killed with its
+  executor leaves a temporary object at most; listings leave such names out, and the next copy
+  of the key removes them. Each key yields one outcome row (``ok`` or ``error``), and a bad
+  object never stops the others.
 
 Local and mounted paths work out of the box; store URLs (s3://, abfs://, gs://) go through
-``fsspec`` when that package is installed on the executors.
+``fsspec`` when that package is installed on the executors. Its interface returns a folder's
+entries as one list, which a task, never the driver, holds.
 
 Keys are spread by hash, so many objects balance by count; one object is one task's stream
 (its memory stays bounded by the chunk size, but a single huge object is not split: a ranged
 multipart copy is a feature of the store's own API, outside Spark).
 """
-
 from __future__ import annotations
 
+import glob
 import hashlib
+import logging
 import os
+import re
 import uuid
 from collections.abc import Iterator
+from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+log = logging.getLogger(__name__)
+
 CHUNK = 8 * 1024 * 1024
 
 COPY_SCHEMA = T.StructType(
@@ -44,18 +53,9 @@ COPY_SCHEMA = T.StructType(
         T.StructField("error", T.StringType()),
     ]
 )
-
-
-def _is_local(path: str) -> bool:
-    return "://" not in path or path.startswith("file:")
-
-
-def _local(path: str) -> str:
-    if path.startswith("file://"):
-        return path[len("file://"):]
-    if path.startswith("file:"):
-        return path[len("file:"):]
-    return path
+BATCH = 10_000  # rows of a listing that leave a task at a time
+TEMPORARY = ".recount-part-"
+_TEMPORARY_NAME = re.compile(re.escape(TEMPORARY) + r"[0-9a-f]{32}$")
 
 
 LIST_SCHEMA = T.StructType(
@@ -75,82 +75,150 @@ MANIFEST_SCHEMA = T.StructType(
 )
 
 
-def _entries(path: str) -> tuple[list[tuple[str, int, float]], list[str]]:
-    """Files (path, size, mtime) and sub-folders directly under ``path``."""
-    files, dirs = [], []
-    if _is_local(path):
-        with os.scandir(_local(path)) as it:
+class _Local:
+    """The few calls of a filesystem that this module makes, on local paths."""
+
+    def entries(self, folder: str) -> Iterator[tuple[str, bool, int, float | None]]:
+        with os.scandir(folder) as it:
             for e in it:
+                # Links to files count as files, links to folders are not followed, at any level.
                 if e.is_dir(follow_symlinks=False):
-                    dirs.append(e.path)
-                elif e.is_file(follow_symlinks=False):
+                    yield e.path, True, 0, None
+                elif e.is_file():
                     st = e.stat()
-                    files.append((e.path, st.st_size, st.st_mtime))
-        return files, dirs
-    fs, p = _fsspec(path)
-    for info in fs.ls(p, detail=True):
-        if info.get("type") == "directory":
-            dirs.append(info["name"])
-        else:
-            m = info.get("LastModified") or info.get("last_modified") or info.get("mtime")
-            files.append((info["name"], int(info.get("size") or 0), m.timestamp() if hasattr(m, "timestamp") else m))
-    return files, dirs
-
-
-def _walk(path: str) -> Iterator[tuple[str, int, float]]:
-    if _is_local(path):
-        for d, _, names in os.walk(_local(path)):
-            for n in names:
-                fp = os.path.join(d, n)
-                st = os.stat(fp)
-                yield fp, st.st_size, st.st_mtime
-        return
-    fs, p = _fsspec(path)
-    for name, info in fs.find(p, detail=True).items():
-        m = info.get("LastModified") or info.get("last_modified") or info.get("mtime")
-        yield name, int(info.get("size") or 0), (m.timestamp() if hasattr(m, "timestamp") else m)
+                    yield e.path, False, st.st_size, st.st_mtime
+
+    def open(self, path: str, mode: str):
+        if mode == "wb":
+            os.makedirs(os.path.dirname(path) or ".", exist_ok=True)
+        return open(path, mode)
+
+    def move(self, old: str, new: str) -> None:
+        os.replace(old, new)
+
+    def remove(self, path: str) -> None:
+        os.remove(path)
+
+    def make(self, folder: str) -> None:
+        os.makedirs(folder, exist_ok=True)
+
+
+class _Store:
+    """The same calls on an fsspec filesystem."""
+
+    def __init__(self, fs):
+        self.fs = fs
+
+    def entries(self, folder: str) -> Iterator[tuple[str, bool, int, float | None]]:
+        for info in self.fs.ls(folder, detail=True):
+            name = info["name"]
+            if info.get("type") == "directory":
+                yield name.rstrip("/"), True, 0, None
+            else:
+                m = info.get("LastModified") or info.get("last_modified") or info.get("mtime")
+                yield name, False, int(info.get("size") or 0), m.timestamp() if hasattr(m, "timestamp") else m
+
+    def open(self, path: str, mode: str):
+        return self.fs.open(path, mode)
+
+    def move(self, old: str, new: str) -> None:
+        self.fs.mv(old, new)
+
+    def remove(self, path: str) -> None:
+        self.fs.rm(path)
+
+    def make(self, folder: str) -> None:
+        self.fs.makedirs(folder, exist_ok=True)
+
+
+def _fsspec(url: str):
+    try:
+        import fsspec  # noqa: PLC0415
+    except ImportError as e:  # pragma: no cover - depends on the cluster image
+        raise RuntimeError(f"{url}: install fsspec and the store's driver on the executors") from e
+    return fsspec.core.url_to_fs(url)
+
+
+def _at(root: str) -> tuple[_Local | _Store, str]:
+    """A root's filesystem, and the root as that filesystem writes it (no scheme, no slash at the end)."""
+    if "://" in root and not root.startswith("file:"):
+        fs, base = _fsspec(root)
+        return _Store(fs), base.rstrip("/")
+    for scheme in ("file://", "file:"):
+        root = root.removeprefix(scheme)
+    return _Local(), root.rstrip("/")
 
 
 def _key_of(base: str, path: str) -> str:
-    b = _local(base).rstrip("/")
-    p = _local(path)
-    i = p.find(b)
-    return p[i + len(b):].lstrip("/") if i >= 0 else p
+    """``path`` relative to ``base``, both as the filesystem writes them."""
+    if not path.startswith(base + "/"):
+        raise ValueError(f"{path} is not below {base}")
+    return path[len(base) + 1 :]
+
+
+def _walk(fs, folder: str) -> Iterator[tuple[str, int, float | None]]:
+    """Every file below a folder. An unreadable folder is an error."""
+    waiting = [folder]
+    while waiting:
+        for path, is_dir, size, modified in fs.entries(waiting.pop()):
+            if is_dir:
+                waiting.append(path)
+            else:
+                yield path, size, modified
+
+
+def _level(fs, base: str, prefix: str) -> Iterator[tuple[str, bool, int, float | None]]:
+    """Entries of the prefix's folder whose keys begin with the prefix; none if there is no such folder."""
+    folder = prefix.rpartition("/")[0]
+    try:
+        for path, is_dir, size, modified in fs.entries(f"{base}/{folder}" if folder else base):
+            if _key_of(base, path).startswith(prefix):
+                yield path, is_dir, size, modified
+    except FileNotFoundError:
+        log.warning("nothing found: no folder %s below %s", folder, base)
 
 
-def _rows(base: str, found) -> pd.DataFrame:
-    out = [(_key_of(base, p), n, None if m is None else int(m * 1_000_000)) for p, n, m in found]
-    pdf = pd.DataFrame(out, columns=["key", "length", "modified"])
-    pdf["modified"] = pd.to_datetime(pdf["modified"], unit="us")  # whole microseconds: Arrow-safe
-    return pdf
+def _own_temporary(key: str) -> bool:
+    return bool(_TEMPORARY_NAME.search(key))
+
+
+def _batches(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame]:
+    while part := list(islice(rows, BATCH)):
+        pdf = pd.DataFrame(part, columns=columns)
+        us = (pdf["modified"].astype("float64") * 1_000_000).round().astype("Int64")
+        pdf["modified"] = pd.to_datetime(us, unit="us").astype("datetime64[us]")  # whole microseconds: Arrow-safe
+        yield pdf
 
 
 def list_objects(spark: SparkSession, root: str, prefix: str = "", num_tasks: int | None = None) -> DataFrame:
-    """Every object under ``root/prefix`` as ``key, length, modified``.
-
-    The driver reads one folder level; the sub-folders are walked in executor tasks, so the
-    full key list never passes through the driver. The whole listing is read (the legacy
-    call stops after its first page), empty objects included (Spark's file scans skip
-    zero-length files, so ``binaryFile`` cannot be used here). Keys are relative to
-    ``root``; folder markers (keys ending in '/') are dropped."""
-    base = root.rstrip("/")
-    start = f"{base}/{prefix.strip('/')}" if prefix else base
-    files, dirs = _entries(start)
+    """Every object whose key begins with ``prefix``, as ``key, length, modified``.
+
+    Keys are relative to ``root``. The prefix is a string: ``a/b`` finds ``a/b.jpg``, ``a/b/c`` and
+    ``a/b2/c``. A prefix that nothing has gives an empty listing. The whole listing is read (the
+    legacy call stops after its first page); folder markers (keys ending in '/') and this
+    module's own temporary names are left out. Lazy: each action lists anew."""
     n = num_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
 
-    def walker(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            for d in pdf["dir"]:
-                yield _rows(base, _walk(d))
+            for p in pdf["prefix"]:
+                fs, base = _at(root)
+                rows = ((_key_of(base, path), size, m, is_dir) for path, is_dir, size, m in _level(fs, base, p))
+                yield from _batches(rows, ["key", "length", "modified", "folder"])
 
-    walked = (
-        spark.createDataFrame([(d,) for d in dirs], "dir string")
-        .repartition(max(1, min(n, len(dirs))), "dir")
-        .mapInPandas(walker, LIST_SCHEMA)
+    def below(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = _at(root)
+        for pdf in batches:
+            for key in pdf["key"]:
+                rows = ((_key_of(base, path), size, m) for path, size, m in _walk(fs, f"{base}/{key}"))
+                yield from _batches(rows, LIST_SCHEMA.fieldNames())
+
+    level = spark.createDataFrame([(prefix.lstrip("/"),)], "prefix string").mapInPandas(
+        first, "key string, length long, modified timestamp, folder boolean"
     )
-    here = spark.createDataFrame(_rows(base, files), LIST_SCHEMA) if files else None
-    listing = walked.unionByName(here) if here is not None else walked
-    return listing.filter(~F.col("key").endswith("/"))
+    walked = level.filter("folder").select("key").repartition(n, "key").mapInPandas(below, LIST_SCHEMA)
+    found = level.filter("NOT folder").drop("folder").unionByName(walked)
+    return found.filter(~F.col("key").endswith("/") & ~F.col("key").rlike(_TEMPORARY_NAME.pattern))
 
 
 def object_manifest(objects: DataFrame, key: str = "key", content: str = "content") -> DataFrame:
@@ -165,19 +233,10 @@ def object_manifest(objects: DataFrame, key: str = "key", content: str = "conten
 
 
 def _hash_one(root: str, key: str) -> tuple[int, str]:
-    path = f"{root.rstrip('/')}/{key}"
-    h = hashlib.sha256()
-    n = 0
-    if _is_local(path):
-        f = open(_local(path), "rb")
-    else:
-        fs, p = _fsspec(path)
-        f = fs.open(p, "rb")
-    with f:
-        while True:
-            b = f.read(CHUNK)
-            if not b:
-                break
+    fs, base = _at(root)
+    h, n = hashlib.sha256(), 0
+    with fs.open(f"{base}/{key}", "rb") as f:
+        while b := f.read(CHUNK):
             h.update(b)
             n += len(b)
     return n, h.hexdigest()
@@ -199,64 +258,50 @@ def read_manifest(spark: SparkSession, root: str, prefix: str = "", num_tasks: i
 
 def ensure_target(root: str) -> None:
     """Create the target container once from the driver; an existing one is fine (B1)."""
-    if _is_local(root):
-        os.makedirs(_local(root), exist_ok=True)
-    else:
-        fs, p = _fsspec(root)
-        fs.makedirs(p, exist_ok=True)
-
-
-def _fsspec(url: str):
-    try:
-        import fsspec  # noqa: PLC0415
-    except ImportError as e:  # pragma: no cover - depends on the cluster image
-        raise RuntimeError(f"{url}: install fsspec and the store's driver on the executors") from e
-    return fsspec.core.url_to_fs(url)
+    fs, base = _at(root)
+    fs.make(base)
 
 
 def _copy_one(src_root: str, dst_root: str, key: str) -> tuple[int, str]:
-    """Stream one object; returns (bytes, sha256). Raises on failure."""
-    src = f"{src_root.rstrip('/')}/{key}"
-    dst = f"{dst_root.rstrip('/')}/{key}"
-    h = hashlib.sha256()
-    n = 0
-    if _is_local(src) and _is_local(dst):
-        s_path, d_path = _local(src), _local(dst)
-        os.makedirs(os.path.dirname(d_path) or ".", exist_ok=True)
-        tmp = f"{d_path}.part-{uuid.uuid4().hex}"
+    """Stream one object; returns (bytes, sha256). Raises on failure, and then leaves nothing."""
+    sfs, src = _at(src_root)
+    dfs, dst = _at(dst_root)
+    path = f"{dst}/{key}"
+    _clear_temporaries(dfs, path)
+    h, n = hashlib.sha256(), 0
+    tmp = f"{path}{TEMPORARY}{uuid.uuid4().hex}"
+    try:
+        with sfs.open(f"{src}/{key}", "rb") as fin, dfs.open(tmp, "wb") as fout:
+            while b := fin.read(CHUNK):
+                h.update(b)
+                n += len(b)
+                fout.write(b)
+        dfs.move(tmp, path)
+    except BaseException:
+        # Closing a store's stream after an error can commit what was written: it goes, too.
         try:
-            with open(s_path, "rb") as fin, open(tmp, "wb") as fout:
-                while True:
-                    b = fin.read(CHUNK)
-                    if not b:
-                        break
-                    h.update(b)
-                    n += len(b)
-                    fout.write(b)
-            os.replace(tmp, d_path)
-        finally:
-            if os.path.exists(tmp):
-                os.remove(tmp)
-        return n, h.hexdigest()
-    sfs, sp = _fsspec(src)
-    dfs, dp = _fsspec(dst)
-    with sfs.open(sp, "rb") as fin, dfs.open(dp, "wb") as fout:
-        while True:
-            b = fin.read(CHUNK)
-            if not b:
-                break
-            h.update(b)
-            n += len(b)
-            fout.write(b)
+            dfs.remove(tmp)
+        except OSError:
+            pass
+        raise
     return n, h.hexdigest()
 
 
+def _clear_temporaries(fs, path: str) -> None:
+    """Removes what a killed copy of this object has left (local paths; on stores, a bucket's
+    rule for unfinished uploads does it, as listing a folder per object would cost too much)."""
+    if isinstance(fs, _Local):
+        for left in glob.glob(glob.escape(path) + TEMPORARY + "*"):
+            if _own_temporary(left):
+                fs.remove(left)
+
+
 def _copy_outcome(src_root: str, dst_root: str, key: str) -> tuple:
     try:
         n, digest = _copy_one(src_root, dst_root, key)
         return (key, n, digest, "ok", None)
     except Exception as e:  # one bad object never stops the rest (B6)
-        return (key, None, None, "error", f"{type(e).__name__}: {e}"[:1000])
+        return (key, None, None, "error", f"{type(e).__name__}: {e}")
 
 
 def _copier(src_root: str, dst_root: str, threads: int):
@@ -280,7 +325,8 @@ def copy_objects(
 
     Keys are hash-partitioned over ``num_tasks`` tasks (default: the shuffle partitions), so
     work spreads over the cluster; inside a task ``threads_per_task`` objects are in flight at
-    once, each streamed in chunks. The result is lazy: run it with an action or a write."""
+    once, each streamed in chunks. The result is lazy, and every action copies again: write the
+    outcomes once and read them from there."""
     spark = manifest.sparkSession
     n = num_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = manifest.select("key").filter(~F.col("key").endswith("/")).repartition(n, "key")

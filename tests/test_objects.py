@@ -1,7 +1,11 @@
 """Object listing, manifests and the distributed copy."""
 
+import io
 import os
 
+import pytest
+
+from recount.operators import objects
 from recount.operators.objects import copy_objects, copy_summary, ensure_target, list_objects, read_manifest
 
 
@@ -45,7 +49,7 @@ def test_one_bad_object_does_not_stop_the_rest(spark, tmp_path):
     # a directory where a file must be written makes that one key unwritable
     os.makedirs(os.path.join(dst, "OrderHistory", "d.txt"))
     listing = list_objects(spark, src, "OrderHistory")
-    out = copy_objects(listing, src, dst, num_tasks=2)
+    out = spark.createDataFrame(copy_objects(listing, src, dst, num_tasks=2).collect())  # copies once
     rows = {r.key: r for r in out.collect()}
     assert rows["OrderHistory/d.txt"].status == "error" and rows["OrderHistory/d.txt"].error
     assert all(r.status == "ok" for k, r in rows.items() if k != "OrderHistory/d.txt")
@@ -77,3 +81,96 @@ def test_pending_objects_resume(spark, tmp_path):
     todo = pending_objects(listing, list_objects(spark, dst))
     assert sorted(r.key for r in todo.collect()) == ["OrderHistory/b.png", "OrderHistory/d.txt",
                                                      "OrderHistory/nested/c.gif"]
+
+
+def test_prefix_is_a_string(spark, tmp_path):
+    src = str(tmp_path / "src")
+    _make_bucket(src)
+    os.makedirs(os.path.join(src, "OrderHistory2"))
+    open(os.path.join(src, "OrderHistory2", "f.jpg"), "wb").close()
+    os.symlink(os.path.join(src, "Other"), os.path.join(src, "OrderHistory", "link"))
+    open(os.path.join(src, "OrderHistory", "x.jpg.recount-part-" + "0" * 32), "wb").close()
+    keys = lambda p: sorted(r.key for r in list_objects(spark, src, p, 2).collect())
+    under = ["OrderHistory/a.jpg", "OrderHistory/b.png", "OrderHistory/d.txt", "OrderHistory/nested/c.gif"]
+    assert keys("OrderHis") == keys("/OrderHistory") == sorted([*under, "OrderHistory2/f.jpg"])
+    assert keys("OrderHistory/") == under and keys("OrderHistory/nested/c") == ["OrderHistory/nested/c.gif"]
+    assert keys("nothing") == keys("no/such/folder") == []
+    assert len(keys("")) == 6
+
+
+def test_flat_folder_leaves_in_batches(monkeypatch):
+    monkeypatch.setattr(objects, "BATCH", 3)
+    rows = iter([(f"k{i}", i, 1.5 if i else None) for i in range(8)])
+    assert [len(b) for b in objects._batches(rows, ["key", "length", "modified"])] == [3, 3, 2]
+
+
+class _FakeFs:
+    """A bucket in memory; names come back without the scheme, as from real stores."""
+
+    def __init__(self, objects_):
+        self.objects = dict(objects_)
+
+    def ls(self, folder, detail=True):
+        folder = folder.rstrip("/") + "/"
+        names = {k[: len(folder)] + k[len(folder) :].split("/")[0] for k in self.objects if k.startswith(folder)}
+        if not names:
+            raise FileNotFoundError(folder)
+        return [{"name": n, "type": "file", "size": len(self.objects[n])} if n in self.objects else {"name": n, "type": "directory"} for n in sorted(names)]
+
+    def open(self, path, mode):
+        if mode == "rb":
+            if path.endswith("broken"):
+                raise OSError("read failed")
+            return io.BytesIO(self.objects[path])
+        fs = self
+
+        class Out(io.BytesIO):
+            def close(self):
+                if not self.closed:
+                    fs.objects[path] = self.getvalue()
+                super().close()
+
+        return Out()
+
+    def mv(self, a, b):
+        self.objects[b] = self.objects.pop(a)
+
+    def rm(self, path):
+        self.objects.pop(path, None)
+
+
+def test_store_keys_listing_and_copy(monkeypatch):
+    data = {"bucket/pre/a.jpg": b"a", "bucket/pre/sub/b.jpg": b"bb", "bucket/prefix2.jpg": b"c", "bucket/pre/broken": b"d"}
+    source, target = _FakeFs(data), _FakeFs({})
+    monkeypatch.setattr(objects, "_fsspec", lambda url: (source if url.startswith("s3:") else target, url.split("://")[1]))
+    fs, base = objects._at("s3://bucket/")
+    assert base == "bucket" and objects._key_of(base, "bucket/pre/a.jpg") == "pre/a.jpg"
+    with pytest.raises(ValueError):
+        objects._key_of("bucket", "bucket2/pre/a.jpg")
+    first = [(objects._key_of(base, p), d) for p, d, _, _ in objects._level(fs, base, "pre")]
+    assert first == [("pre", True), ("prefix2.jpg", False)]
+    assert sorted(p for p, _, _ in objects._walk(fs, "bucket/pre")) == ["bucket/pre/a.jpg", "bucket/pre/broken", "bucket/pre/sub/b.jpg"]
+    assert list(objects._level(fs, base, "none/at/all")) == []
+    assert objects._copy_one("s3://bucket", "abfs://box/in", "pre/sub/b.jpg")[0] == 2
+    assert target.objects == {"box/in/pre/sub/b.jpg": b"bb"}
+    assert objects._copy_outcome("s3://bucket", "abfs://box/in", "pre/broken")[3] == "error"
+    assert list(target.objects) == ["box/in/pre/sub/b.jpg"]  # nothing partial
+
+
+def test_leftovers_of_a_killed_copy_go(tmp_path):
+    src, dst = tmp_path / "s", tmp_path / "d"
+    src.mkdir(), dst.mkdir()
+    (src / "k").write_bytes(b"whole")
+    (dst / ("k.recount-part-" + "f" * 32)).write_bytes(b"wh")
+    objects._copy_one(str(src), str(dst), "k")
+    assert sorted(os.listdir(dst)) == ["k"]
+
+
+def test_unreadable_folder_is_an_error():
+    class Closed(objects._Local):
+        def entries(self, folder):
+            raise PermissionError(folder)
+            yield
+
+    with pytest.raises(PermissionError):
+        list(objects._walk(Closed(), "/x"))
