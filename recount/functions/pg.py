@@ -118,16 +118,6 @@ def _escape_repl(r: str) -> str:
     return r.replace("\\", "\\\\").replace("$", "\\$")
 
 
-def translate(c: ColumnOrName, matching: str, replace: str) -> Column:
-    """TRANSLATE."""
-    return F.translate(col(c), matching, replace)
-
-
-def json_text(c: ColumnOrName, field: str) -> Column:
-    """``c ->> 'field'`` on a JSON object stored as text."""
-    return F.get_json_object(col(c), f"$.{field}")
-
-
 def is_digits(c: ColumnOrName) -> Column:
     """``c ~ '^[0-9]+$'`` with PostgreSQL anchors (Java's ``$`` would accept a final newline)."""
     return col(c).rlike(r"^[0-9]+\z")
@@ -149,10 +139,6 @@ def only_digits_or_null(c: ColumnOrName, to: str = "bigint") -> Column:
     return F.nullif(F.regexp_replace(col(c), "[^0-9]", ""), F.lit("")).try_cast(to)
 
 
-def try_cast(c: ColumnOrName, to: str) -> Column:
-    return col(c).try_cast(to)
-
-
 def like(c: ColumnOrName, pattern: Column) -> Column:
     """``c LIKE pattern`` where the pattern is itself an expression."""
     return F.like(col(c), pattern)

@@ -100,12 +100,6 @@ def test_weekday_and_value_map(spark):
     assert _one(spark, pg.weekday_name("d", ""), schema, (9,)) == ""
 
 
-def test_json_text(spark):
-    schema = "j string"
-    assert _one(spark, pg.json_text("j", "verified"), schema, ('{"verified": true, "notes": "gate"}',)) == "true"
-    assert _one(spark, pg.json_text("j", "notes"), schema, ('{"notes": "none"}',)) == "none"
-
-
 def test_null_ordering_follows_postgres(spark):  # trap 3
     from pyspark.sql import Window
 
