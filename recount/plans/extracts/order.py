@@ -57,18 +57,22 @@ def _weighted(inc: Column, default_count: Column, max_per_order: Column) -> Colu
     return (inc > 0) & (default_count > 0) & (max_per_order > 0)
 
 
+def live_lines(cat: Catalog) -> DataFrame:
+    """Line items (``sli``) with their non-cart order (``so``)."""
+    sli = cat["spree_line_items"].alias("sli")
+    so = live_orders(cat).select("id", "state", "replace_product").alias("so")
+    return sli.join(so, F.col("so.id") == F.col("sli.order_id"), "inner")
+
+
 def order_product(cat: Catalog, as_of: Column | None = None) -> DataFrame:
     """D6 ``order_product``: line items of non-cart orders with the weighted-item rules.
 
     The ``WHERE so.state != 'cart'`` on the right side of the legacy LEFT JOIN makes it an
     inner join; variants stay a left join (a line without a variant is kept)."""
-    sli = cat["spree_line_items"].alias("sli")
     sv = cat["spree_variants"].alias("sv")
-    so = live_orders(cat).select("id", "state", "replace_product").alias("so")
     # Lines of carts go before the variants are looked up.
-    j = sli.join(so, F.col("so.id") == F.col("sli.order_id"), "inner").join(
-        sv, F.col("sv.id") == F.col("sli.variant_id"), "left"
-    )
+    sli = cat["spree_line_items"].alias("sli")
+    j = live_lines(cat).join(sv, F.col("sv.id") == F.col("sli.variant_id"), "left")
     inc, req, qty, price = (F.col(c) for c in ("sv.weight_increment", "sli.requested_quantity", "sli.quantity", "sli.price"))
     t_inc, t_req = dict(sv.dtypes)["weight_increment"], dict(sli.dtypes)["requested_quantity"]
     weighted = _weighted(inc, F.col("sv.default_weight_count"), F.col("sv.max_weight_per_order"))
@@ -187,21 +191,22 @@ def order_shipment(cat: Catalog) -> DataFrame:
     )
 
 
-def order_address(cat: Catalog) -> DataFrame:
-    """D9 ``order_address``: the bill and the ship address of every non-cart order.
-
-    The legacy UNION ALL of two near-identical branches reads orders once here: each order
-    emits two (address id, is-bill) pairs. Country and district are joined to the addresses, at
-    their grain, so the doubled orders go through a single join."""
-    so = live_orders(cat).select(
+def address_ends(cat: Catalog) -> DataFrame:
+    """Each non-cart order twice: with its bill address and with its ship address."""
+    return live_orders(cat).select(
         "id", "special_instructions", "created_at", "updated_at",
-        F.explode(
+        F.inline(
             F.array(
                 F.struct(F.col("bill_address_id").alias("address_id"), F.lit("true").alias("is_bill_address")),
                 F.struct(F.col("ship_address_id").alias("address_id"), F.lit("false").alias("is_bill_address")),
             )
-        ).alias("a"),
-    ).select("*", "a.address_id", "a.is_bill_address").drop("a").alias("so")
+        ),
+    )
+
+
+def places(cat: Catalog) -> DataFrame:
+    """Addresses with the names of their country and district, at the grain of the address (and
+    of its district's English translations)."""
     sa = cat["spree_addresses"].alias("sa")
     con = cat["spree_countries"].alias("con")
     dist = cat["spree_districts"].alias("dist")
@@ -209,7 +214,7 @@ def order_address(cat: Catalog) -> DataFrame:
     area = dist.join(sdt, F.col("sdt.spree_district_id") == F.col("dist.id"), "left").select(
         F.col("dist.id").alias("area_id"), F.col("sdt.name").alias("district")
     )
-    place = (
+    return (
         sa.join(con, F.col("con.id") == F.col("sa.country_id"), "left")
         .join(area, F.col("area_id") == F.col("sa.district_id"), "left")
         .select(
@@ -224,6 +229,16 @@ def order_address(cat: Catalog) -> DataFrame:
             F.col("sa.zipcode").alias("zipcode"),
         )
     )
+
+
+def order_address(cat: Catalog) -> DataFrame:
+    """D9 ``order_address``: the bill and the ship address of every non-cart order.
+
+    The legacy UNION ALL of two near-identical branches reads orders once here. Country and
+    district are joined to the addresses, at their grain, so the doubled orders go through a
+    single join."""
+    so = address_ends(cat).alias("so")
+    place = places(cat)
     j = so.join(place, F.col("place_id") == F.col("so.address_id"), "left")
     return j.select(
         F.col("so.id").alias("order_id"),

@@ -39,6 +39,16 @@ def _d7_count(cat: Catalog) -> DataFrame:
     return left_join_count(base, cat["spree_shipments"], ["so_id"], ["order_id"])
 
 
+def _d6_count(cat: Catalog) -> DataFrame:
+    lines = order.live_lines(cat).select(F.col("sli.variant_id").alias("variant_id"))
+    return left_join_count(lines, cat["spree_variants"], ["variant_id"], ["id"])
+
+
+def _d9_count(cat: Catalog) -> DataFrame:
+    # Order ends per address times rows per address: no wide row is built.
+    return left_join_count(order.address_ends(cat), order.places(cat), ["address_id"], ["place_id"])
+
+
 def _d23_count(cat: Catalog) -> DataFrame:
     # Schedules once per supermarket of their zone; the slot join is a key lookup.
     return left_join_count(cat["danube_time_slots_schedules"], cat["danube_supermarkets"], ["zone_id"], ["zone_id"])
@@ -100,11 +110,11 @@ def order_suite(as_of: Column | None = None) -> list[ReconSpec]:
          "order_cancellation_reason",
          Scan("order_cancellation_reason")),
         ("spree_orders", Scan("spree_orders", "state != 'cart'"), "order", Scan("public.order")),
-        ("spree_line_items", _x(lambda c: order.order_product(c, as_of)), "order_product", Scan("order_product")),
+        ("spree_line_items", _x(lambda c: order.order_product(c, as_of), _d6_count), "order_product", Scan("order_product")),
         ("spree_payment_methods", _x(lambda c: order.order_payment(c, with_ids=False), _d7_count), "order_payment",
          Scan("order_payment")),
         ("spree_shipments", _x(order.order_shipment, _d8_count), "order_shipment", Scan("order_shipment")),
-        ("spree_orders/spree_addresses", _x(order.order_address), "order_address", Scan("order_address")),
+        ("spree_orders/spree_addresses", _x(order.order_address, _d9_count), "order_address", Scan("order_address")),
         _t("spree_cashbacks", "cashbacks", "cashback"),
         _t("spree_adjustments", "order_adjustment"),
         _t("spree_invoice_logs", "order_invoice_logs"),

@@ -60,3 +60,23 @@ def test_no_registered_query_plans_a_cross_join(spark):
             assert "CartesianProduct" not in p and "NestedLoopJoin" not in p, name
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+
+def test_orders_go_through_one_join(spark, cat):
+    """Country and district meet the addresses, not the doubled orders; its count builds no rows."""
+    from recount.plans.suites import order_suite
+
+    text = optimized_text(order.order_address(cat))
+    top = text.splitlines()
+    first = next(i for i, line in enumerate(top) if "Join" in line)
+    assert "address_id" in top[first] and "place_id" in top[first] and sum("Generate inline" in x for x in top) <= 1
+    spec = next(s for s in order_suite() if s.dest_label == "order_address")
+    assert "formatted_address" not in optimized_text(spec.source.count(cat))
+    assert "address1" not in optimized_text(spec.source.count(cat)).split("Relation")[0]
+
+
+def test_cart_lines_go_before_the_variants(cat):
+    """The upper join is that with the variants."""
+    joins = [line for line in optimized_text(order.order_product(cat)).splitlines() if " Join " in line or "Join LeftOuter" in line or "Join Inner" in line]
+    assert "LeftOuter" in joins[0] and "Inner" in joins[1]
