@@ -195,13 +195,13 @@ def address_ends(cat: Catalog) -> DataFrame:
     """Each non-cart order twice: with its bill address and with its ship address."""
     return live_orders(cat).select(
         "id", "special_instructions", "created_at", "updated_at",
-        F.inline(
+        F.explode(
             F.array(
                 F.struct(F.col("bill_address_id").alias("address_id"), F.lit("true").alias("is_bill_address")),
                 F.struct(F.col("ship_address_id").alias("address_id"), F.lit("false").alias("is_bill_address")),
             )
-        ),
-    )
+        ).alias("end"),
+    ).select("*", "end.address_id", "end.is_bill_address").drop("end")
 
 
 def places(cat: Catalog) -> DataFrame:

@@ -72,7 +72,7 @@ def test_orders_go_through_one_join(spark, cat):
     text = optimized_text(order.order_address(cat))
     top = text.splitlines()
     first = next(i for i, line in enumerate(top) if "Join" in line)
-    assert "address_id" in top[first] and "place_id" in top[first] and sum("Generate inline" in x for x in top) <= 1
+    assert "address_id" in top[first] and "place_id" in top[first] and sum("Generate explode" in x for x in top) == 1
     spec = next(s for s in order_suite() if s.dest_label == "order_address")
     assert "formatted_address" not in optimized_text(spec.source.count(cat))
     assert "address1" not in optimized_text(spec.source.count(cat)).split("Relation")[0]
