@@ -111,14 +111,14 @@ def runs_of(buf, starts, length: int, hasher: WindowHash):
         cut = [np.arange(a, b, MAX_RUN) for a, b in zip(st, en)]
         en = np.concatenate([np.append(c[1:], b) for c, b in zip(cut, en)])
         st = np.concatenate(cut)
-    # Positions whose hash is some window's smallest; a value there twice within reach of one
-    # window means that a single run can hold equal windows.
+    # Positions whose hash is some window's smallest; a value there twice, with no window that
+    # misses both in between (at most reach apart), means that a single run can hold equal windows.
     most = sliding(np.concatenate((np.zeros(reach - 1, np.uint64), m, np.zeros(reach - 1, np.uint64))), reach, False)
     at = np.flatnonzero(h == most)
     v = h[at]
     order = np.argsort(v, kind="stable")
     sv, sp = v[order], at[order]
-    near = (sv[1:] == sv[:-1]) & (sp[1:] - sp[:-1] < reach)
+    near = (sv[1:] == sv[:-1]) & (sp[1:] - sp[:-1] <= reach)
     value = m[st]
     return st, en, value, np.isin(value, np.unique(sv[1:][near]))
 

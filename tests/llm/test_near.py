@@ -220,3 +220,16 @@ def test_hot_value_over_many_shards(spark, monkeypatch):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r["__kept_text"] for r in suffix_array.without_repeats(df, length=80).collect()}
     assert got == {i: k.decode() for i, (_, _, _, k) in enumerate(_cut([t.encode() for t in texts], 80))}
+
+
+def test_suffix_stretches_of_one_period(spark):
+    """Periods up to beyond the length, among them the one whose smallest hash stands in no two
+    places of a window although one run holds all of the stretch."""
+    rng, length = np.random.default_rng(11), 60
+    word = lambda n: bytes(rng.integers(97, 123, n).tolist()).decode()
+    texts = []
+    for period in range(length // 4, length + 2):
+        texts += [word(90) + (word(period) * 8)[: int(k * period) + length] + word(90) for k in (1.4, 3)]  # no record in two texts
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r["__kept_text"] for r in suffix_array.without_repeats(df, length=length).collect()}
+    assert got == {i: k.decode() for i, (_, _, _, k) in enumerate(_cut([t.encode() for t in texts], length))}
