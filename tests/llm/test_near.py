@@ -233,3 +233,40 @@ def test_suffix_stretches_of_one_period(spark):
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     got = {r.doc_id: r["__kept_text"] for r in suffix_array.without_repeats(df, length=length).collect()}
     assert got == {i: k.decode() for i, (_, _, _, k) in enumerate(_cut([t.encode() for t in texts], length))}
+
+
+def test_unlike_neighbours_in_a_signature(spark):
+    """A text that neither the first nor its predecessor of a group is similar to, but a further one."""
+    rows = [(s, e, p, t, t) for s, e, p, t in [(1, 0, 5, 1), (1, 1, 5, 2), (1, 2, 5, 3), (1, 3, 5, 4), (2, 0, 5, 1), (2, 1, 5, 2)]]
+    signed = spark.createDataFrame(rows, "sig long, extra long, place int, __t1 long, __t2 int")
+    schema = "x1 long, x2 int, y1 long, y2 int, " + cw.LINKS
+    link = lambda x, y, at: (x, x, y, y, at, at + 60, at, at + 60, 0.9)
+    pairs = lambda links: {(r.a.t1, r.b.t1) for r in cw.unlinked_pairs(signed, spark.createDataFrame(links, schema)).collect()}
+    assert pairs([]) == {(a, b) for a in range(1, 5) for b in range(a + 1, 5)}
+    assert pairs([link(1, 2, 0), link(2, 3, 3)]) == {(1, 4), (2, 4), (3, 4)}  # overlapping in 2
+    assert pairs([link(1, 2, 0), link(2, 3, 0), link(2, 4, 900)]) == {(1, 4), (2, 4), (3, 4)}  # 4 is linked elsewhere only
+
+
+def test_classes_of_passages(spark, odd):
+    rng = np.random.default_rng(9)
+    word = lambda: "".join(chr(97 + x) for x in rng.integers(0, 26, 6))
+    pick = lambda n: [word() for _ in range(n)]
+    mid = pick(60)
+
+    def changed(k):  # the first k and the last 60 - k words differ ever more: a chain of similar neighbours
+        return pick(k) + mid[k:]
+
+    rows = [(i, " ".join(pick(20) + (changed(i // 2) if i % 2 else mid[: 60 - i // 2] + pick(i // 2)) + pick(20))) for i in range(30)]
+    toks = {i: cw.tokens(t.encode()) for i, t in rows}
+    links = cw.near_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {r.doc_id: (r.class_id, r.n_links) for r in cw.document_classes(links).collect()}
+    links = links.collect()
+    of = _classes(list(toks), [(r.doc_id, r.other_id) for r in links])
+    n = Counter(i for r in links for i in (r.doc_id, r.other_id))
+    assert got == {i: (of[i], n[i]) for i in n} and all(r.class_id == of[r.doc_id] for r in links)
+    # Whatever shares all signatures at some place (a brute-force link at 1.0) is in one class.
+    for i in toks:
+        for j in toks:
+            if i < j and any(s >= 0.999 for *_, s in cw.similar_passages(toks[i], toks[j])):
+                assert of[i] == of[j]
+    assert {r.class_id for r in cw.near_passages(odd).collect() if r.doc_id == 10 or r.other_id == 10} == {9}
