@@ -270,3 +270,40 @@ def test_classes_of_passages(spark, odd):
             if i < j and any(s >= 0.999 for *_, s in cw.similar_passages(toks[i], toks[j])):
                 assert of[i] == of[j]
     assert {r.class_id for r in cw.near_passages(odd).collect() if r.doc_id == 10 or r.other_id == 10} == {9}
+
+
+def _signatures(*texts):
+    """The signatures of each text (token arrays), all values taken as shared."""
+    toks, n = np.concatenate(texts), np.array([len(x) for x in texts])
+    starts = np.cumsum(n) - n
+    hashes = [cw.min_hash(toks, j) for j in range(cw.HASHES)]
+    known = np.repeat(np.arange(len(texts)), cw.HASHES * n), np.concatenate([h[a : a + k] for a, k in zip(starts, n) for h in hashes])
+    of, sig, _, place = cw.signatures(cw.shared_windows(toks, starts, known, 46), toks, starts, 46)
+    assert ((place >= 0) & (place < n[of])).all()
+    return [set(sig[of == i].tolist()) for i in range(len(texts))]
+
+
+def test_passages_that_stand_several_times_in_a_text():
+    rng = np.random.default_rng(13)
+    pick = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    for k in (2, 5, 10):
+        for _ in range(40):
+            p = pick(50)
+            many = np.concatenate([z for _ in range(k) for z in (pick(int(rng.integers(30, 80))), p)])
+            a, b = _signatures(many, np.concatenate((pick(60), p, pick(60))))
+            assert len(a & b) >= 6  # all six pairs of functions, always
+
+
+def test_leading_windows_lose_no_signature(monkeypatch):
+    rng = np.random.default_rng(14)
+    for k in range(60):
+        toks = rng.integers(0, 1 << 63, 40, dtype=np.uint64)
+        words = [toks[rng.integers(0, (3, 40)[k % 2], int(rng.integers(1, 70)))] for _ in range(3)]
+        text = np.concatenate([words[i] for i in rng.integers(0, 3, int(rng.integers(2, 9)))])
+        got = _signatures(text, toks)
+        with monkeypatch.context() as m:
+            m.setattr(cw, "leading", lambda of, v, *_: np.ones(len(v), bool))
+            m.setattr(cw, "PAIRS", (50, 1 << 22)[k % 2])
+            assert got == _signatures(text, toks)
+    one = toks[:1].repeat(20_000)
+    assert _signatures(one, one[:60])[0] == _signatures(one, one[:60])[1]
