@@ -307,3 +307,40 @@ def test_leading_windows_lose_no_signature(monkeypatch):
             assert got == _signatures(text, toks)
     one = toks[:1].repeat(20_000)
     assert _signatures(one, one[:60])[0] == _signatures(one, one[:60])[1]
+
+
+def test_every_place_of_a_passage():
+    rng = np.random.default_rng(15)
+    pick = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    p = pick(60)
+    x = np.concatenate((pick(90), p, pick(40)))
+    y = np.concatenate((pick(20), p, pick(70), p, pick(70), p))
+    assert [q[:4] for q in cw.similar_passages(x, y)] == [(90, 154, a, a + 64) for a in (20, 150, 280)]
+
+
+def test_repeats_within_a_text():
+    rng = np.random.default_rng(16)
+    pick = lambda n: rng.integers(0, 1 << 63, n, dtype=np.uint64)
+    for k in range(200):
+        p, before, between = pick(int(rng.integers(46, 200))), int(rng.integers(0, 90)), int(rng.integers(0, 90)) * (k % 3)
+        near = p.copy()
+        if k % 2:  # two words changed, not those at the ends
+            for at in (len(p) // 3, 2 * len(p) // 3):
+                near[at : at + 2] = pick(2)
+        text = np.concatenate((pick(before), p, pick(between), near, pick(30)))
+        assert [q[:4] for q in cw.own_repeats(text)] == [(before, before + len(p) + 4, before + between + len(p), before + between + 2 * len(p) + 4)]
+    assert cw.own_repeats(pick(3000)) == [] and cw.own_repeats(pick(0)) == [] and cw.own_repeats(pick(50)) == []
+    for period in (1, 7, 100):
+        found = cw.own_repeats(np.tile(pick(period), 600 // period))
+        assert found and all(q[1] - 4 <= q[2] and q[4] >= 0.8 for q in found)
+
+
+def test_repeats_within_a_text_query(spark):
+    rng = np.random.default_rng(17)
+    pick = lambda n: ["".join(chr(97 + x) for x in rng.integers(0, 26, 6)) for _ in range(n)]
+    p = pick(70)
+    rows = [(1, " ".join(pick(40) + p + pick(90) + p + pick(40))), (2, " ".join(pick(300))), (None, " ".join(pick(100) * 2))]
+    links = cw.near_passages(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert {(r.doc_id, r.class_id, r.n_links) for r in cw.document_classes(links).collect()} == {(1, 1, 1)}
+    assert sorted((r.begin, r.end, r.other_begin, r.other_end) for r in links.filter("doc_id = other_id").collect()) == [(40, 110, 200, 270)]
+    assert links.filter("doc_id IS NULL").count() == 1
