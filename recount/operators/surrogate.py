@@ -3,73 +3,42 @@
 A plain ``row_number()`` over an un-partitioned window pulls every row into a single task.
 Instead:
 
-1. borders: at most ``SAMPLE_PER_RANGE`` rows per range, those of the smallest hashes, give the
-   quantiles of the order. They are taken once and stand in the plan as literals, so every
-   evaluation of it, also after a lost executor, cuts the same ranges. They decide the balance
-   only: the ids are right whatever they are;
-2. a row's range is found by binary search among the literals; rows are numbered within their range;
-3. the ranges' counts (one row per range, a number fixed beforehand) are summed up and broadcast;
-4. id = rows in earlier ranges + number within the range.
-
-No checkpoint, no folder, no state besides the plan.
+1. the input is written once to the shared folder, so that it is evaluated once: Spark's range
+   partitioner reads its input for the sample and again for the exchange;
+2. Spark's range partitioner deals the rows by the order, each partition is sorted and written with
+   ``monotonically_increasing_id``: the partition's number and the place of the row within it;
+3. the partitions' sizes (one row each) are summed up and broadcast;
+4. id = rows in earlier partitions + place within the partition + 1.
+
+No border passes the driver, and no expression grows with the number of partitions. The ids are
+fixed when the frame is built: every evaluation reads the same table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLE_PER_RANGE = 20
-
-
-def _key(by: Sequence[str]) -> Column:
-    """A struct that sorts like ``by`` ascending, nulls last."""
-    parts = []
-    for i, c in enumerate(by):
-        parts += [F.col(c).isNull().alias(f"n{i}"), F.col(c).alias(f"v{i}")]
-    return F.struct(*parts)
-
-
-def _borders(df: DataFrame, by: Sequence[str], ranges: int) -> list[tuple]:
-    """At most ``ranges - 1`` rows (values of ``by``) that cut ``df`` into about equal ranges."""
-    keys = df.select(*by)
-    sample = keys.orderBy(F.xxhash64(*by)).limit(SAMPLE_PER_RANGE * ranges).select(_key(by).alias("k"))
-    rows = [r["k"] for r in sample.orderBy("k").collect()]
-    cut = {tuple(rows[i * len(rows) // ranges]) for i in range(1, ranges)} if rows else set()
-    return [r for r in dict.fromkeys(tuple(x) for x in rows) if r in cut]
-
+from ..sources.shared import written
 
-def _range_of(key: Column, borders: list[Column], first: int = 0) -> Column:
-    """The number of borders that are not greater than ``key``: a tree of comparisons."""
-    if not borders:
-        return F.lit(first)
-    mid = len(borders) // 2
-    return F.when(key < borders[mid], _range_of(key, borders[:mid], first)).otherwise(
-        _range_of(key, borders[mid + 1 :], first + mid + 1)
-    )
+PLACE_BITS = 33  # of monotonically_increasing_id: the lower bits number a partition's rows
 
 
 def surrogate_id(df: DataFrame, by: Sequence[str], name: str = "id", num_ranges: int | None = None) -> DataFrame:
     """Add ``name`` = 1, 2, ... in the ascending order of the columns ``by``, nulls last (they
-    should determine the row's place, for stable ids)."""
+    should determine the row's place, for stable ids). Runs two jobs when called."""
     n = num_ranges or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    types = {f.name: f.dataType for f in df.schema.fields}
-    literals = []
-    for row in _borders(df, by, n):
-        parts = []
-        for i, c in enumerate(by):
-            parts += [F.lit(row[2 * i]).alias(f"n{i}"), F.lit(row[2 * i + 1]).cast(types[c]).alias(f"v{i}")]
-        literals.append(F.struct(*parts))
-    tagged = df.withColumn("__range", _range_of(_key(by), literals))
-    counts = tagged.groupBy(F.col("__range").alias("__of")).agg(F.count(F.lit(1)).alias("__n"))
+    order = [F.col(f"`{c}`").asc_nulls_last() for c in by]
+    once = written(df, "numbering-input")
+    dealt = once.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    kept = written(dealt.withColumn("__at", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("__at", PLACE_BITS).cast("int")
+    sizes = kept.groupBy(part.alias("__of")).agg(F.count(F.lit(1)).alias("__n"))
+    # One row a partition: this window's single task has as many rows as there are partitions.
     before = F.sum("__n").over(Window.orderBy("__of").rowsBetween(Window.unboundedPreceding, -1))
-    offsets = counts.select("__of", F.coalesce(before, F.lit(0)).alias("__before"))
-    within = F.row_number().over(Window.partitionBy("__range").orderBy(*[F.col(c).asc_nulls_last() for c in by]))
-    return (
-        tagged.withColumn("__within", within)
-        .join(F.broadcast(offsets), F.col("__range") == F.col("__of"))
-        .withColumn(name, (F.col("__before") + F.col("__within")).cast("bigint"))
-        .drop("__range", "__within", "__of", "__before")
-    )
+    offsets = sizes.select("__of", F.coalesce(before, F.lit(0)).alias("__before"))
+    place = F.col("__at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))
+    numbered = kept.join(F.broadcast(offsets), part == F.col("__of"))
+    return numbered.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("__before") + place + 1).cast("bigint").alias(name))

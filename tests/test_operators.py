@@ -2,6 +2,7 @@
 
 from collections import Counter
 
+import pytest
 from pyspark.sql import functions as F
 
 from recount.functions import pg
@@ -9,7 +10,7 @@ from recount.operators.counts import left_join_count, row_count
 from recount.operators.joins import left_join_fanout
 from recount.operators.rank import first_per_key
 from recount.operators.surrogate import surrogate_id
-from tests.conftest import plan_text
+from tests.conftest import optimized_text, plan_text
 
 
 def test_first_per_key_with_nulls_first(spark):
@@ -130,6 +131,35 @@ def test_surrogate_id_edge_sizes(spark):
     assert got == [(1, "a", 3), (2, "b", 1), (3, "b", None), (4, None, 2)]  # nulls last
 
 
-def test_surrogate_id_needs_no_folder(spark):
-    plan = plan_text(surrogate_id(spark.range(100).select(F.col("id").alias("v")), ["v"], num_ranges=4))
-    assert "RDD" not in plan and "CASE WHEN" in plan  # borders stand in the plan, no checkpoint is read
+def test_surrogate_id_plan_does_not_grow_with_its_ranges(spark):
+    df = spark.range(20_000).select((F.col("id") * 7919 % 20_000).alias("v"))
+    few, many = surrogate_id(df, ["v"], num_ranges=4), surrogate_id(df, ["v"], num_ranges=2000)
+    plans = [optimized_text(x) for x in (few, many)]
+    assert abs(len(plans[0]) - len(plans[1])) < 50 and "CASE" not in plans[1]
+    assert [r.id for r in many.orderBy("v").collect()] == list(range(1, 20_001))
+
+
+def test_surrogate_id_evaluates_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    df = spark.range(1000).mapInArrow(count, "id long")
+    ids = surrogate_id(df, ["id"], name="n", num_ranges=4)
+    assert ids.count() == 1000 and ids.agg(F.max("n")).first()[0] == 1000 and seen.value == 1000
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    from types import SimpleNamespace
+
+    from recount.sources.shared import shared_base
+
+    context = SimpleNamespace(master="spark://host:7077", getCheckpointDir=lambda: None)
+    cluster = SimpleNamespace(conf={}, sparkContext=context)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_base(cluster)
+    cluster.conf["spark.checkpoint.dir"] = "hdfs://name/shared/"
+    assert shared_base(cluster) == "hdfs://name/shared"
