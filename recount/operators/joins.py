@@ -5,7 +5,11 @@ split only the left side of a left join. ``left_join_fanout`` therefore is the u
 
 * the inner join, of which adaptive execution may split either side, or both, and
 * the left rows without a partner (an anti join, whose left side may be split), null keys among
-  them, with nulls for the right columns.
+  them, with nulls for the right columns. The right side comes into it as its distinct keys, made
+  distinct before the exchange: a hot key is one row per task.
+
+Both joins deal the left side by the same key, so its exchange is reused: each large side is
+exchanged once.
 
 No key is counted, salted or treated apart, and there is no threshold: the same plan holds for
 every size and every skew. Where only the row count is needed, ``counts.left_join_count`` avoids
@@ -26,7 +30,7 @@ def left_join_fanout(left: DataFrame, right: DataFrame, left_on: Sequence[str],
     if clash:
         raise ValueError(f"rename overlapping columns first: {sorted(clash)}")
     met = left.join(right, _eq(left, right, left_on, right_on), "inner")
-    keys = right.select(*right_on)
+    keys = right.select(*right_on).distinct()
     alone = left.join(keys, _eq(left, keys, left_on, right_on), "left_anti")
     nulls = [F.lit(None).cast(f.dataType).alias(f.name) for f in right.schema.fields]
     return met.select(*left.columns, *right.columns).unionByName(alone.select(*left.columns, *nulls))

@@ -1,20 +1,22 @@
-"""Stored objects: listing, manifests and a distributed copy.
+"""Stored objects: listing, manifests, a distributed copy and its reconciliation.
 
 The legacy script lists one page of keys under a prefix and copies the objects one at a time
 through one process, holding each body in memory. Here:
 
 * ``list_objects`` lists every object whose key begins with a prefix (a string, as stores
-  understand it). A task lists the first folder and sends its rows in batches; its sub-folders are
-  dealt to tasks that walk them. The driver sees neither keys nor folders. Empty objects are
-  included, which Spark's file scans would skip;
+  understand it), level by level: the folders of a level are a table dealt over the tasks, each of
+  which lists its folders and sends the rows in batches, until a level has no folders. The driver
+  sees neither keys nor folders. Empty objects are included, which Spark's file scans would skip;
 * ``object_manifest`` turns any (key, content) frame into key, byte length and SHA-256, so
-  source and target can be reconciled like tables (R1-R4 on objects);
-* ``copy_objects`` spreads the keys over many tasks with ``mapInPandas``; each task streams
-  its objects in fixed-size chunks (bounded memory whatever the object size) to a temporary name
-  that is moved into place when it is whole, on local paths and on stores. A task killed with its
-  executor leaves a temporary object at most; listings leave such names out, and the next copy
-  of the key removes them. Each key yields one outcome row (``ok`` or ``error``), and a bad
-  object never stops the others.
+  source and target can be reconciled like tables (R1-R4 on objects: ``reconcile_objects``);
+* ``copy_objects`` and ``write_objects`` publish objects in two steps. A write through a Python
+  data source (``ObjectSink``) streams each object in chunks (bounded memory whatever its size)
+  to a temporary name; Spark commits one attempt of every task, and the sink's commit names those
+  attempts' outcome files. Then tasks move the committed objects to their names, which can be done
+  again without harm. So a retried or speculative task publishes nothing of its own, and a job that
+  fails before its commit publishes nothing at all. Temporary objects of attempts that don't count
+  are left out of listings, and the next copy of their key removes them. Each key yields one outcome
+  row (``ok`` or ``error``), and a bad object never stops the others.
 
 Local and mounted paths work out of the box; store URLs (s3://, abfs://, gs://) go through
 ``fsspec`` when that package is installed on the executors. Its interface returns a folder's
@@ -22,23 +24,28 @@ entries as one list, which a task, never the driver, holds.
 
 Keys are spread by hash, so many objects balance by count; one object is one task's stream
 (its memory stays bounded by the chunk size, but a single huge object is not split: a ranged
-multipart copy is a feature of the store's own API, outside Spark).
+multipart copy is a feature of the store's own API, outside Spark), and so are the entries of one folder.
 """
 from __future__ import annotations
 
 import glob
 import hashlib
+import json
 import logging
 import os
 import re
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import islice
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, WriterCommitMessage
+
+from ..sources.shared import shared_dir
 
 log = logging.getLogger(__name__)
 
@@ -96,6 +103,9 @@ class _Local:
     def move(self, old: str, new: str) -> None:
         os.replace(old, new)
 
+    def exists(self, path: str) -> bool:
+        return os.path.isfile(path)
+
     def remove(self, path: str) -> None:
         os.remove(path)
 
@@ -124,6 +134,9 @@ class _Store:
     def move(self, old: str, new: str) -> None:
         self.fs.mv(old, new)
 
+    def exists(self, path: str) -> bool:
+        return self.fs.exists(path)
+
     def remove(self, path: str) -> None:
         self.fs.rm(path)
 
@@ -156,26 +169,12 @@ def _key_of(base: str, path: str) -> str:
     return path[len(base) + 1 :]
 
 
-def _walk(fs, folder: str) -> Iterator[tuple[str, int, float | None]]:
-    """Every file below a folder. An unreadable folder is an error."""
-    waiting = [folder]
-    while waiting:
-        for path, is_dir, size, modified in fs.entries(waiting.pop()):
-            if is_dir:
-                waiting.append(path)
-            else:
-                yield path, size, modified
-
-
-def _level(fs, base: str, prefix: str) -> Iterator[tuple[str, bool, int, float | None]]:
-    """Entries of the prefix's folder whose keys begin with the prefix; none if there is no such folder."""
-    folder = prefix.rpartition("/")[0]
-    try:
-        for path, is_dir, size, modified in fs.entries(f"{base}/{folder}" if folder else base):
-            if _key_of(base, path).startswith(prefix):
-                yield path, is_dir, size, modified
-    except FileNotFoundError:
-        log.warning("nothing found: no folder %s below %s", folder, base)
+def _entries(fs, base: str, folder: str, prefix: str) -> Iterator[tuple[str, bool, int, float | None]]:
+    """Entries of a folder (relative to ``base``) whose keys begin with the prefix."""
+    for path, is_dir, size, modified in fs.entries(f"{base}/{folder}" if folder else base):
+        key = _key_of(base, path)
+        if key.startswith(prefix):
+            yield key, size, modified, is_dir
 
 
 def _own_temporary(key: str) -> bool:
@@ -190,34 +189,44 @@ def _batches(rows: Iterator[tuple], columns: list[str]) -> Iterator[pd.DataFrame
         yield pdf
 
 
+def _lister(root: str, prefix: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        fs, base = _at(root)
+        for pdf in batches:
+            for folder, top in zip(pdf["folder"], pdf["top"]):
+                try:
+                    yield from _batches(_entries(fs, base, folder, prefix), ["key", "length", "modified", "folder"])
+                except FileNotFoundError:  # below the top, a folder that is gone is an error
+                    if not top:
+                        raise
+                    log.warning("nothing found: no folder %s below %s", folder, base)
+
+    return run
+
+
 def list_objects(spark: SparkSession, root: str, prefix: str = "", num_tasks: int | None = None) -> DataFrame:
     """Every object whose key begins with ``prefix``, as ``key, length, modified``.
 
     Keys are relative to ``root``. The prefix is a string: ``a/b`` finds ``a/b.jpg``, ``a/b/c`` and
     ``a/b2/c``. A prefix that nothing has gives an empty listing. The whole listing is read (the
     legacy call stops after its first page); folder markers (keys ending in '/') and this
-    module's own temporary names are left out. Lazy: each action lists anew."""
+    module's own temporary names are left out. The listing is a table in the shared folder, read
+    when this function is called: one job per level of folders."""
     n = num_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-
-    def first(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            for p in pdf["prefix"]:
-                fs, base = _at(root)
-                rows = ((_key_of(base, path), size, m, is_dir) for path, is_dir, size, m in _level(fs, base, p))
-                yield from _batches(rows, ["key", "length", "modified", "folder"])
-
-    def below(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, base = _at(root)
-        for pdf in batches:
-            for key in pdf["key"]:
-                rows = ((_key_of(base, path), size, m) for path, size, m in _walk(fs, f"{base}/{key}"))
-                yield from _batches(rows, LIST_SCHEMA.fieldNames())
-
-    level = spark.createDataFrame([(prefix.lstrip("/"),)], "prefix string").mapInPandas(
-        first, "key string, length long, modified timestamp, folder boolean"
-    )
-    walked = level.filter("folder").select("key").repartition(n, "key").mapInPandas(below, LIST_SCHEMA)
-    found = level.filter("NOT folder").drop("folder").unionByName(walked)
+    prefix = prefix.lstrip("/")
+    out = shared_dir(spark, "listing")
+    schema = T.StructType([*LIST_SCHEMA.fields, T.StructField("folder", T.BooleanType())])
+    front = spark.createDataFrame([(prefix.rpartition("/")[0], True)], "folder string, top boolean")
+    depth = 0
+    while True:
+        path = f"{out}/depth={depth}"
+        front.repartition(n, "folder").mapInPandas(_lister(root, prefix), schema).write.parquet(path)
+        folders = spark.read.schema(schema).parquet(path).filter("folder")
+        if folders.isEmpty():
+            break
+        front = folders.select(F.col("key").alias("folder"), F.lit(False).alias("top"))
+        depth += 1
+    found = spark.read.schema(schema).option("basePath", out).parquet(out).filter("NOT folder").select(*LIST_SCHEMA.fieldNames())
     return found.filter(~F.col("key").endswith("/") & ~F.col("key").rlike(_TEMPORARY_NAME.pattern))
 
 
@@ -262,29 +271,31 @@ def ensure_target(root: str) -> None:
     fs.make(base)
 
 
-def _copy_one(src_root: str, dst_root: str, key: str) -> tuple[int, str]:
-    """Stream one object; returns (bytes, sha256). Raises on failure, and then leaves nothing."""
-    sfs, src = _at(src_root)
-    dfs, dst = _at(dst_root)
-    path = f"{dst}/{key}"
-    _clear_temporaries(dfs, path)
-    h, n = hashlib.sha256(), 0
-    tmp = f"{path}{TEMPORARY}{uuid.uuid4().hex}"
+def _chunks(fin) -> Iterator[bytes]:
+    while b := fin.read(CHUNK):
+        yield b
+
+
+def _store_one(chunks: Iterator[bytes], fs, path: str) -> tuple[int, str, str]:
+    """Streams one object to a temporary name beside ``path``: (bytes, sha256, the name's token).
+    Raises on failure, and then leaves nothing."""
+    _clear_temporaries(fs, path)
+    h, n, token = hashlib.sha256(), 0, uuid.uuid4().hex
+    tmp = f"{path}{TEMPORARY}{token}"
     try:
-        with sfs.open(f"{src}/{key}", "rb") as fin, dfs.open(tmp, "wb") as fout:
-            while b := fin.read(CHUNK):
+        with fs.open(tmp, "wb") as fout:
+            for b in chunks:
                 h.update(b)
                 n += len(b)
                 fout.write(b)
-        dfs.move(tmp, path)
     except BaseException:
         # Closing a store's stream after an error can commit what was written: it goes, too.
         try:
-            dfs.remove(tmp)
+            fs.remove(tmp)
         except OSError:
             pass
         raise
-    return n, h.hexdigest()
+    return n, h.hexdigest(), token
 
 
 def _clear_temporaries(fs, path: str) -> None:
@@ -296,27 +307,126 @@ def _clear_temporaries(fs, path: str) -> None:
                 fs.remove(left)
 
 
-def _copy_outcome(src_root: str, dst_root: str, key: str) -> tuple:
-    try:
-        n, digest = _copy_one(src_root, dst_root, key)
-        return (key, n, digest, "ok", None)
-    except Exception as e:  # one bad object never stops the rest (B6)
-        return (key, None, None, "error", f"{type(e).__name__}: {e}")
+@dataclass
+class _Attempt(WriterCommitMessage):
+    """The outcome file of a task's attempt that Spark has committed."""
 
+    outcomes: str
 
-def _copier(src_root: str, dst_root: str, threads: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+class ObjectSink(DataSource):
+    """Rows (key, content), or keys of objects below ``source``, as temporary objects below
+    ``root``; options ``outcomes`` (a folder for outcome files, one per attempt) and ``threads``."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "recount_objects"
+
+    def writer(self, schema: T.StructType, overwrite: bool) -> "_ObjectWriter":
+        return _ObjectWriter(dict(self.options))
+
+
+class _ObjectWriter(DataSourceArrowWriter):
+    def __init__(self, options: dict[str, str]):
+        options = {k.lower(): v for k, v in options.items()}
+        self.root, self.source, self.outcomes = options["root"], options.get("source"), options["outcomes"]
+        self.threads = int(options.get("threads", "8"))
+
+    def _one(self, key: str, content: bytes | str | None) -> dict:
+        try:
+            if key is None:
+                raise ValueError("no key")
+            dfs, dst = _at(self.root)
+            path = f"{dst}/{key}"
+            if self.source is None:
+                data = content.encode() if isinstance(content, str) else content or b""
+                n, digest, token = _store_one(iter([data]), dfs, path)
+            else:
+                sfs, src = _at(self.source)
+                with sfs.open(f"{src}/{key}", "rb") as fin:
+                    n, digest, token = _store_one(_chunks(fin), dfs, path)
+            return {"key": key, "bytes": n, "sha256": digest, "status": "ok", "token": token}
+        except Exception as e:  # one bad object never stops the rest (B6)
+            return {"key": key, "status": "error", "error": f"{type(e).__name__}: {e}"}
+
+    def write(self, iterator) -> _Attempt:
         from concurrent.futures import ThreadPoolExecutor
 
+        fs, folder = _at(self.outcomes)
+        name = f"{uuid.uuid4().hex}.json"
         # Copies wait on the network; a few threads per task keep the task busy.
-        with ThreadPoolExecutor(max_workers=threads) as pool:
-            for pdf in batches:
-                out = list(pool.map(lambda k: _copy_outcome(src_root, dst_root, k), pdf["key"]))
-                yield pd.DataFrame(out, columns=[f.name for f in COPY_SCHEMA.fields])
+        with ThreadPoolExecutor(max_workers=self.threads) as pool, fs.open(f"{folder}/{name}", "wb") as log_:
+            for batch in iterator:
+                columns = batch.to_pydict()
+                contents = columns.get("content") or [None] * batch.num_rows
+                for row in pool.map(self._one, columns["key"], contents):
+                    log_.write(json.dumps(row).encode() + b"\n")
+        return _Attempt(name)
+
+    def commit(self, messages: list[_Attempt | None]) -> None:
+        """One row per task: the outcome files that count."""
+        fs, folder = _at(self.outcomes)
+        with fs.open(f"{folder}/{COMMITTED}", "wb") as f:
+            f.write("".join(f"{m.outcomes}\n" for m in messages if m is not None).encode())
+
+    def abort(self, messages: list[_Attempt | None]) -> None:
+        log.error("nothing of this write is published")
+
+
+COMMITTED = "_committed"
+
+
+def _publish_one(root: str, key: str, token: str) -> None:
+    """Moves a committed object to its name. Done again, it is there."""
+    fs, base = _at(root)
+    tmp = f"{base}/{key}{TEMPORARY}{token}"
+    try:
+        fs.move(tmp, f"{base}/{key}")
+    except FileNotFoundError:  # moved by an earlier attempt of this task
+        if not fs.exists(f"{base}/{key}"):
+            raise
+    except Exception:
+        fs.remove(tmp)
+        raise
+
+
+def _publisher(root: str):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            out = []
+            for key, n, digest, status, error, token in pdf.itertuples(index=False, name=None):
+                if status == "ok":
+                    try:
+                        _publish_one(root, key, token)
+                        out.append((key, int(n), digest, status, None))
+                        continue
+                    except Exception as e:
+                        error = f"{type(e).__name__}: {e}"
+                out.append((key, None, None, "error", error))
+            yield pd.DataFrame(out, columns=COPY_SCHEMA.fieldNames(), dtype=object).astype({"bytes": "Int64"})
 
     return run
 
 
+def _publish(frame: DataFrame, root: str, source: str | None, num_tasks: int | None, threads: int) -> DataFrame:
+    spark = frame.sparkSession
+    n = num_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.dataSource.register(ObjectSink)
+    folder = shared_dir(spark, "outcomes")
+    fs, place = _at(folder)
+    fs.make(place)
+    options = {"root": root, "outcomes": folder, "threads": str(threads)} | ({"source": source} if source else {})
+    write = frame.repartition(n, "key").write.format(ObjectSink.name()).mode("append")
+    write.options(**options).save()
+    with fs.open(f"{place}/{COMMITTED}", "rb") as f:
+        files = [f"{folder}/{x}" for x in f.read().decode().split()]
+    schema = T.StructType([*COPY_SCHEMA.fields, T.StructField("token", T.StringType())])
+    stored = spark.read.schema(schema).json(files) if files else spark.createDataFrame([], schema)
+    outcomes = stored.repartition(n, "key").mapInPandas(_publisher(root), COPY_SCHEMA)
+    outcomes.write.parquet(f"{folder}/published")
+    return spark.read.schema(COPY_SCHEMA).parquet(f"{folder}/published")
+
+
 def copy_objects(
     manifest: DataFrame, src_root: str, dst_root: str, num_tasks: int | None = None, threads_per_task: int = 8
 ) -> DataFrame:
@@ -325,12 +435,17 @@ def copy_objects(
 
     Keys are hash-partitioned over ``num_tasks`` tasks (default: the shuffle partitions), so
     work spreads over the cluster; inside a task ``threads_per_task`` objects are in flight at
-    once, each streamed in chunks. The result is lazy, and every action copies again: write the
-    outcomes once and read them from there."""
-    spark = manifest.sparkSession
-    n = num_tasks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = manifest.select("key").filter(~F.col("key").endswith("/")).repartition(n, "key")
-    return keys.mapInPandas(_copier(src_root, dst_root, threads_per_task), COPY_SCHEMA)
+    once, each streamed in chunks. The copy is done when this function returns; the result is the
+    table of its outcomes."""
+    keys = manifest.select("key").filter(~F.col("key").endswith("/")).distinct()
+    return _publish(keys, dst_root, src_root, num_tasks, threads_per_task)
+
+
+def write_objects(objects: DataFrame, root: str, num_tasks: int | None = None, threads_per_task: int = 8) -> DataFrame:
+    """Writes each row of a (key, content) frame as an object below ``root`` (S5); outcomes as in
+    ``copy_objects``. Content is binary or text (UTF-8), null is an empty object; of several rows of
+    a key any one stays."""
+    return _publish(objects.select("key", "content"), root, None, num_tasks, threads_per_task)
 
 
 def pending_objects(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -346,3 +461,21 @@ def copy_summary(outcomes: DataFrame) -> DataFrame:
     return outcomes.groupBy("status").agg(
         F.count(F.lit(1)).alias("objects"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")
     )
+
+
+def reconcile_objects(source: DataFrame, target: DataFrame) -> DataFrame:
+    """Two manifests (key, length, sha256) held against each other, a row per key: ``key,
+    source_length, target_length, verdict``, the latter ``missing`` or ``extra`` in the target,
+    ``length differs``, ``content differs`` or ``same``. A full outer join by key: neither manifest passes the
+    driver."""
+    s = source.select(F.col("key").alias("s_key"), F.col("length").alias("source_length"), F.col("sha256").alias("s_sha"))
+    t = target.select(F.col("key").alias("t_key"), F.col("length").alias("target_length"), F.col("sha256").alias("t_sha"))
+    verdict = (
+        F.when(F.col("t_key").isNull(), "missing")
+        .when(F.col("s_key").isNull(), "extra")
+        .when(F.col("source_length") != F.col("target_length"), "length differs")
+        .when(F.col("s_sha") != F.col("t_sha"), "content differs")
+        .otherwise("same")
+    )
+    both = s.join(t, F.col("s_key") == F.col("t_key"), "full")
+    return both.select(F.coalesce("s_key", "t_key").alias("key"), "source_length", "target_length", verdict.alias("verdict"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ...functions import pg
@@ -172,6 +172,30 @@ def user(cat: Catalog) -> DataFrame:
     )
 
 
+def names_by_locale(translations: DataFrame, key: str, default: str | None = None) -> DataFrame:
+    """``(key, name)``: the distinct values of ``COALESCE(en.name, ar.name, default)`` that a left join
+    with the English and another with the Arabic translations of a key would give (J7), from one
+    pass: an English name; an Arabic one where there is no English translation, or one without
+    a name. Usually one row a key."""
+    t = translations.filter(F.col("locale").isin("en", "ar") & F.col(key).isNotNull())
+    names = t.groupBy(F.col(key).alias("key"), "name").agg(
+        F.max(F.col("locale") == "en").alias("en"), F.max(F.col("locale") == "ar").alias("ar")
+    )
+    of_key = Window.partitionBy("key")
+    missing = F.col("name").isNull()
+    flagged = names.select(
+        "key", "name", "en", "ar",
+        F.max("en").over(of_key).alias("any_en"),
+        F.max(F.col("en") & missing).over(of_key).alias("nameless_en"),
+        F.max("ar").over(of_key).alias("any_ar"),
+    )
+    arabic = F.col("ar") & (~F.col("any_en") | F.col("nameless_en"))
+    found = flagged.filter((F.col("en") & ~missing) | arabic | (F.col("en") & missing & ~F.col("any_ar")))
+    if default is None:
+        return found.select("key", "name")
+    return found.select("key", F.coalesce("name", F.lit(default)).alias("name")).distinct()
+
+
 def user_address(cat: Catalog, state_key: str = "id") -> DataFrame:
     """D16 ``address``: user addresses with district and city names (English, else Arabic).
 
@@ -181,22 +205,19 @@ def user_address(cat: Catalog, state_key: str = "id") -> DataFrame:
     sua = cat["spree_user_addresses"].alias("sua")
     sa = cat["spree_addresses"].filter(F.col("city").isNotNull()).alias("sa")
     scon = cat["spree_countries"].alias("scon")
-    sdist = cat["spree_districts"].select("id").alias("sdist")
-    dtr = cat["spree_district_translations"]
-    sdt_en = dtr.filter(F.col("locale") == "en").alias("sdt_en")
-    sdt_ar = dtr.filter(F.col("locale") == "ar").alias("sdt_ar")
-    stt = cat["spree_state_translations"]
-    sst_en = stt.filter(F.col("locale") == "en").alias("sst_en")
-    sst_ar = stt.filter(F.col("locale") == "ar").alias("sst_ar")
+    # One row per name of a district or state. Rows of one address differ in these only, so that
+    # unequal rows are what the legacy DISTINCT leaves (user addresses, addresses, countries and
+    # districts are joined by their primary keys).
+    sdist = cat["spree_districts"].select("id")
+    sdt = names_by_locale(cat["spree_district_translations"], "spree_district_id")
+    sdt = sdt.join(sdist, F.col("key") == sdist["id"], "left_semi").alias("sdt")
+    sst = names_by_locale(cat["spree_state_translations"], state_key, default="").alias("sst")
     # ``WHERE sa.id IS NOT NULL AND city IS NOT NULL`` turns the address join inner.
     j = (
         sua.join(sa, F.col("sua.address_id") == F.col("sa.id"), "inner")
         .join(scon, F.col("sa.country_id") == F.col("scon.id"), "left")
-        .join(sdist, F.col("sdist.id") == F.col("sa.district_id"), "left")
-        .join(sdt_en, F.col("sdt_en.spree_district_id") == F.col("sdist.id"), "left")
-        .join(sdt_ar, F.col("sdt_ar.spree_district_id") == F.col("sdist.id"), "left")
-        .join(sst_en, F.col(f"sst_en.{state_key}") == F.col("sa.state_id"), "left")
-        .join(sst_ar, F.col(f"sst_ar.{state_key}") == F.col("sa.state_id"), "left")
+        .join(sdt, F.col("sdt.key") == F.col("sa.district_id"), "left")
+        .join(sst, F.col("sst.key") == F.col("sa.state_id"), "left")
     )
     a1, a2 = F.col("sa.address1"), F.col("sa.address2")
     formatted = (
@@ -208,12 +229,12 @@ def user_address(cat: Catalog, state_key: str = "id") -> DataFrame:
     rows = j.select(
         F.col("sua.id").alias("id"),
         formatted.alias("formatted_address"),
-        F.coalesce(F.col("sst_en.name"), F.col("sst_ar.name"), F.lit("")).alias("city"),
+        F.coalesce(F.col("sst.name"), F.lit("")).alias("city"),
         F.coalesce(F.col("scon.name"), F.lit("Saudi Arabia")).alias("country"),
         pg.only_digits_or_null("sa.zipcode", "bigint").alias("postal_code"),
         F.col("sua.created_at").alias("created_at"),
         F.col("sua.updated_at").alias("updated_at"),
-        F.coalesce(F.col("sdt_en.name"), F.col("sdt_ar.name")).alias("district"),
+        F.col("sdt.name").alias("district"),
         F.coalesce(F.col("sa.latitude"), F.lit(0)).alias("latitude"),
         F.coalesce(F.col("sa.longitude"), F.lit(0)).alias("longitude"),
         F.coalesce(F.col("sua.default"), F.lit(False)).alias("is_default"),
@@ -230,7 +251,7 @@ def user_address(cat: Catalog, state_key: str = "id") -> DataFrame:
         verified.alias("is_verified"),
         F.lit("").alias("title"),
         F.col("meta_notes").alias("comments"),
-    ).distinct()
+    )
 
 
 def checkout_cards(cat: Catalog) -> DataFrame:

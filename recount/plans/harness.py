@@ -23,8 +23,12 @@ from pyspark.sql import functions as F
 
 from ..functions import pg
 from ..operators.counts import row_count
-from ..operators.objects import copy_summary, object_manifest, pending_objects
+from ..operators.objects import (
+    copy_objects, copy_summary, ensure_target, list_objects, object_manifest, pending_objects, read_manifest,
+    reconcile_objects, write_objects,
+)
 from ..sources.catalog import Catalog
+from ..sources.shared import shared_dir
 from ..sources.fixtures import DRIVER_TABLES, FixtureCatalog, fixture_ctes
 from . import oracle
 from .extracts import auth, order, product, user
@@ -285,22 +289,61 @@ REGISTRY["object_manifest"] = Query(
 )
 
 
-# Outcome rows, one per object, of which those of the larger pages failed.
+# The pages as objects in folders below the shared one, listed, copied and reconciled there.
+def _page_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = fixture_catalog(spark, sf_dir).driver("pages")
+    key = F.format_string("pages/%d/%d.html", F.col("page_id") % 10, F.col("page_id"))
+    return pages.select("page_id", key.alias("key"), F.coalesce("html", F.lit("")).alias("content"))
+
+
+def _bucket(objects: DataFrame) -> str:
+    """A new bucket with these objects."""
+    root = shared_dir(objects.sparkSession, "bucket")
+    ensure_target(root)
+    write_objects(objects, root)
+    return root
+
+
+_FILES_SQL = "SELECT page_id, concat('pages/', page_id % 10, '/', page_id, '.html') AS key, encode(coalesce(html, '')) AS content FROM pages"
+
+
+def _copied(spark: SparkSession, sf_dir: str) -> DataFrame:
+    source, target = _bucket(_page_files(spark, sf_dir)), shared_dir(spark, "bucket")
+    ensure_target(target)
+    copy_objects(list_objects(spark, source, "pages/"), source, target)
+    return read_manifest(spark, target)
+
+
+REGISTRY["object_copy"] = Query(
+    "object_copy",
+    _copied,
+    f"SELECT key, octet_length(content) AS length, sha256(content) AS sha256 FROM ({_FILES_SQL})",
+    "key:s, length:i, sha256:s",
+)
+
+
+# A prefix that ends within a folder's name; the folders of a level are dealt over the tasks.
+REGISTRY["object_listing"] = Query(
+    "object_listing",
+    lambda spark, sf_dir: list_objects(spark, _bucket(_page_files(spark, sf_dir)), "pages/1").select("key", "length"),
+    f"SELECT key, octet_length(content) AS length FROM ({_FILES_SQL}) WHERE starts_with(key, 'pages/1')",
+    "key:s, length:i",
+)
+
+
+# One outcome per key asked for; only the smaller pages are there, so the copies of the others fail.
 def _copy_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = object_manifest(_page_objects(spark, sf_dir))
-    failed = F.col("length") > 4000
-    outcomes = m.select(
-        "key", F.when(~failed, F.col("length")).alias("bytes"), F.when(~failed, F.col("sha256")).alias("sha256"),
-        F.when(failed, "error").otherwise("ok").alias("status"), F.when(failed, "too large").alias("error"),
-    )
-    return copy_summary(outcomes)
+    files = _page_files(spark, sf_dir)
+    source, target = _bucket(files.filter(F.octet_length("content") <= 4000)), shared_dir(spark, "bucket")
+    ensure_target(target)
+    return copy_summary(copy_objects(files, source, target))
 
 
 REGISTRY["object_copy_status"] = Query(
     "object_copy_status",
     _copy_status,
     """
-WITH sizes AS (SELECT octet_length(encode(html)) AS n FROM pages)
+WITH sizes AS (SELECT octet_length(encode(coalesce(html, ''))) AS n FROM pages)
 SELECT 'ok' AS status, count(*) AS objects, sum(n) AS bytes FROM sizes WHERE n <= 4000 HAVING count(*) > 0
 UNION ALL
 SELECT 'error', count(*), 0 FROM sizes WHERE n > 4000 HAVING count(*) > 0""",
@@ -308,6 +351,75 @@ SELECT 'error', count(*), 0 FROM sizes WHERE n > 4000 HAVING count(*) > 0""",
 )
 
 
+# R1-R4 on objects: the target lacks some pages, has others longer, changed or under another name.
+def _two_manifests(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    files = _page_files(spark, sf_dir)
+    source, target = _bucket(files), shared_dir(spark, "bucket")
+    ensure_target(target)
+    kind = F.col("page_id") % 7
+    copy_objects(files.filter(kind > 3), source, target)
+    changed = files.filter(kind.between(1, 3)).select(
+        F.when(kind == 3, F.concat(F.lit("moved/"), "key")).otherwise(F.col("key")).alias("key"),
+        F.when(kind == 1, F.concat("content", F.lit("\n")))
+        .when(kind == 2, F.regexp_replace("content", "e", "E"))
+        .otherwise(F.col("content")).alias("content"),
+    )
+    write_objects(changed, target)
+    return read_manifest(spark, source), read_manifest(spark, target)
+
+
+_MANIFESTS_SQL = f"""files AS ({_FILES_SQL}),
+s AS (SELECT key, octet_length(content) AS n, sha256(content) AS h FROM files),
+t AS (
+  SELECT key, octet_length(content) AS n, sha256(content) AS h FROM (
+    SELECT key, content FROM files WHERE page_id % 7 > 3
+    UNION ALL SELECT key, encode(decode(content) || chr(10)) FROM files WHERE page_id % 7 = 1
+    UNION ALL SELECT key, encode(replace(decode(content), 'e', 'E')) FROM files WHERE page_id % 7 = 2
+    UNION ALL SELECT 'moved/' || key, content FROM files WHERE page_id % 7 = 3
+  ) AS x
+)"""
+
+REGISTRY["object_reconcile"] = Query(
+    "object_reconcile",
+    lambda spark, sf_dir: reconcile_objects(*_two_manifests(spark, sf_dir)),
+    f"""
+WITH {_MANIFESTS_SQL}
+SELECT coalesce(s.key, t.key) AS key, s.n AS source_length, t.n AS target_length,
+  CASE WHEN t.key IS NULL THEN 'missing' WHEN s.key IS NULL THEN 'extra' WHEN s.n <> t.n THEN 'length differs'
+       WHEN s.h <> t.h THEN 'content differs' ELSE 'same' END AS verdict
+FROM s FULL JOIN t ON s.key = t.key""",
+    "key:s, source_length:i, target_length:i, verdict:s",
+)
+
+
+def _object_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = reconcile_objects(*_two_manifests(spark, sf_dir))
+    counts = found.groupBy(F.regexp_extract("key", "^(.*)/", 1).alias("folder")).agg(
+        F.count("source_length").alias("Source Count"), F.count("target_length").alias("Destination Count"),
+        F.count_if(F.col("verdict").endswith("differs")).alias("changed"),
+    )
+    return with_verdict(counts)
+
+
+REGISTRY["object_report"] = Query(
+    "object_report",
+    _object_report,
+    f"""
+WITH {_MANIFESTS_SQL},
+c AS (
+  SELECT regexp_extract(coalesce(s.key, t.key), '^(.*)/', 1) AS folder, count(s.key) AS a, count(t.key) AS b,
+    count(*) FILTER (s.n <> t.n OR s.h <> t.h) AS changed
+  FROM s FULL JOIN t ON s.key = t.key GROUP BY 1
+)
+SELECT folder, a AS "Source Count", b AS "Destination Count", changed,
+  CASE WHEN a = b THEN 'count matches' ELSE 'count mismatch' END AS "Result",
+  CASE WHEN a > b THEN 'Number of records not migrated : ' || CAST(a - b AS VARCHAR)
+       WHEN a < b THEN 'Destination count is greater than Source Count' ELSE 'All records are migrated' END AS "Comments"
+FROM c""",
+    "folder:s, Source Count:i, Destination Count:i, changed:i, Result:s, Comments:s",
+)
+
+
 # B4, resume: two listings; the target lacks the pages of some hosts and has others cut short.
 def _pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = fixture_catalog(spark, sf_dir).driver("pages")

@@ -3,10 +3,14 @@
 import io
 import os
 
+import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from recount.operators import objects
-from recount.operators.objects import copy_objects, copy_summary, ensure_target, list_objects, read_manifest
+from recount.operators.objects import (
+    copy_objects, copy_summary, ensure_target, list_objects, read_manifest, reconcile_objects, write_objects,
+)
 
 
 def _make_bucket(root):
@@ -147,13 +151,17 @@ def test_store_keys_listing_and_copy(monkeypatch):
     assert base == "bucket" and objects._key_of(base, "bucket/pre/a.jpg") == "pre/a.jpg"
     with pytest.raises(ValueError):
         objects._key_of("bucket", "bucket2/pre/a.jpg")
-    first = [(objects._key_of(base, p), d) for p, d, _, _ in objects._level(fs, base, "pre")]
+    first = [(k, d) for k, _, _, d in objects._entries(fs, base, "", "pre")]
     assert first == [("pre", True), ("prefix2.jpg", False)]
-    assert sorted(p for p, _, _ in objects._walk(fs, "bucket/pre")) == ["bucket/pre/a.jpg", "bucket/pre/broken", "bucket/pre/sub/b.jpg"]
-    assert list(objects._level(fs, base, "none/at/all")) == []
-    assert objects._copy_one("s3://bucket", "abfs://box/in", "pre/sub/b.jpg")[0] == 2
+    assert [(k, d) for k, _, _, d in objects._entries(fs, base, "pre", "pre")] == [("pre/a.jpg", False), ("pre/broken", False), ("pre/sub", True)]
+    listed = next(objects._lister("s3://bucket", "none/at/all")(iter([pd.DataFrame({"folder": ["none/at"], "top": [True]})])), None)
+    assert listed is None
+    writer = objects._ObjectWriter({"root": "abfs://box/in", "source": "s3://bucket", "outcomes": "/"})
+    row = writer._one("pre/sub/b.jpg", None)
+    assert row["bytes"] == 2 and list(target.objects) == [f"box/in/pre/sub/b.jpg{objects.TEMPORARY}{row['token']}"]
+    objects._publish_one("abfs://box/in", "pre/sub/b.jpg", row["token"])
     assert target.objects == {"box/in/pre/sub/b.jpg": b"bb"}
-    assert objects._copy_outcome("s3://bucket", "abfs://box/in", "pre/broken")[3] == "error"
+    assert writer._one("pre/broken", None)["status"] == "error"
     assert list(target.objects) == ["box/in/pre/sub/b.jpg"]  # nothing partial
 
 
@@ -162,8 +170,12 @@ def test_leftovers_of_a_killed_copy_go(tmp_path):
     src.mkdir(), dst.mkdir()
     (src / "k").write_bytes(b"whole")
     (dst / ("k.recount-part-" + "f" * 32)).write_bytes(b"wh")
-    objects._copy_one(str(src), str(dst), "k")
+    row = objects._ObjectWriter({"root": str(dst), "source": str(src), "outcomes": "/"})._one("k", None)
+    objects._publish_one(str(dst), "k", row["token"])
     assert sorted(os.listdir(dst)) == ["k"]
+    objects._publish_one(str(dst), "k", row["token"])  # a task run again finds it published
+    with pytest.raises(FileNotFoundError):
+        objects._publish_one(str(dst), "other", row["token"])
 
 
 def test_unreadable_folder_is_an_error():
@@ -173,4 +185,51 @@ def test_unreadable_folder_is_an_error():
             yield
 
     with pytest.raises(PermissionError):
-        list(objects._walk(Closed(), "/x"))
+        list(objects._entries(Closed(), "/x", "", ""))
+
+
+def test_objects_written_by_spark(spark, tmp_path):
+    rows = [("a/1.html", b"x" * 10), ("a/b/2.html", b""), ("a/b/3.html", None), (None, b"no key")]
+    out = write_objects(spark.createDataFrame(rows, "key string, content binary"), str(tmp_path), num_tasks=3).collect()
+    assert {(r.key, r.bytes, r.status) for r in out} == {("a/1.html", 10, "ok"), ("a/b/2.html", 0, "ok"), ("a/b/3.html", 0, "ok"), (None, None, "error")}
+    assert sorted((r.key, r.length) for r in list_objects(spark, str(tmp_path), "a/").collect()) == [("a/1.html", 10), ("a/b/2.html", 0), ("a/b/3.html", 0)]
+    assert write_objects(spark.createDataFrame([], "key string, content binary"), str(tmp_path)).count() == 0
+    text = write_objects(spark.createDataFrame([("t", "é")], "key string, content string"), str(tmp_path)).first()
+    assert text.bytes == 2 and (tmp_path / "t").read_bytes() == "é".encode()
+
+
+def test_only_the_committed_attempt_is_published(spark, tmp_path):
+    """Two attempts of one task write the same objects; the commit names one of them."""
+    import pyarrow as pa
+
+    (tmp_path / "log").mkdir()
+    writer = objects._ObjectWriter({"root": str(tmp_path / "dst"), "outcomes": str(tmp_path / "log")})
+    batch = pa.RecordBatch.from_pydict({"key": ["k1", "k2"], "content": [b"one", b"two"]})
+    first, second = writer.write(iter([batch])), writer.write(iter([batch]))
+    assert list_objects(spark, str(tmp_path / "dst")).count() == 0  # nothing yet
+    writer.abort([first, None])
+    assert list_objects(spark, str(tmp_path / "dst")).count() == 0
+    writer.commit([None, second])
+    assert (tmp_path / "log" / objects.COMMITTED).read_text().split() == [second.outcomes]
+
+
+def test_a_deep_listing_is_dealt_over_tasks(spark, tmp_path):
+    for i in range(40):
+        d = tmp_path / "archive" / "images" / "2023" / f"day{i}"
+        d.mkdir(parents=True)
+        (d / "x.jpg").write_bytes(b"x" * i)
+    found = list_objects(spark, str(tmp_path), "archive/images/2023", num_tasks=8)
+    assert {(r.key, r.length) for r in found.select("key", "length").collect()} == {(f"archive/images/2023/day{i}/x.jpg", i) for i in range(40)}
+    # The day folders, all below one folder, were listed by several tasks: each wrote its own file.
+    assert found.filter("length > 0").select(F.input_file_name()).distinct().count() > 4
+
+
+def test_reconcile_objects(spark):
+    schema = "key string, length long, sha256 string"
+    a = spark.createDataFrame([("same", 1, "x"), ("missing", 2, "y"), ("longer", 3, "z"), ("other", 4, "u")], schema)
+    b = spark.createDataFrame([("same", 1, "x"), ("longer", 5, "z"), ("other", 4, "v"), ("extra", 6, "w")], schema)
+    got = {r.key: (r.source_length, r.target_length, r.verdict) for r in reconcile_objects(a, b).collect()}
+    assert got == {
+        "same": (1, 1, "same"), "missing": (2, None, "missing"), "longer": (3, 5, "length differs"),
+        "other": (4, 4, "content differs"), "extra": (None, 6, "extra"),
+    }

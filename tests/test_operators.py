@@ -163,3 +163,37 @@ def test_shared_folder_is_asked_for_on_a_cluster():
         shared_base(cluster)
     cluster.conf["spark.checkpoint.dir"] = "hdfs://name/shared/"
     assert shared_base(cluster) == "hdfs://name/shared"
+
+
+def test_fanout_join_exchanges_each_side_once(spark):
+    left = spark.range(4000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("lv"))
+    right = _hot(spark, 30_000).select(F.col("k").alias("rk"), "v")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = left_join_fanout(left, right, ["k"], ["rk"])
+        df.collect()
+        final = plan_text(df).split("== Initial Plan ==")[0]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    fresh = [x for x in final.splitlines() if "Exchange hashpartitioning" in x and "Reused" not in x]
+    # The left side once (its second use is a reused exchange), the right side once, and its distinct keys.
+    assert len(fresh) == 3 and final.count("ReusedExchange") == 1, final
+
+
+def test_names_by_locale_equals_two_joins(spark):
+    from recount.plans.extracts.user import names_by_locale
+
+    rows = [(1, "en", "One"), (1, "ar", "Wahid"), (2, "ar", "Ithnan"), (3, "en", None), (3, "ar", "Thalatha"), (3, "ar", "T3"),
+            (4, "en", None), (5, "en", "Five"), (5, "en", "Cinq"), (5, "en", None), (5, "ar", "Khamsa"), (6, "fr", "Six"),
+            (7, "ar", None), (8, "en", "Same"), (8, "ar", "Same"), (9, "en", None), (9, "ar", None), (9, "en", "Nine"), (None, "en", "x"),
+            (10, "en", ""), (10, "en", None)]
+    t = spark.createDataFrame(rows, "k int, locale string, name string")
+    base = spark.range(1, 12).select(F.col("id").cast("int").alias("id"))
+    en, ar = t.filter("locale = 'en'").alias("en"), t.filter("locale = 'ar'").alias("ar")
+    both = base.join(en, F.col("en.k") == F.col("id"), "left").join(ar, F.col("ar.k") == F.col("id"), "left")
+    for default in (None, ""):
+        want = both.select("id", F.coalesce(F.col("en.name"), F.col("ar.name"), F.lit(default)).alias("n")).distinct()
+        names = names_by_locale(t, "k", default)
+        got = base.join(names, F.col("key") == F.col("id"), "left").select("id", F.coalesce("name", F.lit(default)).alias("n"))
+        assert Counter(tuple(r) for r in got.collect()) == Counter(tuple(r) for r in want.collect())
