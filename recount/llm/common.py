@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..sources.shared import shared_dir, written  # noqa: F401
+
 # The ASCII white space of the contracts, [\x20\x09-\x0D].
 WHITE_SPACE = " \t\n\x0b\x0c\r"
 WHITE_SPACE_RE = r"[\x20\x09-\x0D]+"
@@ -19,26 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession, name: str) -> str:
-    """A fresh folder (not yet made) below ``spark.checkpoint.dir``, which all executors share.
-
-    Only where the session names none (tests on one machine) is a local one set."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = tempfile.mkdtemp(prefix="recount-shared-")
-        spark.sparkContext.setCheckpointDir(base)
-    if "://" not in base and not base.startswith("file:"):
-        base = "file://" + os.path.abspath(base)
-    return f"{base.rstrip('/')}/recount-{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` as a table written to the shared folder: cuts the lineage, survives lost executors."""
-    path = shared_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def filesystem(uri: str):
     """(pyarrow filesystem, path) of a URI: local, HDFS or object store. For use in tasks."""
     from pyarrow import fs
