@@ -11,7 +11,11 @@ both, to the last bit, so 16 bits of the value's hash stand for the sample in th
 1. ``terms``: within one projection a text's word hashes are sorted and the ends of equal runs exploded:
    a row per distinct word, nothing shuffled.
 2. ``signatures``: ``SAMPLES`` minima per key. The rows of a key lie in one task already
-   (they come from its one row), so the aggregate needs no exchange either.
+   (they come from its one row), so the aggregate needs no exchange either. The least of a text of W words
+   is exponential of rate W, so values above ``REACH / W`` hardly ever matter: a product of the uniform
+   numbers bounds a value from below, and only terms within that bound have their logarithms taken. If the
+   least value found lies within ``REACH / W``, no other can be less; a text of which that does not hold (one
+   sample in e**24) is judged again with all its terms.
 3. ``with_edits``: documents are numbered by id (``surrogate_id``), which names each one's successor. A
    document's text is exchanged once, by key; the first part of the successor's text comes to it by
    a second, smaller exchange, and both joins read the one exchange of texts.
@@ -33,23 +37,31 @@ from pyspark.sql import functions as F
 from ..operators.surrogate import surrogate_id
 from .common import text_or_empty, words, written
 
-SAMPLES = 64
+SAMPLES = 32  # a multiple of four
+REACH = 24.0
 LAST = (1 << 63) - 1  # the place of null ids
 KEY = ["__k", "__t1", "__t2"]
 
 
 def terms(df: DataFrame, text: str, keep: Sequence[str]) -> DataFrame:
-    """``keep`` columns, ``term`` (the hash of a word) and ``weight`` (its count): a row per distinct word
-    of the text, or one of nulls if there is none."""
+    """``keep`` columns, ``total`` (words of the text), ``term`` (the hash of a word) and ``weight`` (its
+    count): a row per distinct word of the text, or one of nulls if there is none."""
     hashed = df.select(*keep, F.array_sort(F.transform(words(F.col(text)), lambda w: F.xxhash64(w))).alias("__h"))
     ends = F.filter(
         F.sequence(F.lit(1), F.size("__h")),
         lambda i: (i == F.size("__h")) | (F.get("__h", i - 1) != F.get("__h", i)),
     )
-    runs = hashed.select("*", F.when(F.size("__h") > 0, ends).alias("__ends"))
-    exploded = runs.select(*keep, "__h", "__ends", F.posexplode_outer("__ends").alias("__run", "__end"))
+    runs = hashed.select("*", F.when(F.size("__h") > 0, ends).alias("__ends"), F.size("__h").alias("total"))
+    exploded = runs.select(*keep, "total", "__h", "__ends", F.posexplode_outer("__ends").alias("__run", "__end"))
     begin = F.when(F.col("__run") == 0, 0).otherwise(F.get("__ends", F.col("__run") - 1))
-    return exploded.select(*keep, F.get("__h", F.col("__end") - 1).alias("term"), (F.col("__end") - begin).alias("weight"))
+    return exploded.select(*keep, "total", F.get("__h", F.col("__end") - 1).alias("term"), (F.col("__end") - begin).alias("weight"))
+
+
+def _key(i: int) -> int:
+    """A 64-bit constant for the i-th hash function, signed."""
+    x = (i + 1) * 0x9E3779B97F4A7C15 & (1 << 64) - 1
+    x = (x ^ x >> 31) * 0xD6E8FEB86659FD93 & (1 << 64) - 1
+    return x - (1 << 64) if x >> 63 else x
 
 
 def _uniform(x: Column, high: bool) -> Column:
@@ -58,25 +70,38 @@ def _uniform(x: Column, high: bool) -> Column:
     return (half.cast("double") + 0.5) * F.lit(2.0**-32)
 
 
-def sample(term: Column, log_weight: Column, i: int) -> Column:
-    """ln a of sample ``i``: a function of the term and its weight's grid point alone."""
-    x, y, z = (F.xxhash64(term, F.lit(3 * i + j)) for j in range(3))
-    r = -F.ln(_uniform(x, True) * _uniform(x, False))
-    c = -F.ln(_uniform(y, True) * _uniform(y, False))
-    b = _uniform(z, True)
+def sample(term: Column, log_weight: Column, i: int, limit: Column | None = None) -> Column:
+    """ln a of sample ``i``, a function of the term and its weight's grid point alone. Null where
+    ``a * weight`` is above ``limit`` by its lower bound ``(1 - v) exp(-r)``, c being ``-ln v``."""
+    x, y, z = (F.xxhash64(term.bitwiseXOR(F.lit(_key(3 * i + j)))) for j in range(3))
+    u, v, b = _uniform(x, True) * _uniform(x, False), _uniform(y, True) * _uniform(y, False), _uniform(z, True)
+    r, c = -F.ln(u), -F.ln(v)
     t = F.floor(log_weight / r + b).cast("double")
-    return F.ln(c) - r * (t + 1.0 - b)
+    # Of weight 1, t is 0: the same formula, shorter.
+    value = F.when(log_weight == 0, F.ln(c) - r * (1.0 - b)).otherwise(F.ln(c) - r * (t + 1.0 - b))
+    return value if limit is None else F.when((1.0 - v) * u <= limit, value)
 
 
-def signatures(df: DataFrame, text: str, keys: Sequence[str], keep: Sequence[str] = (), samples: int = SAMPLES) -> DataFrame:
+def signatures(
+    df: DataFrame, text: str, keys: Sequence[str], keep: Sequence[str] = (), samples: int = SAMPLES, reach: float | None = REACH
+) -> DataFrame:
     """Per distinct ``keys``: the greatest value of each ``keep`` column (numbers) and ``fingerprint``: two bytes per sample,
-    none for a text without words."""
-    weights = terms(df, text, [*keys, *keep]).withColumn("__lw", F.ln("weight"))
-    least = [F.min(sample(F.col("term"), F.col("__lw"), i)).alias(f"__s{i}") for i in range(samples)]
-    found = weights.groupBy(*keys).agg(*[F.max(c).alias(c) for c in keep], *least)
-    digits = F.concat(*[F.lpad(F.hex(F.xxhash64(f"__s{i}").bitwiseAND(F.lit(0xFFFF))), 4, "0") for i in range(samples)])
+    none for a text without words; null if the terms within ``reach`` do not settle it (None: all terms are taken)."""
+    weights = terms(df, text, [*keys, *keep])
+    inputs = weights.select("*", F.ln("weight").alias("__lw"), (F.lit((reach or 0) * (1 + 1e-9)) * F.col("weight") / F.col("total")).alias("__limit"))
+    limit = None if reach is None else F.col("__limit")
+    least = [F.min(sample(F.col("term"), F.col("__lw"), i, limit)).alias(f"__s{i}") for i in range(samples)]
+    found = inputs.groupBy(*keys).agg(F.max("total").alias("__total"), *[F.max(c).alias(c) for c in keep], *least)
+    part = lambda i: F.shiftleft(F.xxhash64(f"__s{i}").bitwiseAND(F.lit(0xFFFF)), 48 - i % 4 * 16)
+    fours = [part(i).bitwiseOR(part(i + 1)).bitwiseOR(part(i + 2)).bitwiseOR(part(i + 3)) for i in range(0, samples, 4)]
+    digits = F.concat(*[F.lpad(F.hex(x), 16, "0") for x in fours])
+    settled = F.lit(True)
+    if reach is not None:
+        most = F.greatest(*[F.coalesce(f"__s{i}", F.lit(float("inf"))) for i in range(samples)], F.lit(float("-inf")))
+        settled = most <= F.ln(F.lit(reach * (1 - 1e-9)) / F.col("__total"))
     none = F.unhex(F.lit(""))
-    return found.select(*keys, *keep, F.when(F.col("__s0").isNull(), none).otherwise(F.unhex(digits)).alias("fingerprint"))
+    fingerprint = F.when(F.col("__total") == 0, none).when(settled, F.unhex(digits))
+    return found.select(*keys, *keep, fingerprint.alias("fingerprint"))
 
 
 def likeness(a: Column, b: Column, samples: int = SAMPLES) -> Column:
@@ -125,7 +150,17 @@ def with_edits(src: DataFrame, next_: DataFrame) -> DataFrame:
 _PARTS = ["__e0", "__e1", "__e2", "__e3"]  # a SHA-256 digest as four numbers, which an aggregate can keep
 
 
-def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text", samples: int = SAMPLES) -> DataFrame:
+def _prints(both: DataFrame, samples: int, reach: float | None) -> DataFrame:
+    """``KEY``, the edited text's digest (hex) and the fingerprints ``__a`` of the text, ``__b`` of the edited one."""
+    found = signatures(both, "__body", [*KEY, "__which"], _PARTS, samples, reach)
+    digest = F.lower(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in _PARTS]))
+    of = lambda which: F.max(F.when(F.col("__which") == which, F.col("fingerprint")))
+    return found.groupBy(*KEY).agg(F.max(digest).alias("__digest"), of(0).alias("__a"), of(1).alias("__b"))
+
+
+def edit_fingerprints(
+    docs: DataFrame, id_col: str = "doc_id", text: str = "text", samples: int = SAMPLES, reach: float = REACH
+) -> DataFrame:
     """One row per row of ``docs``: the id, ``n_chars``, ``edited_sha256``, the fingerprints (hex) of its text and of
     its edited text, and the likeness of the former to the latter and to its successor's."""
     src = _documents(docs, id_col, text)
@@ -135,10 +170,11 @@ def edit_fingerprints(docs: DataFrame, id_col: str = "doc_id", text: str = "text
     parts = [F.conv(F.substring("__sha", 16 * j + 1, 16), 16, -10).cast("long").alias(c) for j, c in enumerate(_PARTS)]
     rows = edits.select("*", sha.alias("__sha")).select(*KEY, "__text", "__edited", *parts)
     both = rows.select(*KEY, *_PARTS, F.expr("stack(2, 0, __text, 1, __edited) as (__which, __body)"))
-    found = signatures(both, "__body", [*KEY, "__which"], _PARTS, samples)
-    digest = F.lower(F.concat(*[F.lpad(F.hex(c), 16, "0") for c in _PARTS]))
-    of = lambda which: F.max(F.when(F.col("__which") == which, F.col("fingerprint")))
-    prints = written(found.groupBy(*KEY).agg(F.max(digest).alias("__digest"), of(0).alias("__a"), of(1).alias("__b")), "fingerprints")
+    prints = written(_prints(both, samples, reach), "fingerprints")
+    open_ = prints.filter(F.col("__a").isNull() | F.col("__b").isNull())
+    if not open_.isEmpty():
+        again = _prints(both.join(open_.select(*KEY), KEY, "left_semi"), samples, None)
+        prints = written(prints.dropna(subset=["__a", "__b"]).unionByName(again), "fingerprints")
     other = prints.select(*[F.col(c).alias(c.replace("__", "__n")) for c in KEY], F.col("__a").alias("__c"))
     judged = next_.join(other, [c.replace("__", "__n") for c in KEY]).select(*KEY, "__n", "__c").join(prints, KEY)
     results = judged.select(
