@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, compact_windows, conversation_trie, line_dedup, packing, quality, simhash, suffix_array, token_ids, topk, warc, weighted_sampling
+from . import (
+    alignment, bpe, compact_windows, conversation_trie, line_dedup, packing, quality, simhash, suffix_array, token_ids, topk, warc,
+    weighted_sampling,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": warc.op1_warc,
@@ -19,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": quality.op8_quality,
     "op9_topk": topk.op9_topk,
     "op10_token_ids": token_ids.op10_token_ids,
+    "op11_alignment": alignment.op11_alignment,
     "op12_conversation_trie": conversation_trie.op12_conversation_trie,
     "op13_weighted_sampling": weighted_sampling.op13_weighted_sampling,
 }
