@@ -7,8 +7,9 @@ space and the text into tokens; a byte offset where tokens of both end closes a
    the tasks. A chunk's tokens are those that *end* within its range, wherever it was cut: its row carries
    the text as far as the last safe point before it and the next one after it. A safe point is a single space between
    two characters that are not white space: neither tokenizer has a token or a merge across it.
-2. Between safe points lie segments, mostly words. Their tokens and groups are found once per task
-   and kept in a table of bounded size; a text is a sequence of table entries.
+2. Between safe points lie segments, mostly words. Their tokens are found once per task, new segments
+   together as one text, and kept in a table of bounded size; a text is a sequence of table entries, and its
+   tokens' ends, common ends and groups are array operations over many texts.
 3. A chunk yields a ``Fragment``: an open prefix (the tokens up to the first common end), closed groups, and an open
    suffix. ``compose`` is associative, with ``EMPTY`` as its neutral element, so the fragments of a long document are
    reduced as a tree: ``FAN`` neighbours a round, each round one exchange.
@@ -29,15 +30,16 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .bpe import byte_alphabet
+from .bpe import _within, byte_alphabet
 from .common import filesystem, shared_dir, text_or_empty, written
 
 CHUNK = 1 << 15  # code points
 FAN = 16
-TABLE_SEGMENTS = 1 << 17
+TABLE_SEGMENTS = 1 << 19
 ROWS = 64  # texts looked at together
 BLOCK = 1 << 12  # pairs of a block in a file of counts
 BLOCKS_KEPT = 1 << 10
+LINKS = 1 << 21  # links added up at a time
 
 
 # --- the monoid ---------------------------------------------------------------------------------
@@ -108,6 +110,7 @@ class Tokenizers:
         import re
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
+        import numpy as np
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -124,22 +127,49 @@ class Tokenizers:
         for i in range(self.b.get_piece_size()):
             piece = self.b.id_to_piece(i)
             self.b_bytes.append(bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode())
+        self.a_sizes = np.zeros(max(self.a_bytes) + 1, np.int64)
+        self.a_sizes[list(self.a_bytes)] = [len(x) for x in self.a_bytes.values()]
+        self.b_sizes = np.array([len(x) for x in self.b_bytes], np.int64)
         self.safe = re.compile(r" (?<=\S )(?=\S)")
 
-    def tokens(self, segments: list[str]) -> list[tuple | None]:
-        """Of each segment (A ids, A ends, B ids, B ends); None if the tokens don't give its bytes back."""
-        from itertools import accumulate
+    def tokens(self, segments: list[str]):
+        """For A and B: (the segments' ids in some order, each segment's first place in them, how many: -1 where the tokens
+        don't give its bytes back)."""
+        import numpy as np
 
-        out = []
-        spaced = [" " + s for s in segments]
-        found_a = self.a.encode_batch(spaced, add_special_tokens=False)
-        found_b = self.b.encode(segments, num_threads=1)
-        for s, a, b in zip(spaced, found_a, found_b):
-            raw, a_raw, b_raw = s.encode(), [self.a_bytes[i] for i in a.ids], [self.b_bytes[i] for i in b]
-            if b"".join(a_raw) == raw == b"".join(b_raw):
-                out.append((a.ids, list(accumulate(map(len, a_raw))), b, list(accumulate(map(len, b_raw)))))
+        # Segments without white space or U+2581 at their ends stay apart at safe points when put together.
+        plain = [i for i, s in enumerate(segments) if s and not s[0].isspace() and not s[-1].isspace() and "▁" not in s]
+        out = [([np.zeros(0, np.int64)], np.zeros(len(segments), np.int64), np.full(len(segments), -1)) for _ in range(2)]
+        if plain:
+            raw = [segments[i].encode() for i in plain]
+            ends = np.cumsum([len(x) + 1 for x in raw])
+            found = self._split(" " + " ".join([segments[i] for i in plain]), b" " + b" ".join(raw))
+            cuts = found and [np.searchsorted(e, ends) + 1 for _, e in found]
+            if not found or any((e[c - 1] != ends).any() for (_, e), c in zip(found, cuts)):
+                plain = []  # one by one, below
             else:
-                out.append(None)
+                for (ids, first, size), (new, _), c in zip(out, found, cuts):
+                    ids.append(new)
+                    size[plain] = np.diff(c, prepend=0)
+                    first[plain] = c - size[plain]
+        done = set(plain)
+        for i, s in enumerate(segments):
+            if i not in done and (found := self._split(" " + s, b" " + s.encode())):
+                for (ids, first, size), (new, _) in zip(out, found):
+                    first[i], size[i] = sum(map(len, ids)), len(new)
+                    ids.append(new)
+        return [(np.concatenate(ids), first, size) for ids, first, size in out]
+
+    def _split(self, spaced: str, data: bytes):
+        """((A ids, ends), (B ids, ends)) of a text that begins with a space; None if bytes don't come back."""
+        import numpy as np
+
+        out = []
+        for ids, of in ((self.a.encode(spaced, add_special_tokens=False).ids, self.a_bytes), (self.b.encode(spaced[1:]), self.b_bytes)):
+            if b"".join(map(of.__getitem__, ids)) != data:
+                return None
+            ids = np.array(ids, np.int64)
+            out.append((ids, np.cumsum((self.a_sizes if of is self.a_bytes else self.b_sizes)[ids])))
         return out
 
 
@@ -204,121 +234,141 @@ class Aligner:
 
     def __init__(self, tokenizers: Tokenizers, counts: PairCounts | None = None):
         self.t, self.counts = tokenizers, counts
-        self.table: dict[str, int] = {}
         self.clear()
 
     def clear(self) -> None:
         import numpy as np
 
-        self.table.clear()
-        # Of each segment: A tokens, B tokens, groups, links (-1: its bytes don't come back), best links, sum of counts.
-        self.numbers = np.zeros((1 << 12, len(NUMBERS)), np.int64)
-        self.texts: list[str] = []
-        self.links: list[list] = []
+        self.table: dict[str, int] = {}
+        # Of A and B: each segment's first place in the pool of ids, and how many (-1: its bytes don't come back).
+        self.first = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.size = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
+        self.pool = [np.zeros(0, np.int32), np.zeros(0, np.int32)]
 
     def learn(self, segments: list[str]) -> None:
-        """Adds segments to the table; they begin and end at safe points, so that a segment's groups are closed."""
-        import numpy as np
-
-        known = len(self.texts)
-        rows = np.zeros((len(segments), len(NUMBERS)), np.int64)
-        for i, tokens in enumerate(self.t.tokens(segments)):
-            if tokens is None:
-                rows[i, 3] = -1
-                self.texts.append("")
-                self.links.append([])
-                continue
-            piece, links = fragment(*tokens)
-            rows[i, :4] = len(tokens[0]), len(tokens[2]), len(links), len(links)
-            self.texts.append(groups_of(piece))
-            self.links.append(links)
-        rows[:, 4:] = self.sums(self.links[known:])
-        while len(self.numbers) < len(self.texts):
-            self.numbers = np.concatenate((self.numbers, np.zeros_like(self.numbers)))
-        self.numbers[known : len(self.texts)] = rows
-
-    def sums(self, links: list[list]):
-        """(best links, sum of counts) of each list of links."""
         import numpy as np
 
-        sizes = np.array([len(x) for x in links], np.int64)
-        if self.counts is None or not sizes.sum():
-            return np.zeros((len(links), 2), np.int64)
-        keys, back = np.unique(pair_keys([p for x in links for p in x]), return_inverse=True)
-        n, best = self.counts.find(keys)
-        ends = np.concatenate(([0], np.cumsum(sizes)))
-        totals = [np.concatenate(([0], np.cumsum(x[back]))) for x in (best.astype(np.int64), n)]
-        return np.stack([t[ends[1:]] - t[ends[:-1]] for t in totals], axis=1)
+        for k, (ids, first, size) in enumerate(self.t.tokens(segments)):
+            self.first[k] = np.concatenate((self.first[k], first + len(self.pool[k])))
+            self.size[k] = np.concatenate((self.size[k], size))
+            self.pool[k] = np.concatenate((self.pool[k], ids.astype(np.int32)))
 
-    def chunks(self, rows: list[tuple]) -> list[tuple | None]:
-        """Rows (text, low, high), each the range of bytes above ``low`` and up to ``high`` (None: the end) of a text that begins
-        with a space and lies between safe points. Of each (fragment, numbers, links of the cut segments, entries of the
-        whole ones), or None if bytes don't come back."""
+    def entries(self, texts: list[str]):
+        """Table entries of the segments of texts (each beginning with a space), end to end, and how many of each."""
         from itertools import islice
 
         import numpy as np
 
         if len(self.table) > TABLE_SEGMENTS:
             self.clear()
-        table, ready = self.table, []
-        known = len(table)
-        for text, low, high in rows:
-            segments = self.t.safe.split(text[1:])
-            first = last = None
-            if low:
-                first, segments = segments[0], segments[1:]
-            if high is not None and segments:
-                segments, last = segments[:-1], segments[-1]
-            ready.append((first, [table.setdefault(s, len(table)) for s in segments], last))
+        table, flat, sizes = self.table, [], []
+        known, split = len(table), self.t.safe.split
+        for text in texts:
+            segments = split(text[1:])
+            sizes.append(len(segments))
+            flat += [table.setdefault(s, len(table)) for s in segments]
         if len(table) > known:
             self.learn(list(islice(table, known, None)))
+        return np.array(flat, np.int64), np.array(sizes, np.int64)
+
+    def tokens(self, rows: list[tuple]):
+        """Rows (text, low, high), each the range of bytes above ``low`` and up to ``high`` (None: the end) of a text that begins
+        with a space and lies between safe points. Whether each gives its bytes back, and of A and of B
+        (ids, ends, row) of the tokens that end in the ranges; the ends count on from row to row."""
+        import numpy as np
+
+        flat, sizes = self.entries([r[0] for r in rows])
+        row = np.repeat(np.arange(len(rows)), sizes)
+        good = np.ones(len(rows), bool)
+        good[row[self.size[0][flat] < 0]] = False
+        keep = good[row]
+        flat, row = flat[keep], row[keep]
+        out, base = [], None
+        for k, weights in ((0, self.t.a_sizes), (1, self.t.b_sizes)):
+            n = self.size[k][flat]
+            ids = self.pool[k][np.repeat(self.first[k][flat], n) + _within(n)]
+            of, ends = np.repeat(row, n), np.cumsum(weights[ids])
+            if base is None:
+                # A row begins where its predecessor's last token ends.
+                upto = np.searchsorted(of, np.arange(len(rows)))
+                base = np.concatenate(([0], ends))[upto]
+                low = base + np.array([r[1] for r in rows], np.int64)
+                far = np.iinfo(np.int64).max
+                high = np.array([far if r[2] is None else r[2] + b for r, b in zip(rows, base.tolist())], np.int64)
+            inside = (ends > low[of]) & (ends <= high[of])
+            out.append((ids[inside], ends[inside], of[inside]))
+        return good, *out
+
+    def links(self, rows: list[tuple]):
+        """Keys of the linked pairs, in order (the counting pass)."""
+        _, (a, a_ends, _), (b, b_ends, _) = self.tokens(rows)
+        i, j = _common(a_ends, b_ends)
+        return _key(a[i], b[j])
+
+    def chunks(self, rows: list[tuple]) -> list[tuple[Fragment, list[int]] | None]:
+        """Of each row (as in ``tokens``) its fragment and its numbers; None if bytes don't come back."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+
+        good, (a, a_ends, a_row), (b, b_ends, b_row) = self.tokens(rows)
+        i, j = _common(a_ends, b_ends)
+        of = a_row[i]  # the row of each group
+        keys, back = np.unique(_key(a[i], b[j]), return_inverse=True)
+        n, best = self.counts.find(keys) if self.counts else (np.zeros(len(keys), np.int64), np.zeros(len(keys), bool))
+        at = np.arange(len(rows) + 1)
+        group_of = np.searchsorted(of, at)
+        bounds = [np.searchsorted(x, at) for x in (a_row, b_row)]
+        sums = [np.concatenate(([0], np.cumsum(x[back])))[group_of] for x in (best.astype(np.int64), n)]
+        # A token's group is that of the next common end; a tail's would be another row's.
+        sides, tails = [], []
+        for ids, ends, row in ((a, a_ends, a_row), (b, b_ends, b_row)):
+            group = np.searchsorted(a_ends[i], ends)
+            tail = np.append(of, -1)[group] != row
+            tails.append((ids[tail], np.searchsorted(row[tail], at)))
+            sides.append((ids[~tail], group[~tail], np.bincount(group[~tail], minlength=len(i))))
+        (ga, a_group, a_n), (gb, b_group, b_n) = sides
+        a_sum, b_sum = np.cumsum(a_n), np.cumsum(b_n)
+        merged, sign = np.empty(len(ga) + len(gb), np.int64), np.zeros(len(ga) + len(gb), np.int64)
+        a_at = np.arange(len(ga)) + (b_sum - b_n)[a_group]
+        b_at = np.arange(len(gb)) + a_sum[b_group]
+        merged[a_at], merged[b_at] = ga, gb
+        if len(i):
+            sign[a_at[a_sum - 1]], sign[b_at[b_sum - 1]] = 1, 2
+        signs = pa.array([",", "|", ";"]).take(pa.array(sign))
+        text = pc.binary_join_element_wise(pa.array(merged).cast(pa.string()), signs, "").cast(pa.large_string())
+        offsets = np.frombuffer(text.buffers()[1], np.int64, len(text) + 1) if len(text) else np.zeros(1, np.int64)
+        data = text.buffers()[2].to_pybytes() if len(text) else b""
         out = []
-        for (text, low, high), (first, entries, last) in zip(rows, ready):
-            found = np.array(entries, np.int64)
-            numbers = self.numbers[found]
-            if len(found) and numbers[:, 3].min() < 0:
+        for k in range(len(rows)):
+            if not good[k]:
                 out.append(None)
                 continue
-            totals, whole, cut_links = numbers.sum(axis=0), EMPTY, []
-            if entries:
-                head, _, rest = ";".join([self.texts[i] for i in entries]).partition(";")
-                whole = Fragment(True, tuple(tuple(map(int, x.split(","))) for x in head.split("|")), rest)
-            pieces = []
-            if first is not None:
-                pieces.append(self._part(first, 0, low, high, totals, cut_links))
-            pieces.append(whole)
-            if last is not None:
-                pieces.append(self._part(last, len(text.encode()) - len(last.encode()) - 1, low, high, totals, cut_links))
-            if None in pieces:
-                out.append(None)
+            g, h = int(group_of[k]), int(group_of[k + 1])
+            totals = [int(x[k + 1] - x[k]) for x in bounds] + [h - g, h - g] + [int(x[k + 1] - x[k]) for x in sums]
+            tail = tuple(tuple(x[c[k] : c[k + 1]].tolist()) for x, c in tails)
+            if g == h:
+                out.append((Fragment(tail=tail), totals))
                 continue
-            whole = EMPTY
-            for piece in pieces:
-                whole = compose(whole, piece)
-            totals[4:] += self.sums([cut_links])[0]
-            out.append((whole, totals.tolist(), cut_links, found))
+            head = tuple(tuple(x[c[g] - m[g] : c[g]].tolist()) for x, c, m in ((ga, a_sum, a_n), (gb, b_sum, b_n)))
+            body = data[offsets[a_sum[g] + b_sum[g]] : offsets[a_sum[h - 1] + b_sum[h - 1]]][:-1]
+            out.append((Fragment(True, head, body.decode(), tail), totals))
         return out
 
-    def _part(self, segment: str, begin: int, low: int, high: int | None, totals, links: list) -> Fragment | None:
-        """The tokens of a cut segment, which begins at byte ``begin``, that end in the range."""
-        tokens = self.t.tokens([segment])[0]
-        if tokens is None:
-            return None
-        inside = []
-        for ids, ends in (tokens[:2], tokens[2:]):
-            mine = [(i, e) for i, e in zip(ids, ends) if begin + e > low and (high is None or begin + e <= high)]
-            inside += [[i for i, _ in mine], [e for _, e in mine]]
-        piece, found = fragment(*inside)
-        links.extend(found)
-        totals[:4] += (len(inside[0]), len(inside[2]), len(found), len(found))
-        return piece
-
-
-def pair_keys(pairs):
+
+def _common(a_ends, b_ends):
+    """The places of equal ends in two ascending sequences."""
+    import numpy as np
+
+    at = np.searchsorted(b_ends, a_ends)
+    hit = np.append(b_ends, -1)[at] == a_ends
+    return np.flatnonzero(hit), at[hit]
+
+
+def _key(a, b):
     import numpy as np
 
-    a = np.array(pairs, np.int64).reshape(-1, 2)
-    return a[:, 1] << 32 | a[:, 0]  # by B id first
+    return b.astype(np.int64) << 32 | a.astype(np.int64)  # by B id first
 
 
 def worker_tokenizers(path_a: str, path_b: str) -> Tokenizers:
@@ -384,35 +434,21 @@ def _counted(chunks: DataFrame, path_a: str, path_b: str) -> DataFrame:
         import pyarrow as pa
 
         aligner = Aligner(worker_tokenizers(path_a, path_b))
-        used: list[np.ndarray] = []
-        loose: list = []
+        found: list[np.ndarray] = []
 
         def flush():
-            """What the table's segments and the cut ones have linked; empties the table."""
-            flat = np.concatenate(used) if used else np.zeros(0, np.int64)
-            times = np.bincount(flat, minlength=len(aligner.links))
-            sizes = np.array([len(x) for x in aligner.links], np.int64)
-            keys = pair_keys([p for x in aligner.links for p in x] + loose)
-            weight = np.concatenate((np.repeat(times, sizes), np.ones(len(loose), np.int64)))
-            pairs, back = np.unique(keys, return_inverse=True)
-            n = np.bincount(back, weights=weight, minlength=len(pairs)).astype(np.int64)
-            some = n > 0
-            aligner.clear()
-            used.clear()
-            loose.clear()
-            cols = [pairs[some] & 0xFFFFFFFF, pairs[some] >> 32, n[some]]
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["a", "b", "n"])
+            pairs, n = np.unique(np.concatenate(found), return_counts=True)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (pairs & 0xFFFFFFFF, pairs >> 32, n)], ["a", "b", "n"])
 
         for batch in batches:
             rows = list(zip(*(batch.column(c).to_pylist() for c in ("text", "low", "high"))))
             for at in range(0, len(rows), ROWS):
-                if len(aligner.table) > TABLE_SEGMENTS or len(used) > 1 << 16:
+                found.append(aligner.links(rows[at : at + ROWS]))
+                if sum(map(len, found)) > LINKS:
                     yield flush()
-                for found in aligner.chunks(rows[at : at + ROWS]):
-                    if found is not None:
-                        used.append(found[3])
-                        loose.extend(found[2])
-        yield flush()
+        if found:
+            yield flush()
 
     return chunks.select("text", "low", "high").mapInArrow(work, "a long, b long, n long").groupBy("a", "b").agg(F.sum("n").alias("n"))
 
