@@ -34,6 +34,8 @@ from .bpe import _within, byte_alphabet
 from .common import filesystem, shared_dir, text_or_empty, written
 
 CHUNK = 1 << 15  # code points
+# Fixed value: how byte-level tokenizers part a text before merging.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 FAN = 16
 TABLE_SEGMENTS = 1 << 19
 ROWS = 64  # texts looked at together
@@ -106,22 +108,26 @@ class Tokenizers:
 
     def __init__(self, path_a: str, path_b: str):
         import json
-        import os
         import re
 
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         import numpy as np
         import sentencepiece
-        from tokenizers import Tokenizer
+        import tiktoken
 
-        self.a = Tokenizer.from_file(path_a)
-        self.a.encode_special_tokens = True  # their strings are plain text
-        self.a.no_truncation()
-        self.a.no_padding()
         with open(path_a, encoding="utf-8") as f:
-            vocab = json.load(f)["model"]["vocab"]
+            spec = json.load(f)
+        vocab = spec["model"]["vocab"]
         byte_of = {c: b for b, c in enumerate(byte_alphabet())}
         self.a_bytes = {i: bytes(byte_of[c] for c in t) for t, i in vocab.items() if all(c in byte_of for c in t)}
+        # The file's merges make tokens in the order of their ids, so an id is a rank; special tokens are plain text.
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in spec["model"]["merges"]]
+        made = [vocab["".join(p)] for p in pairs]
+        special = {t["id"] for t in spec["added_tokens"]}
+        kind = spec["pre_tokenizer"] or {}
+        if made != sorted(made) or kind.get("type") != "ByteLevel" or not kind.get("use_regex") or spec["normalizer"]:
+            raise ValueError(f"{path_a} is not a byte-level BPE whose ids are ranks")
+        ranks = {raw: i for i, raw in self.a_bytes.items() if i not in special}
+        self.a = tiktoken.Encoding("a", pat_str=BYTE_LEVEL, mergeable_ranks=ranks, special_tokens={})
         self.b = sentencepiece.SentencePieceProcessor(model_file=path_b)
         self.b_bytes = []
         for i in range(self.b.get_piece_size()):
@@ -165,7 +171,7 @@ class Tokenizers:
         import numpy as np
 
         out = []
-        for ids, of in ((self.a.encode(spaced, add_special_tokens=False).ids, self.a_bytes), (self.b.encode(spaced[1:]), self.b_bytes)):
+        for ids, of in ((self.a.encode_ordinary(spaced), self.a_bytes), (self.b.encode(spaced[1:]), self.b_bytes)):
             if b"".join(map(of.__getitem__, ids)) != data:
                 return None
             ids = np.array(ids, np.int64)
