@@ -10,12 +10,14 @@ as words; a word's bytes, the last with the word-end mark, merged by rank.
    table is full forgets rare words, as in lossy counting). The reports are summed, and the frequent words with their ids compiled into a shared-suffix automaton
    (``lexicon``), of at most ``LEXICON_WORDS`` words, in a file in the shared folder.
 2. Every task maps that file. A word it hasn't met is looked up there; words the automaton does not
-   have are merged exactly (``merge_words``), many at a time. Both fill the task's word table,
-   which is emptied at ``TABLE_WORDS`` words, so its memory is bounded. Which words are frequent
+   have are merged exactly (``merge_words``), many at a time. Both fill the task's table of pieces,
+   which is emptied at ``TABLE_WORDS`` pieces, so its memory is bounded. Which words are frequent
    decides the speed, never the ids.
 
-Letters and digits outside the ranges of ``SAFE`` depend on the Unicode version of a library; texts
-with such characters are encoded by the tokenizers library itself, whole.
+A piece is what stands between white space; no word and no merge reaches beyond it. Letters and digits
+outside the ranges of ``SAFE`` depend on the Unicode version of a library: pieces with such characters, or with a
+special token, are encoded by the tokenizers library, the rest of their text through the lexicon. Only texts with a control
+character that Python and the library don't both take for white space (``DOUBTFUL``) go to it whole.
 
 Defined cases: a null or empty text has no tokens and decodes to an empty text. Texts of any length
 are encoded whole. Repeated rows are encoded each. Empty tables give empty results. Other columns
@@ -36,6 +38,7 @@ TABLE_WORDS = 1 << 19
 BATCH_CHARS = 1 << 21
 # Fixed ranges: control characters of white space, ASCII, Latin-1, Latin Extended A and B.
 SAFE = r"\t-\r\x20-\x7e\xa0-ɏ"
+DOUBTFUL = r"[\x1c-\x1f]"
 
 
 def byte_alphabet() -> list[str]:
@@ -84,6 +87,9 @@ class Encoder:
         letters, digits = chars("L"), chars("N")
         self.words = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{digits}]|[^\s{letters}{digits}]+")
         self.unsafe = re.compile(f"[^{SAFE}]|" + "|".join(map(re.escape, self.special)))
+        self.doubtful = re.compile(DOUBTFUL)
+        if len(self.tokens) > 1 << 16:
+            raise ValueError("token ids above 65535 need a wider lexicon file")
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
@@ -92,8 +98,11 @@ class Encoder:
     def _clear(self):
         import numpy as np
 
+        # Pieces, and the words they consist of: where their ids begin in a pool, and how many.
         self.table: dict[str, int] = {}
         self.first, self.size, self.pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
+        self.word_table: dict[str, int] = {}
+        self.word_first, self.word_size, self.word_pool = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint16)
 
     def merge_words(self, flat, starts, sizes):
         """Exact merges of words (bytes, end to end): token ids end to end, and how many per word.
@@ -155,7 +164,52 @@ class Encoder:
         order = np.argsort(word, kind="stable")
         return tok[order], np.bincount(word, minlength=len(starts))
 
+    def pieces(self, text: str) -> list[str] | None:
+        """The text's pieces, in lower case unless a piece is the library's to encode; None if the whole text is."""
+        if not self.unsafe.search(text):
+            return text.lower().split()
+        if self.doubtful.search(text):
+            return None
+        return [p if self.unsafe.search(p) else p.lower() for p in text.split()]
+
+    def _by_library(self, text: str):
+        import numpy as np
+
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint16)
+
     def _learn(self, new: list[str]):
+        """Adds pieces to the table."""
+        from itertools import islice
+
+        import numpy as np
+
+        table, numbers, counts, foreign = self.word_table, [], [], {}
+        known = len(table)
+        for i, piece in enumerate(new):
+            if self.unsafe.search(piece):
+                foreign[i] = self._by_library(piece)
+                counts.append(0)
+                continue
+            found = self.words.findall(piece)
+            counts.append(len(found))
+            numbers += [table.setdefault(w, len(table)) for w in found]
+        if len(table) > known:
+            self._learn_words(list(islice(table, known, None)))
+        word = np.array(numbers, np.int64)
+        n = self.word_size[word]
+        ids = self.word_pool[np.repeat(self.word_first[word], n) + _within(n)]
+        ends = np.concatenate(([0], np.cumsum(n)))[np.cumsum(counts)]
+        size = np.diff(ends, prepend=0)
+        first = ends - size
+        extra = len(ids)
+        for i, x in foreign.items():
+            first[i], size[i] = extra, len(x)
+            extra += len(x)
+        self.first = np.concatenate((self.first, first + len(self.pool)))
+        self.size = np.concatenate((self.size, size))
+        self.pool = np.concatenate([self.pool, ids, *foreign.values()])
+
+    def _learn_words(self, new: list[str]):
         """Adds words to the table: from the lexicon, or merged."""
         import numpy as np
 
@@ -180,9 +234,9 @@ class Encoder:
             a, b = self.lexicon.first_id[number[found]].astype(np.int64), self.lexicon.first_id[number[found] + 1].astype(np.int64)
             n[found], where[found] = b - a, len(pool) + np.cumsum(b - a) - (b - a)
             pool = np.concatenate((pool, self.lexicon.ids[np.repeat(a, b - a) + _within(b - a)]))
-        self.first = np.concatenate((self.first, where + len(self.pool)))
-        self.size = np.concatenate((self.size, n))
-        self.pool = np.concatenate((self.pool, pool.astype(np.uint16)))
+        self.word_first = np.concatenate((self.word_first, where + len(self.word_pool)))
+        self.word_size = np.concatenate((self.word_size, n))
+        self.word_pool = np.concatenate((self.word_pool, pool.astype(np.uint16)))
 
     def library_words(self, new: list[str]):
         """As ``merge_words``, by the library: the words with spaces between are one text, in which
@@ -199,39 +253,48 @@ class Encoder:
 
     def ids_of_words(self, words: list[str]) -> list[list[int]]:
         self._clear()
-        self.table = {w: i for i, w in enumerate(words)}
         if words:
-            self._learn(words)
-        return [self.pool[a : a + n].tolist() for a, n in zip(self.first.tolist(), self.size.tolist())]
+            self._learn_words(words)
+        out = [self.word_pool[a : a + n].tolist() for a, n in zip(self.word_first.tolist(), self.word_size.tolist())]
+        self._clear()
+        return out
 
-    def ids(self, texts: list[str]):
-        """One uint16 array of ids per text."""
+    def flat(self, texts: list[str]):
+        """The ids of texts end to end (uint16), and how many of each."""
         import numpy as np
 
         if len(self.table) > TABLE_WORDS:
             self._clear()
-        table, by_hand, numbers, counts = self.table, {}, [], []
+        table, whole, numbers, counts = self.table, {}, [], []
         for i, text in enumerate(texts):
-            if self.unsafe.search(text):
-                by_hand[i] = np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint16)
-                counts.append(0)
-                continue
-            found = self.words.findall(text.lower())
+            found = self.pieces(text)
+            if found is None:
+                whole[i] = self._by_library(text)
+                found = []
             counts.append(len(found))
-            numbers += [table.setdefault(w, len(table)) for w in found]
+            numbers += [table.setdefault(p, len(table)) for p in found]
         if len(table) > len(self.first):
             from itertools import islice
 
             self._learn(list(islice(table, len(self.first), None)))
-        word = np.array(numbers, np.int64)
-        n = self.size[word]
-        ids = self.pool[np.repeat(self.first[word], n) + _within(n)]
-        ends = np.concatenate(([0], np.cumsum(n)))[np.cumsum(counts)] if counts else []
-        out, at = [], 0
-        for i, e in enumerate(ends):
-            out.append(by_hand[i] if i in by_hand else ids[at:e])
-            at = e
-        return out
+        piece = np.array(numbers, np.int64)
+        n = self.size[piece]
+        ids = self.pool[np.repeat(self.first[piece], n) + _within(n)]
+        ends = np.concatenate(([0], np.cumsum(n)))[np.cumsum(counts)] if counts else np.zeros(0, np.int64)
+        sizes = np.diff(ends, prepend=0)
+        if whole:
+            parts = np.split(ids, ends[:-1])
+            for i, x in whole.items():
+                parts[i], sizes[i] = x, len(x)
+            ids = np.concatenate(parts)
+        return ids, sizes
+
+    def ids(self, texts: list[str]):
+        """One uint16 array of ids per text."""
+        import numpy as np
+
+        ids, sizes = self.flat(texts)
+        return np.split(ids, np.cumsum(sizes)[:-1]) if texts else []
 
     def decode(self, ids) -> str:
         """As the file, which names no decoder: the tokens with spaces between."""
@@ -287,17 +350,28 @@ def build_lexicon(docs: DataFrame, path: str, text: str = "text") -> str:
 
         import pyarrow as pa
 
-        encoder, counts = Encoder(path), Counter()
+        encoder, counts, pieces = Encoder(path), Counter(), Counter()
         total = 0
+
+        def add():
+            """The words of the pieces counted so far."""
+            nonlocal total
+            for p, n in pieces.items():
+                if not encoder.unsafe.search(p):
+                    for w in encoder.words.findall(p):
+                        counts[w] += n
+                        total += n
+            pieces.clear()
+
         for batch in batches:
             for _, texts in texts_in(batch.column("__text")):
                 for t in texts:
-                    if not encoder.unsafe.search(t):
-                        found = encoder.words.findall(t.lower())
-                        total += len(found)
-                        counts.update(found)
+                    pieces.update(encoder.pieces(t) or ())
+                if len(pieces) > TABLE_WORDS:
+                    add()
                 if len(counts) > TABLE_WORDS:  # rare words only: none near the threshold is lost for long
                     counts = Counter({w: n for w, n in counts.items() if n >= FREQUENT * total / 2})
+        add()
         often = [(w, n) for w, n in counts.items() if n >= FREQUENT * total]
         if often:
             yield pa.RecordBatch.from_arrays([pa.array([w for w, _ in often]), pa.array([n for _, n in often], pa.int64())], ["word", "n"])

@@ -42,21 +42,28 @@ class Writer:
         self.f, self.np = stream, np
         self.offsets, self.words, self.tokens = [], 0, 0
         self.waiting, self.n_waiting = [], 0
-        self.ids, self.nulls, self.sizes = [], [], []
+        self.ids, self.nulls, self.sizes = [], [], []  # arrays, of many documents each
+        self.documents = 0
 
     def add(self, doc_id, ids) -> None:
-        self.ids.append(doc_id or 0)
-        self.nulls.append(doc_id is None)
-        self.sizes.append(len(ids))
+        np = self.np
+        self.add_many(np.array([doc_id or 0]), np.array([doc_id is None]), np.array([len(ids)]), ids)
+
+    def add_many(self, doc_ids, nulls, sizes, ids) -> None:
+        """Documents: their ids, whether these are null, numbers of tokens, and all tokens end to end."""
+        self.ids.append(doc_ids.astype("<i8"))
+        self.nulls.append(nulls.astype("u1"))
+        self.sizes.append(sizes.astype("<i8"))
+        self.documents += len(sizes)
         self.waiting.append(ids)
         self.n_waiting += len(ids)
         if self.n_waiting >= PIECE:
             self._code(self.n_waiting - self.n_waiting % BLOCK)
 
     def _code(self, n: int) -> None:
-        flat = self.np.concatenate(self.waiting) if self.waiting else self.np.zeros(0, self.np.uint64)
+        flat = self.np.concatenate(self.waiting) if self.waiting else self.np.zeros(0, self.np.uint32)
         for at in range(0, n, PIECE):
-            words, first = encode(flat[at : min(n, at + PIECE)])
+            words, first = encode(flat[at : min(n, at + PIECE)].astype(self.np.uint64))
             self.f.write(words.astype("<u8").tobytes())
             self.offsets.append(first[:-1] + self.words)
             self.words += len(words)
@@ -69,16 +76,16 @@ class Writer:
         at, places = self.words * 8, []
         sections = (
             np.concatenate([*self.offsets, [self.words]]).astype("<i8"),
-            np.array(self.ids, "<i8"),
-            np.array(self.nulls, "u1"),
-            np.array(self.sizes, "<i8"),
+            np.concatenate([np.zeros(0, "<i8"), *self.ids]),
+            np.concatenate([np.zeros(0, "u1"), *self.nulls]),
+            np.concatenate([np.zeros(0, "<i8"), *self.sizes]),
         )
         for a in sections:
             raw = _padded(a.tobytes())
             places.append(at)
             at += len(raw)
             self.f.write(raw)
-        self.f.write(np.array([MAGIC, BLOCK, self.tokens, len(self.ids), *places], "<i8").tobytes())
+        self.f.write(np.array([MAGIC, BLOCK, self.tokens, self.documents, *places], "<i8").tobytes())
 
 
 class Reader:
@@ -149,20 +156,23 @@ def write_tokens(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text:
         uri = f"{folder}/part-{number:06d}-{uuid.uuid4().hex}.s8b"
         fs, place = filesystem(uri)
         writer = None
-        end = np.array([end_id], np.uint64)
         f = None
         for batch in batches:
             for at, texts in texts_in(batch.column("text")):
                 if writer is None:
                     f = fs.open_output_stream(place)
                     writer = Writer(f)
-                names = batch.column("id").slice(at, len(texts)).to_pylist()
-                for doc_id, ids in zip(names, encoder.ids(texts)):
-                    writer.add(doc_id, np.concatenate((ids.astype(np.uint64), end)))
+                names = batch.column("id").slice(at, len(texts))
+                ids, sizes = encoder.flat(texts)
+                ends = np.cumsum(sizes)
+                writer.add_many(
+                    names.fill_null(0).to_numpy(zero_copy_only=False), names.is_null().to_numpy(zero_copy_only=False),
+                    sizes + 1, np.insert(ids.astype(np.uint32), ends, end_id),
+                )
         if writer is not None:
             writer.close()
             f.close()
-            row = ([number], [uri], [len(writer.ids)], [writer.tokens])
+            row = ([number], [uri], [writer.documents], [writer.tokens])
             yield pa.RecordBatch.from_arrays([pa.array(x) for x in row], ["file", "uri", "documents", "tokens"])
 
     ordered.mapInArrow(work, "file long, uri string, documents long, tokens long").write.parquet(f"{folder}/manifest")

@@ -341,3 +341,33 @@ def test_scores_beyond_floats():
     assert topk.exact_scores(big, np.stack((big, -big))).tolist() == [2**56 + 1 + 2**54, -(2**56) - 1 - 2**54]
     with pytest.raises(OverflowError):
         topk.exact_scores(np.array([2.0**32]), np.array([[2.0**32]]))
+
+
+def test_pieces_of_other_scripts_leave_the_rest_to_the_lexicon(spark):
+    """Curly quotes, dashes, other scripts, special tokens and odd white space, beside ordinary words."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    odd_texts = [
+        "“Don’t,” he said — it’s 5€… or ‘six’", "слово and 日本語 テキスト words ΣΑΣ ΣΑΣ.", "á b ́c é é", "x y　z\x85w v",
+        "tab\x1fseparated \x1cwords", "<|endoftext|>mid <|startoftext|> a<|endoftext|>b", "İstanbul ſtraße ǅ ŉ", "🙂🙃 word🙂word", "don't we'LL I'M",
+        "​zero​ width﻿", "½ ² ٣ 5", "plain words only", "", "   ",
+    ]
+    encoder = bpe.Encoder(path)
+    seen = []
+    encoder._by_library = lambda text, f=encoder._by_library: seen.append(text) or f(text)
+    for _ in range(2):
+        got = [x.tolist() for x in encoder.ids(odd_texts)]
+        assert got == [library.encode(t, add_special_tokens=False).ids for t in odd_texts]
+    assert "said" not in " ".join(x for x in seen if "\x1f" not in x).split() and "plain words only" not in seen
+    assert "tab\x1fseparated \x1cwords" in seen and "slovo" not in seen and "слово" in seen
+    df = spark.createDataFrame(list(enumerate(odd_texts)), "doc_id long, text string")
+    lexicon = bpe.build_lexicon(df, path)
+    rows = bpe.encoded(df, path, lexicon, [F.col("doc_id")]).collect()
+    import numpy as np
+
+    assert {r.doc_id: np.frombuffer(r.ids, "<u4").tolist() for r in rows} == dict(enumerate(got))
