@@ -37,11 +37,11 @@ CHUNK = 1 << 15  # code points
 # Fixed value: how byte-level tokenizers part a text before merging.
 BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 FAN = 16
-TABLE_SEGMENTS = 1 << 19
-ROWS = 64  # texts looked at together
+TABLE_SEGMENTS = 1 << 17
+ROWS = 32  # texts looked at together
 BLOCK = 1 << 12  # pairs of a block in a file of counts
-BLOCKS_KEPT = 1 << 10
-LINKS = 1 << 21  # links added up at a time
+BLOCKS_KEPT = 1 << 9
+LINKS = 1 << 19  # links added up at a time
 
 
 # --- the monoid ---------------------------------------------------------------------------------
@@ -448,9 +448,9 @@ def _counted(chunks: DataFrame, path_a: str, path_b: str) -> DataFrame:
             return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in (pairs & 0xFFFFFFFF, pairs >> 32, n)], ["a", "b", "n"])
 
         for batch in batches:
-            rows = list(zip(*(batch.column(c).to_pylist() for c in ("text", "low", "high"))))
-            for at in range(0, len(rows), ROWS):
-                found.append(aligner.links(rows[at : at + ROWS]))
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.slice(at, ROWS)
+                found.append(aligner.links(list(zip(*(part.column(c).to_pylist() for c in ("text", "low", "high"))))))
                 if sum(map(len, found)) > LINKS:
                     yield flush()
         if found:
@@ -536,9 +536,9 @@ def _fragments(chunks: DataFrame, path_a: str, path_b: str, files: list[tuple])
     def work(batches):
         aligner = Aligner(worker_tokenizers(path_a, path_b), PairCounts(files))
         for batch in batches:
-            rows = list(zip(*(batch.column(c).to_pylist() for c in ("row", "number", "text", "low", "high"))))
-            for at in range(0, len(rows), ROWS):
-                part = rows[at : at + ROWS]
+            for at in range(0, batch.num_rows, ROWS):
+                columns = batch.slice(at, ROWS)
+                part = list(zip(*(columns.column(c).to_pylist() for c in ("row", "number", "text", "low", "high"))))
                 yield _batch([_row(*r[:2], found) for r, found in zip(part, aligner.chunks([r[2:] for r in part]))])
 
     return chunks.mapInArrow(work, FRAGMENT)
@@ -618,9 +618,9 @@ def _kept_fragments(src: DataFrame, path_a: str, path_b: str, files: list[tuple]
 
         aligner = Aligner(worker_tokenizers(path_a, path_b), PairCounts(files))
         for batch in batches:
-            kept, texts = batch.column("__kept"), batch.column("__text").to_pylist()
-            for at in range(0, len(texts), ROWS):
-                part = texts[at : at + ROWS]
+            kept = batch.column("__kept")
+            for at in range(0, batch.num_rows, ROWS):
+                part = batch.column("__text").slice(at, ROWS).to_pylist()
                 found = iter(aligner.chunks([(" " + t, 0, None) for t in part if t]))
                 rows = [_row(0, 0, next(found) if t else None) for t in part]
                 made = _batch(rows)
