@@ -9,8 +9,11 @@ driver, and only in ``run_suite``/``write_report``/``show_report``.
 from __future__ import annotations
 
 import logging
+import threading
+import uuid
 from collections import defaultdict
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
@@ -255,7 +258,7 @@ def run_suite(
     """Run a suite now and return its report (bounded by the number of specs).
 
     The suite runs as one job. If that job fails (a database error, a bad value under ANSI
-    casts), the specs are re-run one job each, in order, and ``on_error`` decides: ``'stop'``
+    casts), the specs are re-run one job each, ``RERUNS`` at a time, and ``on_error`` decides: ``'stop'``
     keeps the rows before the first failing spec and that spec's, with its error as the
     comment; ``'isolate'`` reports each failing spec with null counts and its error; ``'raise'``
     re-raises. Errors other than a query's (a lost cluster, a cancelled job) are always raised.
@@ -268,19 +271,51 @@ def run_suite(
         if on_error == "raise" or not _of_query(e, spark):
             raise
         log.warning("suite job failed; re-running spec by spec", exc_info=True)
-    out = []
-    for s in sorted(specs, key=lambda s: s.ord):
+    return spark.createDataFrame(_one_by_one(sorted(specs, key=lambda s: s.ord), source, dest, on_error), _schema(on_error))
+
+
+RERUNS = 8  # specs of a failed suite that run at a time
+
+
+def _one_by_one(specs: Sequence[ReconSpec], source: Catalog, dest: Catalog, on_error: str) -> list[tuple]:
+    """Rows of specs run as jobs of their own, several at a time. Under ``stop`` a failed spec cancels, by
+    their tags, the jobs of those after it; the specs before it go on."""
+    spark = source.spark
+    context, run = spark.sparkContext, uuid.uuid4().hex
+    tags = [f"recount-{run}-{i}" for i in range(len(specs))]
+    lock, failed = threading.Lock(), [len(specs)]  # the first failed spec so far
+
+    def one(i: int) -> tuple[list[tuple], BaseException | None]:
+        if on_error == "stop" and failed[0] < i:
+            return [], None
+        context.addJobTag(tags[i])
         try:
-            r = suite_report([s], source, dest, "raise").collect()
-            out.extend(tuple(x) + ((None,) if on_error == "isolate" else ()) for x in r)
+            return [tuple(r) for r in suite_report([specs[i]], source, dest, "raise").collect()], None
         except Exception as e:
+            if on_error == "stop":
+                with lock:
+                    if failed[0] < i:  # cancelled, or of no account
+                        return [], None
+                    failed[0] = i
+                for tag in tags[i + 1 :]:
+                    context.cancelJobsWithTag(tag)
+            return [], e
+        finally:
+            context.removeJobTag(tags[i])
+
+    with ThreadPoolExecutor(RERUNS) as pool:
+        done = list(pool.map(one, range(len(specs))))
+    out = []
+    for s, (rows, e) in zip(specs, done):
+        if e is not None:
             if isinstance(e, (PySparkException, Py4JJavaError)) and not _of_query(e, spark):
-                raise
+                raise e
             row = (s.ord, s.suite, s.source_label, s.dest_label, None, None, MISMATCH, _text(e))
-            out.append(row + ((_text(e),) if on_error == "isolate" else ()))
-            if on_error == "stop":
-                break
-    return spark.createDataFrame(out, _schema(on_error))
+            rows = [row]
+        out += [r + ((_text(e) if e else None,) if on_error == "isolate" else ()) for r in rows]
+        if e is not None and on_error == "stop":
+            break
+    return out
 
 
 def _schema(on_error: str) -> T.StructType:

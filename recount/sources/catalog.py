@@ -8,7 +8,7 @@ a metastore, parquet folders or in-memory frames.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -92,12 +92,43 @@ class JdbcPartitioning:
     """Parallel JDBC read: one query per range of ``column``; without it a table is one task.
 
     Leave ``lower``/``upper`` unset to have them read from the table
-    (``SELECT min(column), max(column)``, answered by the database: one row comes back)."""
+    (``SELECT min(column), max(column)``, answered by the database: one row comes back). These ranges are
+    of equal width and need whole numbers. With ``by="quantiles"`` the database computes the borders
+    of ranges of equal row counts, of a column of any type that sorts; a value that fills several of them is
+    split further by ``spread``, a whole-number expression of a row (``hashtext(ctid::text)``)."""
 
     column: str
     num_partitions: int = 200
     lower: int | None = None
     upper: int | None = None
+    by: str = "width"
+    spread: str | None = None
+
+
+def quantile_query(table: str, p: JdbcPartitioning) -> str:
+    """PostgreSQL: the borders of ``num_partitions`` ranges of equal row counts, as text in their order, and how many
+    ranges begin at each."""
+    at = ", ".join(str(i / p.num_partitions) for i in range(1, p.num_partitions))
+    cut = f"SELECT unnest(percentile_disc(ARRAY[{at}]) WITHIN GROUP (ORDER BY {p.column})) AS b FROM {table}"
+    return f"SELECT CAST(b AS text) AS border, count(*) AS times FROM ({cut}) AS cut WHERE b IS NOT NULL GROUP BY b ORDER BY b"
+
+
+def key_ranges(column: str, borders: Sequence[tuple[str, int]], spread: str | None = None) -> list[str]:
+    """Conditions of which every row meets one: nulls and values below the first border, then from
+    border to border. A border of several ranges is a value by itself, dealt by ``spread`` if it is given."""
+    if not borders:
+        return ["1 = 1"]
+    text = ["'" + b.replace("'", "''") + "'" for b, _ in borders]
+    out = [f"({column} < {text[0]} OR {column} IS NULL)"]
+    for i, (_, times) in enumerate(borders):
+        below = f" AND {column} < {text[i + 1]}" if i + 1 < len(borders) else ""
+        if times > 1 and spread:
+            # The remainder of a negative number is negative: both signs' remainders are dealt.
+            out += [f"{column} = {text[i]} AND mod(mod({spread}, {times}) + {times}, {times}) = {j}" for j in range(times)]
+            out.append(f"{column} > {text[i]}{below}")
+        else:
+            out.append(f"{column} >= {text[i]}{below}")
+    return out
 
 
 class JdbcCatalog(Catalog):
@@ -157,6 +188,11 @@ class JdbcCatalog(Catalog):
             raise ValueError(f"count of {name}: give the condition as SQL text, which the database can evaluate")
         return self._query(f"SELECT count(*) AS n FROM {name}" + (f" WHERE {where}" if where else ""))
 
+    def _load_parts(self, name: str, conditions: list[str]) -> DataFrame:
+        """One task per condition."""
+        reader = self.spark.read.option("fetchsize", str(self.fetchsize)).option("pushDownPredicate", "true")
+        return reader.jdbc(self.url, name, predicates=conditions, properties=self.properties)
+
     def _load(self, name: str) -> DataFrame:
         reader = self._reader(name)
         p = self.partitioning.get(name)
@@ -165,6 +201,9 @@ class JdbcCatalog(Catalog):
             if self.unpartitioned == "error":
                 raise ValueError(said)
             log.warning(said)
+        if p is not None and p.by == "quantiles":
+            borders = [(r["border"], r["times"]) for r in self._query(quantile_query(name, p)).collect()]
+            return self._load_parts(name, key_ranges(p.column, borders, p.spread))
         if p is not None:
             lo, hi = self.bounds(name, p)
             reader = (

@@ -86,3 +86,41 @@ def test_parquet_and_frame_catalogs(spark):
     assert frames["a"].count() == 3 and frames["b"].count() == 4
     fn = lambda c: c["a"].filter("id > 0")
     assert frames.derive(fn) is frames.derive(fn)  # one frame per derivation
+
+
+def test_quantile_ranges_of_a_skewed_text_key(spark):
+    """Every row meets one condition, and a value that fills several ranges is dealt over as many parts."""
+    from recount.sources.catalog import key_ranges, quantile_query
+
+    p = JdbcPartitioning("code", num_partitions=8, by="quantiles", spread="n")
+    sql = quantile_query("spree_codes", p)
+    assert "percentile_disc(ARRAY[0.125, 0.25, 0.375, 0.5, 0.625, 0.75, 0.875]) WITHIN GROUP (ORDER BY code)" in sql
+    values = sorted(["hot"] * 500 + [f"k{i:03d}" for i in range(300)] + ["it's"] * 3 + [""] * 2)
+    cut = [values[len(values) * i // 8] for i in range(1, 8)]
+    borders = [(b, cut.count(b)) for b in dict.fromkeys(cut)]
+    assert max(n for _, n in borders) > 3
+    rows = [(v, i - 400) for i, v in enumerate(values)] + [(None, 7), (None, 8)]
+    spark.createDataFrame(rows, "code string, n int").createOrReplaceTempView("codes")
+    for spread in ("n", None):
+        parts = key_ranges("code", borders, spread)
+        sizes = [spark.sql(f"SELECT count(*) FROM codes WHERE {c}").first()[0] for c in parts]
+        assert sum(sizes) == len(rows)
+        met = " + ".join(f"CASE WHEN {c} THEN 1 ELSE 0 END" for c in parts)
+        assert spark.sql(f"SELECT count(*) FROM codes WHERE {met} = 1").first()[0] == len(rows)
+        assert max(sizes) < 220 if spread else max(sizes) >= 500
+    assert key_ranges("code", []) == ["1 = 1"]
+    spark.catalog.dropTempView("codes")
+
+
+def test_quantile_partitioning_reads_a_task_per_range(spark):
+    class Quantiles(_FakeJdbc):
+        def _query(self, sql):
+            self.queries.append(sql)
+            return self.spark.createDataFrame([("b", 1), ("d", 1)], "border string, times bigint")
+
+        def _load_parts(self, name, conditions):
+            return name, conditions
+
+    cat = Quantiles(spark, {"t": JdbcPartitioning("code", num_partitions=3, by="quantiles")})
+    assert cat._load("t") == ("t", ["(code < 'b' OR code IS NULL)", "code >= 'b' AND code < 'd'", "code >= 'd'"])
+    assert len(cat.queries) == 1

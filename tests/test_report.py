@@ -148,3 +148,36 @@ def test_unfused_catalog_counts_each_scan_alone(spark):
     rep = suite_report(specs, cat, cat)
     assert [(r["Source Count"], r["Destination Count"]) for r in rep.collect()] == [(10, 5)]
     assert optimized_text(rep).count("Range (0, 10") == 2  # one count per side, each pushable
+
+
+def test_failed_suite_reruns_several_specs_at_a_time(spark):
+    """Under ``stop`` a failing spec cancels the running jobs of later ones; the rows before it stay."""
+    import time
+
+    from pyspark.sql import functions as F
+
+    from recount.plans.report import run_suite
+    from recount.plans.spec import Const, Extract, ReconSpec
+    from recount.sources.catalog import FrameCatalog
+
+    def slow(seconds):
+        def work(batches):
+            time.sleep(seconds)
+            yield from batches
+
+        return Extract(lambda cat: cat.spark.range(3).mapInPandas(work, "id long"))
+
+    bad = Extract(lambda cat: cat.spark.range(3).filter(F.when(F.col("id") == 1, F.raise_error(F.lit("bad value"))).isNull()))
+    spec = lambda ord, side: ReconSpec("s", ord, f"t{ord}", f"t{ord}", side, Const(3))
+    cat = FrameCatalog(spark, {})
+    specs = [spec(1, slow(2)), spec(2, slow(2)), spec(3, bad), spec(4, slow(60)), spec(5, slow(60))]
+    began = time.perf_counter()
+    rows = run_suite(specs[:3], cat, cat, "isolate").orderBy("ord").collect()
+    assert [(r["ord"], r["Source Count"]) for r in rows] == [(1, 3), (2, 3), (3, None)] and "bad value" in rows[2]["Error"]
+    serial = time.perf_counter() - began
+    began = time.perf_counter()
+    from recount.plans import report
+
+    rows = report._one_by_one(specs, cat, cat, "stop")
+    assert [(r[0], r[4]) for r in rows] == [(1, 3), (2, 3), (3, None)] and "bad value" in rows[2][7]
+    assert time.perf_counter() - began < 50 and serial < 50
