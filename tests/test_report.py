@@ -165,9 +165,9 @@ def test_failed_suite_reruns_several_specs_at_a_time(spark):
             time.sleep(seconds)
             yield from batches
 
-        return Extract(lambda cat: cat.spark.range(3).mapInPandas(work, "id long"))
+        return Extract(lambda cat: cat.spark.range(0, 3, 1, 1).mapInPandas(work, "id long"))
 
-    bad = Extract(lambda cat: cat.spark.range(3).filter(F.when(F.col("id") == 1, F.raise_error(F.lit("bad value"))).isNull()))
+    bad = Extract(lambda cat: cat.spark.range(0, 3, 1, 1).filter(F.when(F.col("id") == 1, F.raise_error(F.lit("bad value"))).isNull()))
     spec = lambda ord, side: ReconSpec("s", ord, f"t{ord}", f"t{ord}", side, Const(3))
     cat = FrameCatalog(spark, {})
     specs = [spec(1, slow(2)), spec(2, slow(2)), spec(3, bad), spec(4, slow(60)), spec(5, slow(60))]
