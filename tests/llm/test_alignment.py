@@ -135,6 +135,17 @@ def test_equals_whole_text_tokens(spark, monkeypatch, whole_texts, chunk, table)
     assert [g[1:] for g in got] == _brute(texts, whole_texts)
 
 
+def test_long_texts_without_tokens_count_no_link(spark, monkeypatch, whole_texts):
+    """One bad chunk among many: the links of the others must not count."""
+    monkeypatch.setattr(al, "CHUNK", 32)
+    words = "some plain words that stand in every text of this table and nowhere else " * 4
+    texts = [words, words + "x▁y " + words, words + "double  space " + words, words[:90], words]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(_rows(al.align(df, A, B, [F.col("doc_id")]), ["doc_id"]))
+    assert [g[1:] for g in got] == _brute(texts, whole_texts)
+    assert got[1][1:] == (0, 0, 0, 0, 0, 0, "")
+
+
 def test_cut_covers_every_byte():
     rng = random.Random(9)
     for _ in range(300):
