@@ -4,7 +4,11 @@
 no shuffle, no Python. ``order_rules`` measures each rule's cost and rejection rate on a sample
 and orders the rules by rejection per cost; ``quality_cascade`` evaluates them in that order as
 one CASE expression, which stops at the first rule that rejects. The order changes the cost
-only: a document is kept if no rule rejects it, whichever is asked first.
+only: a document is kept if no rule rejects it, whichever is asked first. ``kept_rows`` wants no
+figures: there the repeated words, the dearest of them, are computed last, for rows that no other rule rejects.
+
+A rule's cost is the time of its evaluations within the tasks, some per row of the sample. The sample's tasks stop at
+its size; they are run on one partition, then on more until there are rows enough, and only verdicts and times reach the driver.
 
 Defined cases: a null text has no words, no symbols and one empty line; it fails the base rule.
 Empty tables give empty results. Repeated rows and ties: each row is judged by itself. Other
@@ -14,7 +18,6 @@ columns are read.
 
 from __future__ import annotations
 
-import time
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -28,6 +31,7 @@ MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
 # Rows of the sample on which costs and rejection rates are estimated; it decides the order only.
 SAMPLE_ROWS = 2000
+REPEATS = 4  # evaluations of a rule per row of the sample
 
 
 @dataclass(frozen=True)
@@ -75,11 +79,29 @@ def _covered(hashes: Column, window: int) -> Column:
     return F.transform(F.array(pairs), count)[0]
 
 
-def text_stats(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns (as __k0, __k1, ...), ``text`` (null: empty) and the base figures."""
+def _repeat_words(w: Column) -> Column:
+    """Words in windows found twice or more, of an array of words, as one expression: where a CASE doesn't
+    come to it, nothing of it is computed. Each array is bound to a lambda variable and evaluated once."""
+
+    def of_windows(hashes: Column) -> Column:
+        repeats = F.size(F.array_distinct(hashes)) < F.size(hashes)
+        return F.when(repeats, _covered(hashes, WINDOW)).otherwise(F.lit(0).cast("long"))
+
+    def of_words(hashed: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.size(hashed) - (WINDOW - 1))
+        return F.transform(F.array(F.transform(starts, lambda i: F.xxhash64(F.slice(hashed, i, WINDOW)))), of_windows)[0]
+
+    found = F.transform(F.array(F.transform(w, lambda x: F.xxhash64(x))), of_words)[0]
+    return F.when(F.size(w) >= WINDOW, found).otherwise(F.lit(0).cast("long"))
+
+
+def text_stats(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_id",), repeats: bool = True) -> DataFrame:
+    """``keep`` columns (as __k0, __k1, ...), ``text`` (null: empty) and the base figures. Without ``repeats``: the
+    words (__w) in place of ``n_repeat_words``."""
     kept = [f"__k{i}" for i in range(len(keep))]
     t = docs.select(*[F.col(f"`{c}`").alias(k) for c, k in zip(keep, kept)], F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     w = t.select("*", words(F.col("text")).alias("__w"), F.split("text", "\n").alias("__lines"))
+    hashed = F.transform("__w", lambda x: F.xxhash64(x)).alias("__wh") if repeats else F.col("__w")
     h = w.select(
         *kept,
         "text",
@@ -88,8 +110,11 @@ def text_stats(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_
         F.expr("cast(regexp_count(text, '[#*$%&|<>]') as bigint)").alias("n_symbols"),
         F.size("__lines").cast("long").alias("n_lines"),
         F.filter("__lines", lambda x: strip_ascii(x) != "").alias("__full"),
-        F.transform("__w", lambda x: F.xxhash64(x)).alias("__wh"),
+        hashed,
     )
+    n_dup_lines = (F.size("__full") - F.size(F.array_distinct("__full"))).cast("long").alias("n_dup_lines")
+    if not repeats:
+        return h.select(*kept, "text", "n_words", "word_chars", "n_symbols", "n_lines", n_dup_lines, "__w")
     s = h.select(
         *kept,
         "text",
@@ -97,7 +122,7 @@ def text_stats(docs: DataFrame, text: str = "text", keep: Sequence[str] = ("doc_
         "word_chars",
         "n_symbols",
         "n_lines",
-        (F.size("__full") - F.size(F.array_distinct("__full"))).cast("long").alias("n_dup_lines"),
+        n_dup_lines,
         F.when(
             F.col("n_words") >= WINDOW,
             F.transform(
@@ -129,18 +154,16 @@ def base_failed() -> Column:
 def order_rules(stats: DataFrame, rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> list[Rule]:
     """The rules by rejections per second of evaluation, best first, as measured on a sample of
     at most ``sample_rows`` rows. Ties keep the given order; on an empty sample nothing changes."""
-    sample = stats.limit(sample_rows).persist()
-    try:
-        if sample.count() == 0:
-            return list(rules)
-        rate = {}
-        for r in rules:
-            began = time.perf_counter()
-            hit = sample.agg(F.count_if(F.expr(r.rejects))).first()[0]
-            rate[r.name] = (hit or 0) / max(time.perf_counter() - began, 1e-6)
-        return sorted(rules, key=lambda r: -rate[r.name])
-    finally:
-        sample.unpersist()
+    now = "cast(reflect('java.lang.System', 'nanoTime') AS bigint)"
+    hits = f"aggregate(sequence(1, {REPEATS}), 0, (__n, __i) -> __n + if({{}}, 1, 0))"
+    # A struct's fields are evaluated in order.
+    timed = [F.expr(f"named_struct('began', {now}, 'hits', {hits.format(r.rejects)}, 'ended', {now})").alias(f"__r{i}") for i, r in enumerate(rules)]
+    sample = stats.select(*timed).take(sample_rows) if rules else []
+    rate = {}
+    for i, r in enumerate(rules):
+        spent = sum(row[i].ended - row[i].began for row in sample)
+        rate[r.name] = sum(row[i].hits for row in sample) / max(spent, 1)
+    return sorted(rules, key=lambda r: -rate[r.name])
 
 
 def cascade(rules: Sequence[Rule]) -> Column:
@@ -163,7 +186,7 @@ def quality_cascade(
     ``base_failed`` and ``kept``. The base rule is the cascade's first, its figures being wanted
     for every row."""
     keep = list(keep) if keep is not None else [id_col]
-    ordered = order_rules(text_stats(docs.limit(sample_rows), text, []), rules, sample_rows)
+    ordered = order_rules(text_stats(docs, text, [], repeats=False), rules, sample_rows)
     stats = text_stats(docs, text, keep)
     out = stats.select(
         *[F.col(f"__k{i}").alias(c) for i, c in enumerate(keep)],
@@ -180,11 +203,12 @@ def quality_cascade(
 
 def kept_rows(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """The rows of ``docs`` that no rule rejects, with the same columns."""
-    ordered = order_rules(text_stats(docs.limit(sample_rows), text, []), rules, sample_rows)
-    verdict = (~base_failed() & cascade(ordered)).alias("__kept")
+    ordered = order_rules(text_stats(docs, text, [], repeats=False), rules, sample_rows)
+    repeated = 100 * _repeat_words(F.col("__w")) > MAX_REPEAT_PERCENT * F.col("n_words")
+    verdict = F.when(F.col("n_words") < MIN_WORDS, F.lit(False)).when(~cascade(ordered), F.lit(False)).otherwise(~repeated).alias("__kept")
     # A row number keeps the optimizer from pushing the filter below the projections, which would
     # write every figure's expression out at each of its uses.
-    judged = text_stats(docs, text, docs.columns).select("*", verdict, F.monotonically_increasing_id().alias("__row"))
+    judged = text_stats(docs, text, docs.columns, repeats=False).select("*", verdict, F.monotonically_increasing_id().alias("__row"))
     good = judged.filter("__kept AND __row >= 0")
     return good.select(*[F.col(f"__k{i}").alias(c) for i, c in enumerate(docs.columns)])
 

@@ -63,6 +63,26 @@ def test_order_of_rules_decides_nothing(spark, odd):
     assert {r.name for r in quality.order_rules(stats)} == {r.name for r in quality.RULES}
 
 
+def test_rules_are_ordered_by_rejection_per_cost(spark):
+    """Cost and rejections are measured in tasks; no text is shuffled or brought to the driver for it."""
+    rows = [(i, ("#### " if i % 2 else "") + "some ordinary words " * 40) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(6)
+    dear = quality.Rule("dear", "length(regexp_replace(text, '([a-z]+) ([a-z]+)', '$2 $1')) < 0 OR n_symbols > 0")
+    never, cheap = quality.Rule("never", "n_words < 0"), quality.Rule("cheap", "n_symbols > 0")
+    stats = quality.text_stats(docs, repeats=False)
+    assert [r.name for r in quality.order_rules(stats, (never, dear, cheap))] == ["cheap", "dear", "never"]
+    assert quality.order_rules(stats.filter("false"), (never, dear)) == [never, dear] and quality.order_rules(stats, ()) == []
+
+
+def test_repeated_words_as_one_expression(spark, odd):
+    from pyspark.sql import functions as F
+
+    docs = odd.select("doc_id", "text").unionByName(spark.read.parquet(f"{SMALL}/documents.parquet").select(F.col("doc_id").cast("long"), "text"))
+    figures = quality.text_stats(docs, keep=["text"], repeats=False)
+    for r in figures.select(F.col("__k0").alias("t"), quality._repeat_words(F.col("__w")).alias("n")).collect():
+        assert r.n == _stats(r.t)[4]
+
+
 def _deduped(rows, least=20, docs=3):
     """Brute force: (id, text) rows, each a document."""
     ws = " \t\n\x0b\x0c\r"
