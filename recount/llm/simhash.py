@@ -5,12 +5,14 @@ bit is set if set in over half of them. Equal fingerprints are one entry of the
 
 Index: two fingerprints that differ in at most ``max_bits`` bits agree in at least 8 - max_bits of
 their eight positional bytes: the guaranteed minimum of matches. A posting list of one positional
-byte would hold 1/256 of all fingerprints, and tallying its pairs is quadratic; so the lists are
-keyed by each combination of as many positional bytes as the minimum asks for (56 lists of five
-bytes for three bits). Any pair over the minimum shares a list, and the pairs of a list are few.
-Of a pair's lists, the one of its first matching bytes tallies it: the count of shared positional
-bytes is filtered, then the bit distance is verified. Lists are joined by Spark, and their skewed
-partitions may be split; no list is collected.
+byte would hold 1/256 of all fingerprints, and tallying its pairs is quadratic. So a list stands for
+one byte less than the minimum, together: a pair that agrees in five of eight bytes agrees in four of
+the first seven, so the 35 choices of four among seven are enough (for three bits), and a list holds
+one of 2**32 values. Entries of a list are tallied in pairs, over all eight bytes: pairs below the
+guaranteed minimum go by the count, a pair in several lists counts in the first of them, and the bit
+distance of the rest is verified. The index is shuffled once, both sides of the join read it; skewed
+partitions may be split, and no list is collected. A fingerprint has at most 43,744 others within
+three bits, so the links of a dense group grow with its size, not with its square.
 
 Components of the verified links: ``components``.
 
@@ -87,28 +89,28 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
     least = 8 - max_bits
     if not 0 <= max_bits <= 7:
         raise ValueError("max_bits: 0 to 7; beyond that, fingerprints need not share a byte")
-    lists = list(combinations(range(8), least))
+    # Of ``least`` equal bytes among eight, ``size`` are among the first ``max_bits + size``.
+    size = max(1, least - 1)
+    lists = list(combinations(range(max_bits + size), size))
     masks = [sum(0xFF << (8 * p) for p in chosen) for chosen in lists]
     signed = [m - (1 << 64) if m >> 63 else m for m in masks]
     posted = distinct.select(
         "fp",
         F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("list", "bytes"),
     )
-    a = posted.select(F.col("fp").alias("a"), "list", "bytes")
-    b = posted.select(F.col("fp").alias("b"), F.col("list").alias("list_b"), F.col("bytes").alias("bytes_b"))
-    differ = F.col("a").bitwiseXOR(F.col("b"))
+    # The same frame twice, so that Spark shuffles the index once.
+    met = posted.alias("a").join(posted.alias("b"), (F.col("a.list") == F.col("b.list")) & (F.col("a.bytes") == F.col("b.bytes")) & (F.col("a.fp") < F.col("b.fp")))
+    pairs = met.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"), F.col("a.list").alias("list"))
     # The positional bytes that match, as a sum of powers of two, and their tally.
     match = sum(F.when(F.expr(f"shiftright(a ^ b, {8 * p}) & 255") == 0, F.lit(1 << p)).otherwise(F.lit(0)) for p in range(8))
-    first_list = [0] * 256  # of each set of matching bytes, the list of its first ``least``
+    first_list = [-1] * 256  # of each set of matching bytes that is large enough, the list of its first ``size``
     for m in range(256):
-        at = tuple([p for p in range(8) if m >> p & 1][:least])
-        first_list[m] = lists.index(at) if len(at) == least else -1
-    pairs = a.join(
-        b,
-        (F.col("list") == F.col("list_b")) & (F.col("bytes") == F.col("bytes_b")) & (F.col("a") < F.col("b")) & (F.bit_count(differ) <= max_bits),
-    )
-    tallied = pairs.select("a", "b", "list", match.alias("match")).filter(F.bit_count("match") >= least)
-    return tallied.filter(F.get(F.array(*[F.lit(x) for x in first_list]), F.col("match")) == F.col("list")).select("a", "b")
+        at = [p for p in range(8) if m >> p & 1]
+        if len(at) >= least:
+            first_list[m] = lists.index(tuple(at[:size]))
+    counted = pairs.select("a", "b", "list", match.alias("match")).filter(F.bit_count("match") >= least)
+    once = counted.filter(F.get(F.array(*[F.lit(x) for x in first_list]), F.col("match")) == F.col("list"))
+    return once.filter(F.bit_count(F.col("a").bitwiseXOR(F.col("b"))) <= max_bits).select("a", "b")
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text: str = "text", shingle: int = SHINGLE, max_bits: int = MAX_BITS) -> DataFrame:

@@ -95,6 +95,32 @@ def test_links_find_every_pair(spark):
         assert got == want  # each pair once
 
 
+def test_index_is_shuffled_once(spark):
+    import contextlib
+    import io
+
+    from recount.llm.common import written
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = simhash.links(written(spark.range(5000).selectExpr("xxhash64(id) AS fp"), "fps"))
+        found.collect()
+        out = io.StringIO()
+        with contextlib.redirect_stdout(out):
+            found.explain()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lines = [x for x in out.getvalue().split("Initial Plan")[0].splitlines() if "Exchange hashpartitioning" in x]
+    assert len(lines) == 2 and sum("ReusedExchange" in x for x in lines) == 1
+
+
+def test_fingerprints_beyond_a_chunk():
+    rng = np.random.default_rng(2)
+    for n in (simhash._CHUNK + 1, simhash._CHUNK + 2, simhash._CHUNK + 3, 2 * simhash._CHUNK + 700):
+        words = [f"w{x}" for x in rng.integers(0, 5000, n)]
+        assert simhash.fingerprint(" ".join(words).encode()) == _fingerprint(" ".join(words))
+
+
 def test_compact_windows_stand_for_all_stretches():
     rng = np.random.default_rng(5)
     for _ in range(100):
@@ -210,6 +236,41 @@ def test_suffix_on_odd_texts(odd, none):
     assert suffix_array.without_repeats(none).count() == 0
 
 
+def test_repeats_across_hashed_pieces(spark, monkeypatch):
+    """Passages that lie across the border of what is hashed at a time."""
+    monkeypatch.setattr(suffix_array, "CHUNK", 1000)
+    rng = np.random.default_rng(4)
+    letters = lambda n: "".join(map(chr, rng.integers(97, 123, n)))
+    passage = letters(450)
+    rows = [(i, letters(at) + passage + letters(700)) for i, at in enumerate((0, 550, 600, 780, 990, 1000, 1399, 2600))] + [(90, letters(5000))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = dict(map(tuple, suffix_array.without_repeats(docs).select("doc_id", "__kept_text").collect()))
+    assert got == {i: k.decode() for (i, _), (*_, k) in zip(rows, _cut([t.encode() for _, t in rows], 400))}
+    assert all(passage not in t for t in got.values())
+
+
+def test_passages_go_from_400_bytes_on(spark):
+    """Passages of 51 to 110 words put into documents: those of 400 bytes or more go whole from every
+    document, shorter ones stay (the contract's length); documents without one are as they were."""
+    rng = np.random.default_rng(6)
+    vocabulary = ["".join(map(chr, rng.integers(97, 123, n))) for n in rng.integers(2, 11, 3000)]
+    words = lambda n: " ".join(vocabulary[i] for i in rng.integers(0, 3000, n))
+    rows, passages, clean = [], [], []
+    for n in range(51, 111):
+        passage = f"<{words(n)}>"
+        passages.append(passage)
+        rows += [(len(rows) + k, f"{words(80)} {passage} {words(60)}") for k in range(3)]
+    clean = [(1000 + k, words(200)) for k in range(50)]
+    docs = spark.createDataFrame(rows + clean, "doc_id long, text string")
+    got = dict(map(tuple, suffix_array.without_repeats(docs).select("doc_id", "__kept_text").collect()))
+    assert all(got[i] == t for i, t in clean)
+    for i, t in rows:
+        p = passages[i // 3]
+        # The spaces around a passage are equal as well: a repeat has two bytes more.
+        assert (p in got[i]) == (len(p) + 2 < 400) and (got[i] == t) == (len(p) + 2 < 400)
+    assert 0.4 < np.mean([len(p) + 2 >= 400 for p in passages]) < 0.95
+
+
 def test_hot_value_over_many_shards(spark, monkeypatch):
     """Shards of 2 KB: the slices of a shared passage lie in many of them and are merged."""
     monkeypatch.setattr(suffix_array, "SHARD", 1 << 11)
