@@ -1,10 +1,13 @@
 """WARC records in ZIP packages, written and read back by ranges (operator 1).
 
 Package: a ZIP file of stored (uncompressed) members, as web-archive collections are exchanged:
-``archive/data.warc.gz``, one gzip member per record, and ``indexes/index.cdxj``, one line per
-record with its offset and length. ``ZipDirectory`` reads the end record, the ZIP64 records where
-the plain ones overflow, the central directory and the local headers; nothing is extracted: a
-record is read by its range, offset of the member plus offset in the index.
+any number of archives below ``archive/`` (``.warc.gz``, a gzip member per record, or ``.warc``) and of
+indexes below ``indexes/`` (``.cdxj`` or ``.cdx`` lines of JSON, plain or as gzip), a line per record with its offset,
+length and, where there are several archives, its file's name. ``ZipDirectory`` reads the end record,
+the ZIP64 records where the plain ones overflow, the central directory and the local headers; nothing
+is extracted: a record is read by its range, offset of the member plus offset in the index. An archive
+that no index line names is read through once, in pieces, for the ranges of its records. The packages
+written here have one archive, ``archive/data.warc.gz``, and one index.
 
 Writing: of records with equal payloads of at least ``min_bytes``, the one of the largest id is a
 response, the others are revisits that refer to it and carry no payload. Which one it is comes from
@@ -12,6 +15,10 @@ a grouped maximum, combined before the shuffle; pages meet it in a join whose sk
 may be split. A task writes its pages to packages of at most ``PACKAGE_BYTES``; a task that is run
 again writes other files, and only the manifest, committed by Spark, names those that count.
 
+Packages of others: a record whose id isn't a page's has a null ``page_id``, one without a payload
+digest gets that of its payload; a revisit without a payload length has a null one. An index line that names no archive
+of the package, an archive that is compressed by the ZIP file, or cut off, is an error.
+
 Defined cases: a null payload is empty. A null id is smaller than any other; if all ids of a payload
 are null, or several rows have the largest, all of these are responses. A null or odd URL is left
 out or percent-encoded. Repeated rows are records each. Empty tables give empty results. Columns
@@ -29,7 +36,9 @@ from .common import filesystem, shared_dir
 
 PACKAGE_BYTES = 1 << 28
 CHUNK_BYTES = 1 << 22  # bytes of a package read at a time
-MEMBER, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
+SCAN_BYTES = 1 << 16  # bytes of an index, or of an archive without one, read at a time
+ARCHIVES, INDEXES = "archive/", "indexes/"
+MEMBER, INDEX = ARCHIVES + "data.warc.gz", INDEXES + "index.cdxj"
 URN = "urn:recount:page:"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 RECORDS = "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, url string"
@@ -83,9 +92,11 @@ def parse(raw: bytes) -> dict:
     return out
 
 
-def _id_of(urn: str) -> int | None:
-    text = urn.strip("<>")[len(URN) :]
-    return int(text) if text else None
+def _id_of(urn: str | None) -> int | None:
+    """The page of a record id; none of a page without an id, and of ids that are not of this form."""
+    text = (urn or "").strip("<>")
+    number = text.removeprefix(URN)
+    return int(number) if text != number and number.removeprefix("-").isdecimal() else None
 
 
 # --- packages ---------------------------------------------------------------------------------
@@ -107,7 +118,7 @@ class Package:
 
         packed = gzip.compress(raw, 3, mtime=0)
         self.member.write(packed)
-        self.lines.append(f"{'' if page_id is None else page_id} 19700101000000 " + json.dumps({"offset": self.size, "length": len(packed)}) + "\n")
+        self.lines.append(f"{'' if page_id is None else page_id} 19700101000000 " + json.dumps({"offset": self.size, "length": len(packed), "filename": MEMBER.rpartition("/")[2]}) + "\n")
         self.size += len(packed)
         self.records += 1
 
@@ -178,18 +189,93 @@ class ZipDirectory:
         return local + 30 + n + m, size
 
 
+def _index_lines(directory: ZipDirectory, name: str):
+    """The lines of a stored index, read in pieces."""
+    import codecs
+    import zlib
+
+    at, size = directory.stored(name)
+    unzip = zlib.decompressobj(31) if name.endswith(".gz") else None
+    text, rest = codecs.getincrementaldecoder("utf-8")(), ""
+    for begin in range(at, at + size, SCAN_BYTES):
+        piece = directory.read(begin, min(SCAN_BYTES, at + size - begin))
+        if unzip:  # any number of gzip members, one after the other
+            plain = []
+            while piece:
+                plain.append(unzip.decompress(piece))
+                piece = unzip.unused_data
+                if unzip.eof:
+                    unzip = zlib.decompressobj(31)
+            piece = b"".join(plain)
+        lines = (rest + text.decode(piece)).split("\n")
+        rest = lines.pop()
+        yield from lines
+    yield rest
+
+
+def _scan(directory: ZipDirectory, name: str):
+    """(offset, length) of the records of an archive that no index names, by reading it through."""
+    import zlib
+
+    at, size = directory.stored(name)
+    end = at + size
+    if not name.endswith(".gz"):
+        while at < end:
+            head, more = b"", True
+            while more and b"\r\n\r\n" not in head:
+                more = directory.read(at + len(head), min(SCAN_BYTES, end - at - len(head)))
+                head += more
+            head = head.partition(b"\r\n\r\n")[0]
+            length = [int(x.partition(b":")[2]) for x in head.split(b"\r\n") if x.lower().startswith(b"content-length:")]
+            if not head.startswith(b"WARC/") or not length:
+                raise ValueError(f"{name}: no record at {at}")
+            n = len(head) + 4 + length[0] + 4
+            if at + n > end:
+                raise ValueError(f"{name} is cut off")
+            yield at, n
+            at += n
+        return
+    begin, unzip = at, zlib.decompressobj(31)
+    while at < end:
+        piece = directory.read(at, min(SCAN_BYTES, end - at))
+        at += len(piece)
+        while piece:
+            unzip.decompress(piece)
+            piece = b""
+            if unzip.eof:
+                piece = unzip.unused_data
+                yield begin, at - len(piece) - begin
+                begin, unzip = at - len(piece), zlib.decompressobj(31)
+    if begin < end:
+        raise ValueError(f"{name} is cut off")
+
+
 def locate(f, size: int) -> list[tuple[int, int]]:
-    """(offset, length) of every record of a package, in order, by its indexes."""
+    """(offset, length) of every record of a package, in order of their place, by its indexes."""
     import json
 
     directory = ZipDirectory(f, size)
-    data, _ = directory.stored(MEMBER)
-    at, length = directory.stored(INDEX)
-    found = []
-    for line in directory.read(at, length).decode().splitlines():
-        entry = json.loads(line.split(" ", 2)[2])
-        found.append((data + entry["offset"], entry["length"]))
-    return found
+    archives = {m[len(ARCHIVES) :]: m for m in directory.members if m.startswith(ARCHIVES) and m.endswith((".warc", ".warc.gz"))}
+    starts = {name: directory.stored(m)[0] for name, m in archives.items()}
+    found, named = set(), set()  # indexes may overlap: a record's range counts once
+    for index in directory.members:
+        if not index.startswith(INDEXES) or not index.endswith((".cdxj", ".cdx", ".cdxj.gz", ".cdx.gz")):
+            continue
+        for line in _index_lines(directory, index):
+            at = line.find("{")
+            if at < 0 or line.startswith("!"):  # an empty line, or an index's own header
+                continue
+            entry = json.loads(line[at:])
+            name = entry.get("filename") or (next(iter(archives)) if len(archives) == 1 else None)
+            if name is not None and name not in starts:
+                name = name.removeprefix(ARCHIVES)
+            if name not in starts:
+                raise ValueError(f"{index}: a line names {name!r}, which is no archive of the package")
+            named.add(name)
+            found.add((starts[name] + int(entry["offset"]), int(entry["length"])))
+    for name in starts.keys() - named:
+        found.update(_scan(directory, archives[name]))
+    return sorted(found)
 
 
 # --- the operator -----------------------------------------------------------------------------
@@ -265,9 +351,10 @@ def read_packages(manifest: DataFrame) -> DataFrame:
                 fs, place = filesystem(uri)
                 with fs.open_input_file(place) as f:
                     found = locate(f, f.size())
+                # A chunk's records lie next to each other.
                 chunk, size = [], 0
-                for at, n in [*found, (0, CHUNK_BYTES)]:
-                    if chunk and size + n > CHUNK_BYTES:
+                for at, n in [*found, (-1, 0)]:
+                    if chunk and (size + n > CHUNK_BYTES or at != chunk[0][0] + size):
                         yield pa.RecordBatch.from_arrays([pa.array([uri]), pa.array([chunk[0][0]], pa.int64()), pa.array([[x[1] for x in chunk]], pa.list_(pa.int32()))], ["uri", "at", "lengths"])
                         chunk, size = [], 0
                     chunk.append((at, n))
@@ -286,14 +373,21 @@ def read_packages(manifest: DataFrame) -> DataFrame:
                     raw = f.read(sum(lengths))
                 rows, begin = [], 0
                 for n in lengths:
-                    r = parse(gzip.decompress(raw[begin : begin + n]))
+                    one = raw[begin : begin + n]
                     begin += n
-                    revisit = r["warc-type"] == "revisit"
-                    told = r["warc-payload-digest"].removeprefix("sha1:")
-                    if not revisit and digest(r["payload"]) != told:
-                        raise ValueError(f"{uri}: payload of {r['warc-record-id']} doesn't have its digest")
-                    size = int(r["warc-payload-length"]) if revisit else len(r["payload"])
-                    rows.append((_id_of(r["warc-record-id"]), size, told, r["warc-type"], _id_of(r["warc-refers-to"]) if revisit else None, r.get("warc-target-uri")))
+                    r = parse(gzip.decompress(one) if one[:2] == b"\x1f\x8b" else one)
+                    revisit = r.get("warc-type") == "revisit"
+                    told = r.get("warc-payload-digest")
+                    if not revisit and (told is None or told.startswith("sha1:")):
+                        own = "sha1:" + digest(r["payload"])
+                        if told not in (None, own):
+                            raise ValueError(f"{uri}: payload of {r.get('warc-record-id')} doesn't have its digest")
+                        told = own
+                    size = len(r["payload"])
+                    if revisit:
+                        size = int(r["warc-payload-length"]) if "warc-payload-length" in r else None
+                    refers = _id_of(r.get("warc-refers-to")) if revisit else None
+                    rows.append((_id_of(r.get("warc-record-id")), size, told and told.removeprefix("sha1:"), r.get("warc-type"), refers, r.get("warc-target-uri")))
                 types = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string())
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), types)], ["page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "url"])
 

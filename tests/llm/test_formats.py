@@ -296,6 +296,61 @@ def test_zip_directories():
         warc.ZipDirectory(g, len(g.getvalue())).stored(warc.MEMBER)
 
 
+def _package(path, members):
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_STORED) as z:
+        for name, data in members.items():
+            z.writestr(name, data)
+
+
+def test_packages_of_several_archives_and_indexes(spark, tmp_path, monkeypatch):
+    import gzip
+    import json
+
+    raws = {i: warc.record(i, f"http://p/{i}", b"payload %d " % i * (3 * i), None, False) for i in range(1, 40)}
+    foreign = b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <urn:uuid:0>\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+
+    def archive(ids, plain=False):
+        data, places = b"", {}
+        for i in ids:
+            one = raws.get(i, foreign) if plain else gzip.compress(raws.get(i, foreign))
+            places[i] = (len(data), len(one))
+            data += one
+        return data, places
+
+    def lines(name, places):
+        return "".join(f"k 2020 {json.dumps({'offset': str(a), 'length': n, **({'filename': name} if name else {})})}\n" for a, n in places.values()).encode()
+
+    a, at_a = archive(range(1, 11))
+    b, at_b = archive(range(11, 21), plain=True)
+    c, at_c = archive([*range(21, 40), None])
+    d, _ = archive([None, 1, 2], plain=True)
+    _package(tmp_path / "one.wacz", {
+        "archive/a.warc.gz": a, "archive/b.warc": b, "archive/c.warc.gz": c, "archive/d.warc": d, "pages/pages.jsonl": b"{}",
+        "indexes/x.cdxj": lines("a.warc.gz", at_a) + b"\n",
+        "indexes/y.cdx.gz": gzip.compress(b'!meta 0 {"format": "x"}\n') + gzip.compress(lines("archive/b.warc", at_b) + lines("a.warc.gz", at_a)),
+    })
+    _package(tmp_path / "two.wacz", {"archive/only.warc.gz": a, "indexes/i.cdxj": lines(None, at_a)})
+    uris = spark.createDataFrame([(f"file://{tmp_path}/{n}.wacz",) for n in ("one", "two")], "uri string")
+    want = sorted([*range(1, 11)] * 2 + [*range(11, 40)] + [1, 2])
+    for piece in (warc.SCAN_BYTES, 7):  # pieces that cut lines, headers and records anywhere
+        monkeypatch.setattr(warc, "SCAN_BYTES", piece)
+        with open(tmp_path / "one.wacz", "rb") as f:
+            data = f.read()
+            found = warc.locate(f, len(data))
+        parsed = [warc.parse(gzip.decompress(x) if x[:2] == b"\x1f\x8b" else x) for x in (data[p : p + n] for p, n in found)]
+        assert len(parsed) == 43 and sum(r["warc-type"] == "resource" for r in parsed) == 2
+    got = warc.read_packages(uris).collect()
+    assert sorted(r.page_id for r in got if r.page_id is not None) == want
+    others = [r for r in got if r.page_id is None]
+    assert [tuple(r)[1:] for r in others] == [(3, base64.b32encode(hashlib.sha1(b"abc").digest()).decode(), "resource", None, None)] * 2
+    assert all(r.payload_bytes == len(b"payload %d " % r.page_id) * 3 * r.page_id and r.url == f"http://p/{r.page_id}" for r in got if r.page_id is not None)
+    _package(tmp_path / "bad.wacz", {"archive/a.warc.gz": a[:-5]})
+    _package(tmp_path / "lost.wacz", {"archive/a.warc.gz": a, "indexes/i.cdxj": lines("z.warc.gz", at_a)})
+    for name, message in (("bad", "cut off"), ("lost", "no archive")):
+        with open(tmp_path / f"{name}.wacz", "rb") as f, pytest.raises(ValueError, match=message):
+            warc.locate(f, (tmp_path / f"{name}.wacz").stat().st_size)
+
+
 # --- top-k ------------------------------------------------------------------------------------
 
 
