@@ -1,15 +1,19 @@
 """Exact top-k inner products by vector-approximation files (operator 9).
 
-Vectors become whole numbers, floor(scale * x). ``approximate`` packs them into blocks: per component
-a cell number of four bits' range (grid fitted on a bounded sample; each block has its cells' true
-extremes, so the bounds hold for whatever the sample missed), and the exact numbers apart.
-A block of queries meets the blocks of a shard of vectors one after the other: the cells give every
-vector's upper bound; exact vectors are then read in the order of their bounds until the next bound
-is below the k-th exact score. Ties are read too, so they go to the smaller id for certain.
-Per query and shard k rows remain, and of those the k best.
+Vectors become whole numbers, floor(scale * x). ``approximate`` writes them to files of blocks in the shared
+folder: ids, per component a cell number (grid fitted on a bounded sample; each block has its cells' true
+extremes, so the bounds hold for whatever the sample missed), and behind them the exact numbers. Queries are written
+the same way. Only places of blocks (file, offset) go through Spark's tables and shuffles: a row of work is a block of
+queries and the places of a shard's blocks. Its task reads the cells of one block after the other, which give every
+vector's upper bound, and reads exact vectors by range in the order of their bounds until the next bound
+is below the k-th exact score; a vector that several queries of the block want is read once. Ties are read too, so they
+go to the smaller id for certain. Per query and shard k rows remain, and of those the k best.
 
-Every vector is a candidate of every query: a stated query set against all rows, in blocks. A query
-block travels to every shard, a vector block to every query block; no pair of rows is ever a row.
+A task that is run again writes another file; the table of places, committed by Spark, names those that count.
+Memory of a task: a block of queries, one block of cells and bounds, and those of its exact vectors that were read.
+
+Every vector is a candidate of every query: a stated query set against all rows, in blocks; no pair of
+rows is ever a row.
 
 Defined cases: vectors that are null or hold null or non-finite components, and rows without an
 id, take no part. Vectors of different length aren't compared. Of rows that share an id, all are
@@ -23,7 +27,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import written
+from .common import filesystem, shared_dir, written
 
 K = 10
 SCALE = 1024
@@ -31,8 +35,9 @@ CELLS = 16
 SAMPLE = 4096  # vectors on which the grid is fitted; it decides the tightness of the bounds only
 BLOCK = 4096  # vectors of a block
 QUERIES = 1024  # queries of a block
-SHARD_BLOCKS = 64  # blocks of a shard
+SHARD_BLOCKS = 16  # blocks of a shard
 STEP = 64  # exact vectors read at a time
+PLACE = "dim int, n int, uri string, at long"
 
 
 def whole_numbers(df: DataFrame, id_col: str, vector: str, scale: int = SCALE) -> DataFrame:
@@ -80,27 +85,96 @@ def _blocks_of(batches, size: int):
             yield d, np.concatenate(a), np.concatenate(b)
 
 
+def _blocks_written(folder: str, size: int, encoded):
+    """For mapInArrow: (vec_id, v) to blocks of ``size`` rows in a file of the task, ``encoded(d, ids, x)``
+    being a block's byte strings; the blocks' places."""
+
+    def work(batches):
+        import uuid
+
+        import pyarrow as pa
+
+        out, places = None, []
+        for d, ids, x in _blocks_of(batches, size):
+            if out is None:
+                uri = f"{folder}/{uuid.uuid4().hex}"
+                fs, path = filesystem(uri)
+                out = fs.open_output_stream(path)
+            places.append((d, len(ids), uri, out.tell()))
+            for part in encoded(d, ids, x):
+                out.write(part)
+        if out is not None:
+            out.close()
+            types = (pa.int32(), pa.int32(), pa.string(), pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*places), types)], ["dim", "n", "uri", "at"])
+
+    return work
+
+
+def _new_folder(spark, name: str) -> str:
+    folder = shared_dir(spark, name)
+    fs, path = filesystem(folder)
+    fs.create_dir(path, recursive=True)
+    return folder
+
+
 def approximate(vectors: DataFrame, cells: int = CELLS) -> DataFrame:
-    """The approximation file: blocks (dim, n, ids, codes, extremes, exact), each binary."""
+    """Writes the approximation file; its blocks' places (dim, n, uri, at)."""
     grid = _grid(vectors, cells)
 
-    def work(batches):
+    def encoded(d, ids, x):
         import numpy as np
-        import pyarrow as pa
 
-        for d, ids, x in _blocks_of(batches, BLOCK):
-            borders = grid.get(d, np.zeros((d, 0)))
-            codes = np.stack([np.searchsorted(borders[i], x[:, i], side="right") for i in range(d)], axis=1).astype(np.uint8)
-            low, high = np.zeros((d, cells)), np.zeros((d, cells))
-            for c in range(cells):
-                here = codes == c
-                low[:, c] = np.where(here, x, np.inf).min(axis=0)
-                high[:, c] = np.where(here, x, -np.inf).max(axis=0)
-            cols = [[d], [len(ids)], [ids.astype("<i8").tobytes()], [codes.tobytes()], [np.stack((low, high)).tobytes()], [x.astype("<f8").tobytes()]]
-            types = (pa.int32(), pa.int32(), *[pa.binary()] * 4)
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], ["dim", "n", "ids", "codes", "extremes", "exact"])
+        borders = grid.get(d, np.zeros((d, 0)))
+        codes = np.stack([np.searchsorted(borders[i], x[:, i], side="right") for i in range(d)], axis=1).astype(np.uint8)
+        low, high = np.zeros((d, cells)), np.zeros((d, cells))
+        for c in range(cells):
+            here = codes == c
+            low[:, c] = np.where(here, x, np.inf).min(axis=0)
+            high[:, c] = np.where(here, x, -np.inf).max(axis=0)
+        return ids.astype("<i8").tobytes(), codes.tobytes(), np.stack((low, high)).astype("<f8").tobytes(), x.astype("<f8").tobytes()
+
+    folder = _new_folder(vectors.sparkSession, "approximation")
+    return written(vectors.mapInArrow(_blocks_written(folder, BLOCK, encoded), PLACE), "approximation-places")
 
-    return vectors.mapInArrow(work, "dim int, n int, ids binary, codes binary, extremes binary, exact binary")
+
+class ExactRows:
+    """The exact vectors of a block, read by range as they are asked for: ``rows[numbers]``."""
+
+    def __init__(self, f, at: int, n: int, d: int):
+        import numpy as np
+
+        self.f, self.at, self.d = f, at, d
+        self.rows = np.empty((n, d))
+        self.have = np.zeros(n, bool)
+
+    def __getitem__(self, numbers):
+        import numpy as np
+
+        lacking = np.sort(numbers[~self.have[numbers]])
+        if lacking.size:
+            width = 8 * self.d
+            for run in np.split(lacking, np.flatnonzero(np.diff(lacking) > 1) + 1):
+                a, b = int(run[0]), int(run[-1]) + 1
+                self.f.seek(self.at + a * width)
+                self.rows[a:b] = np.frombuffer(self.f.read((b - a) * width), "<f8").reshape(-1, self.d)
+            self.have[lacking] = True
+        return self.rows[numbers]
+
+
+class Block:
+    """A block of the approximation file: ids, cells and extremes at once, exact vectors as asked for."""
+
+    def __init__(self, f, at: int, n: int, d: int, cells: int):
+        import numpy as np
+
+        f.seek(at)
+        sizes = (8 * n, n * d, 16 * d * cells)
+        data = memoryview(f.read(sum(sizes)))
+        self.ids = np.frombuffer(data[: sizes[0]], "<i8")
+        self.codes = np.frombuffer(data[sizes[0] : sizes[0] + sizes[1]], np.uint8).reshape(n, d)
+        self.extremes = np.frombuffer(data[sizes[0] + sizes[1] :], "<f8").reshape(2, d, cells)
+        self.exact = ExactRows(f, at + sum(sizes), n, d)
 
 
 def exact_scores(q, rows):
@@ -154,55 +228,41 @@ class Search:
 
 def top_k(df: DataFrame, is_query: Column, id_col: str = "vec_id", vector: str = "embedding", k: int = K, scale: int = SCALE) -> DataFrame:
     """(query_id, rank, vec_id, score). ``is_query``: over the columns of ``df``."""
-    candidates = whole_numbers(df, id_col, vector, scale)
-    blocks = written(approximate(candidates), "approximation")
-    blocks = blocks.withColumn("block", F.monotonically_increasing_id())
+    spark = df.sparkSession
+    blocks = approximate(whole_numbers(df, id_col, vector, scale))
     asked = whole_numbers(df.filter(is_query), id_col, vector, scale).groupBy("vec_id").agg(F.min("v").alias("v"))
-
-    def pack(batches):
-        import pyarrow as pa
-
-        for d, ids, x in _blocks_of(batches, QUERIES):
-            cols = [[d], [ids.astype("<i8").tobytes()], [x.astype("<f8").tobytes()]]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.int32(), pa.binary(), pa.binary()))], ["dim", "ids", "exact"])
-
     # Queries are packed by few tasks, so that their blocks are full.
-    n = max(1, -(-asked.count() // (4 * QUERIES)))
-    queries = written(asked.repartition(n, "vec_id").mapInArrow(pack, "dim int, ids binary, exact binary"), "queries")
-    queries = queries.withColumn("qblock", F.monotonically_increasing_id())
+    tasks = max(1, -(-asked.count() // (4 * QUERIES)))
+    plain = _blocks_written(_new_folder(spark, "queries"), QUERIES, lambda d, ids, x: (ids.astype("<i8").tobytes(), x.astype("<f8").tobytes()))
+    queries = written(asked.repartition(tasks, "vec_id").mapInArrow(plain, PLACE), "query-places")
+    # A shard: the places of some SHARD_BLOCKS blocks, dealt by their hash. Query blocks are listed once a shard.
     shards = max(1, -(-blocks.count() // SHARD_BLOCKS))
-    dealt = blocks.withColumn("shard", F.pmod(F.xxhash64("block"), F.lit(shards)).cast("int"))
-    none = F.lit(None).cast("binary")
-    asks = queries.select("dim", "qblock", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), F.lit(-1).cast("long").alias("block"), "ids", none.alias("codes"), none.alias("extremes"), "exact")
-    numbers = queries.select(F.col("dim").alias("qdim"), "qblock")
-    meets = dealt.join(numbers, F.col("dim") == F.col("qdim")).select("dim", "qblock", "shard", "block", "ids", "codes", "extremes", "exact")
-    met = asks.unionByName(meets).repartition("qblock", "shard").sortWithinPartitions("qblock", "shard", "block")
+    shard = F.pmod(F.xxhash64("uri", "at"), F.lit(shards)).cast("int")
+    dealt = blocks.groupBy("dim", shard.alias("shard")).agg(F.collect_list(F.struct("n", "uri", "at")).alias("blocks"))
+    asks = queries.select("dim", F.struct("n", "uri", "at").alias("queries"), F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"))
+    items = asks.join(dealt, ["dim", "shard"]).repartition("queries", "shard").select("dim", "queries", "blocks")
 
     def work(batches):
         import numpy as np
         import pyarrow as pa
 
-        def batch_of(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["query_id", "vec_id", "score"])
-
-        at, search = None, None
         for batch in batches:
-            for i in range(batch.num_rows):
-                key = batch.column("qblock")[i].as_py(), batch.column("shard")[i].as_py()
-                d = batch.column("dim")[i].as_py()
-                data = {c: batch.column(c)[i].as_buffer() for c in ("ids", "codes", "extremes", "exact")}
-                ids = np.frombuffer(data["ids"], "<i8")
-                exact = np.frombuffer(data["exact"], "<f8").reshape(-1, d)
-                if key != at:  # a group's first row is its queries
-                    if search and (rows := search.rows()):
-                        yield batch_of(rows)
-                    at, search = key, Search(ids, exact, k)
-                else:
-                    search.block(ids, np.frombuffer(data["codes"], np.uint8).reshape(-1, d), np.frombuffer(data["extremes"], "<f8").reshape(2, d, -1), exact)
-        if search and (rows := search.rows()):
-            yield batch_of(rows)
-
-    found = met.mapInArrow(work, "query_id long, vec_id long, score long")
+            for item in batch.to_pylist():
+                d, q = item["dim"], item["queries"]
+                fs, path = filesystem(q["uri"])
+                with fs.open_input_file(path) as f:
+                    f.seek(q["at"])
+                    ids = np.frombuffer(f.read(8 * q["n"]), "<i8")
+                    search = Search(ids, np.frombuffer(f.read(8 * q["n"] * d), "<f8").reshape(-1, d), k)
+                for b in item["blocks"]:
+                    fs, path = filesystem(b["uri"])
+                    with fs.open_input_file(path) as f:
+                        block = Block(f, b["at"], b["n"], d, CELLS)
+                        search.block(block.ids, block.codes, block.extremes, block.exact)
+                if rows := search.rows():
+                    yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows)], ["query_id", "vec_id", "score"])
+
+    found = items.mapInArrow(work, "query_id long, vec_id long, score long")
     nth = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.select("query_id", nth.cast("int").alias("rank"), "vec_id", "score").filter(F.col("rank") <= k)
 

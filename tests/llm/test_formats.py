@@ -391,6 +391,49 @@ def test_search_reads_few_exact_vectors():
     assert s.rows() == want and s.read < 20 * 4096 / 3
 
 
+def test_exact_vectors_are_read_by_range(spark, tmp_path):
+    """Few of a block's exact bytes are read, each at most once."""
+    rng = np.random.default_rng(3)
+    centres = rng.normal(size=(40, 16)) * 3
+    x = centres[rng.integers(0, 40, 4000)] + rng.normal(size=(4000, 16)) * 0.2
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(x.tolist())], "vec_id long, embedding array<double>").coalesce(1)
+    (place,) = topk.approximate(topk.whole_numbers(df, "vec_id", "embedding")).collect()
+
+    class Counting:
+        def __init__(self, f):
+            self.f, self.size, self.ranges = f, 0, set()
+
+        def seek(self, at):
+            self.f.seek(at)
+
+        def read(self, n):
+            self.size += n
+            return self.f.read(n)
+
+    with open(place.uri.removeprefix("file://"), "rb") as f:
+        counting = Counting(f)
+        block = topk.Block(counting, place.at, place.n, 16, topk.CELLS)
+        cells = counting.size
+        whole = np.floor(1024 * x)[block.ids]
+        search = topk.Search(block.ids[:5], whole[:5], 10)
+        search.block(block.ids, block.codes, block.extremes, block.exact)
+        exact = counting.size - cells
+        assert place.n == 4000 and exact == 8 * 16 * int(block.exact.have.sum()) < 8 * 16 * 4000 / 3
+        assert cells == 8 * 4000 + 16 * 4000 + 16 * 16 * topk.CELLS
+        assert np.array_equal(block.exact[np.arange(4000)], whole)
+    want = [(int(block.ids[i]), int(block.ids[j]), int(whole[i] @ whole[j])) for i in range(5) for j in sorted((j for j in range(4000) if j != i), key=lambda j: (-whole[i] @ whole[j], block.ids[j]))[:10]]
+    assert search.rows() == want
+
+
+def test_many_shards_and_query_blocks(spark, monkeypatch):
+    monkeypatch.setattr(topk, "BLOCK", 16)
+    monkeypatch.setattr(topk, "QUERIES", 3)
+    monkeypatch.setattr(topk, "SHARD_BLOCKS", 2)
+    columns, want = _duck("embeddings", topk.TOPK_SQL)
+    got = topk.op9_topk(spark, SMALL).select(*columns).collect()
+    assert sorted(str(tuple(r)) for r in got) == want
+
+
 def test_scores_beyond_floats():
     big = np.array([2.0**28, 1.0, -(2.0**27)])
     assert topk.exact_scores(big, np.stack((big, -big))).tolist() == [2**56 + 1 + 2**54, -(2**56) - 1 - 2**54]
