@@ -258,6 +258,29 @@ def test_delivery_capacity_fan_out_counts(spark, zone_sizes):
     assert {r.supermarket_id for r in rows if r.id == 3} == {0}
 
 
+def test_one_zones_product_is_dealt_over_tasks(spark, monkeypatch):
+    from recount.operators import joins
+
+    monkeypatch.setattr(joins, "BLOCK", 64, raising=False)
+    sched = "id bigint, time_slot_id bigint, spree_shipping_method_id bigint, day_of_week int, zone_id bigint, " \
+            "delivery_capacity int, enabled boolean, created_at timestamp_ntz, updated_at timestamp_ntz"
+    c = cat_of(
+        spark,
+        danube_time_slots_schedules=([(i, 1, 1, 0, 1, 5, True, T0, T0) for i in range(400)], sched),
+        danube_time_slots=([(1, "08:00:00", "10:00:00")], "id bigint, start_time string, end_time string"),
+        danube_supermarkets=([(i, 1) for i in range(300)], "id bigint, zone_id bigint"),
+    )
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = user.delivery_capacity(c)
+        assert rows.select("id", "supermarket_id").distinct().count() == rows.count() == 400 * 300
+        tasks = [r["count"] for r in rows.groupBy(F.spark_partition_id().alias("task")).count().collect()]
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert len(tasks) > 1 and max(tasks) < 400 * 300 / 2
+
+
 def test_user_address_state_key(spark):
     c = cat_of(
         spark,

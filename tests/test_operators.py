@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from recount.functions import pg
+from recount.operators import joins
 from recount.operators.counts import left_join_count, row_count
 from recount.operators.joins import left_join_fanout
 from recount.operators.rank import first_per_key
@@ -101,6 +102,19 @@ def test_hot_key_is_split_on_the_right_side(spark):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+@pytest.mark.parametrize("both_hot", [False, True])
+def test_fanout_join_of_rows_hot_on_both_sides(spark, monkeypatch, both_hot):
+    monkeypatch.setattr(joins, "BLOCK", 4)
+    left = spark.createDataFrame(
+        [(i % 2, i) for i in range(30)] + [(5, 1)] * 9 + [(6, 0), (7, None), (None, 1), (None, 2)], "k int, lv int")
+    right = spark.createDataFrame(
+        [(i % 2, f"r{i}") for i in range(21)] + [(5, "same")] * 11 + [(7, None), (8, "x"), (None, "q")], "rk long, rv string")
+    got = left_join_fanout(left, right, ["k"], ["rk"], both_hot)
+    want = left.join(right, left.k == right.rk, "left")
+    assert Counter(tuple(r) for r in got.collect()) == Counter(tuple(r) for r in want.collect())
+    assert got.columns == ["k", "lv", "rk", "rv"] and got.dtypes == want.dtypes
+
+
 def test_many_warm_keys_and_a_hot_one(spark):
     right = spark.range(60_000).select((F.col("id") % 20_000).alias("rk"), F.col("id").alias("v")).unionByName(
         spark.range(30_000).select(F.lit(7).cast("bigint").alias("rk"), F.col("id").alias("v")))
