@@ -178,6 +178,28 @@ def test_leftovers_of_a_killed_copy_go(tmp_path):
         objects._publish_one(str(dst), "other", row["token"])
 
 
+def test_leftovers_are_cleared_by_folder(spark, tmp_path, monkeypatch):
+    """One reading of each folder, not one per object."""
+    (tmp_path / "f").mkdir()
+    left = ".recount-part-" + "e" * 32
+    for name in ("7" + left, "other" + left, "9.recount-part-short", "g" + left):
+        (tmp_path / "f" / name).write_bytes(b"wh")
+    (tmp_path / ("top" + left)).write_bytes(b"wh")
+    (tmp_path / "file").write_bytes(b"no folder")
+    rows = [(f"f/{i}", b"x") for i in range(20)] + [("top", b"y"), ("f/g", b"z"), ("file/below", b"error"), ("f//twice", b"s")]
+    (tmp_path / "f" / ("twice" + left)).write_bytes(b"wh")
+    monkeypatch.setattr(objects.glob, "glob", lambda *_: pytest.fail("a folder is read for an object"))
+    out = write_objects(spark.createDataFrame(rows, "key string, content binary"), f"file://{tmp_path}", num_tasks=3).collect()
+    assert sorted((r.key, r.status) for r in out) == sorted((k, "error" if k == "file/below" else "ok") for k, _ in rows)
+    assert set(os.listdir(tmp_path)) == {"f", "top", "file"}
+    assert set(os.listdir(tmp_path / "f")) == {str(i) for i in range(20)} | {"g", "twice", "other" + left, "9.recount-part-short"}
+    # The write itself leaves that to the pass over the folders, else each object's folder would be read.
+    calls = []
+    monkeypatch.setattr(objects, "_clear_temporaries", lambda fs, path: calls.append(path))
+    options = {"root": str(tmp_path), "outcomes": "/", "clear": "false"}
+    assert objects._ObjectWriter(options)._one("f/1", b"x")["status"] == "ok" and not calls
+
+
 def test_unreadable_folder_is_an_error():
     class Closed(objects._Local):
         def entries(self, folder):
