@@ -111,6 +111,24 @@ def test_encoder_equals_the_library(spark, library):
         assert [encoder.decode(x) for x in got[:900]] == [library.decode(w.ids, skip_special_tokens=False) for w in want[:900]]
 
 
+def test_safe_pieces_are_not_searched_one_by_one(library):
+    encoder = bpe.Encoder(PATH, by_library=True)
+    unsafe, calls = encoder.unsafe, []
+
+    class Counted:
+        def search(self, text):
+            calls.append(text)
+            return unsafe.search(text)
+
+    encoder.unsafe = Counted()
+    safe = [" ".join(f"Word{i}'s {i * 7} naïve-{i}" for i in range(at, at + 300)) for at in range(0, 900, 300)]
+    for texts in (safe, ["мир один", *safe, "word5's <|endoftext|>x 日本 word6's"], ["", "one new"]):
+        assert [x.tolist() for x in encoder.ids(texts)] == [library.encode(t, add_special_tokens=False).ids for t in texts]
+        if texts is safe:
+            assert len(calls) == len(texts) + 1
+    assert sorted(encoder.table.values()) == list(range(len(encoder.first)))
+
+
 def test_lexicon_is_minimal_and_exact():
     rng = random.Random(1)
     words = sorted({("".join(rng.choice("abc") for _ in range(rng.randint(1, 7))) + rng.choice(["", "ing", "tion"])).encode() for _ in range(3000)})
