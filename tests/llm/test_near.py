@@ -405,3 +405,37 @@ def test_repeats_within_a_text_query(spark):
     assert {(r.doc_id, r.class_id, r.n_links) for r in cw.document_classes(links).collect()} == {(1, 1, 1)}
     assert sorted((r.begin, r.end, r.other_begin, r.other_end) for r in links.filter("doc_id = other_id").collect()) == [(40, 110, 200, 270)]
     assert links.filter("doc_id IS NULL").count() == 1
+
+
+def test_texts_of_a_signature_that_share_a_sentence_only(spark, monkeypatch):
+    """Of a group only the pairs that can hold a similar passage are verified, whichever cells they fall into."""
+    rng = np.random.default_rng(19)
+    pick = lambda n: ["".join(chr(97 + x) for x in rng.integers(0, 26, 6)) for _ in range(n)]
+    sentence, passage = pick(20), pick(60)
+    rows = [(i, i, " ".join(pick(50) + sentence + pick(50) + (passage if i % 6 == 0 else [])).encode()) for i in range(1, 25)]
+    texts = cw.stored_texts(spark.createDataFrame(rows, "__t1 long, __t2 int, __text binary"))
+    signed = spark.createDataFrame([(1, 0, 55, i, i) for i, *_ in rows], "sig long, extra long, place int, __t1 long, __t2 int")
+    links = spark.createDataFrame([], "x1 long, x2 int, y1 long, y2 int, " + cw.LINKS)
+    for cell in (512, 5):
+        monkeypatch.setattr(cw, "CELL", cell)
+        pairs = [(r.a.t1, r.b.t1) for r in cw.unlinked_pairs(signed, links, texts).collect()]
+        assert sorted(pairs) == [(a, b) for a in (6, 12, 18, 24) for b in (6, 12, 18, 24) if a < b]
+        assert cw.unlinked_pairs(signed, links).count() == 24 * 23 // 2
+
+
+def test_common_pairs():
+    rng = np.random.default_rng(20)
+    for k in range(40):
+        texts = [rng.integers(0, (60, 400, 5000)[k % 3], int(rng.integers(0, 150))).astype(np.uint64) for _ in range(30)]
+        c, s = rng.integers(0, 5, 30), rng.integers(0, 1 + k % 2, 30)
+        many = lambda i, j: np.isin(texts[i], texts[j]).sum() > 33 and np.isin(texts[j], texts[i]).sum() > 33
+        want = [(i, j) for i in range(30) for j in range(i + 1, 30) if c[i] != c[j] and (s.max() == 0 or s[i] != s[j]) and many(i, j)]
+        assert cw.common_pairs([(np.arange(30), c, s)], texts, 33) == want
+
+
+def test_tokens_of_odd_words():
+    words = [b"", b"a", b"a\0", b"a\0\0", b"b" * 8, b"b" * 9, b"c" * 63, b"c" * 64, b"c" * 65, b"c" * 64 + b"d", b"\x85", b"\x1c", b"\xc3\xa9"]
+    odd = [cw.tokens(w + b" x y\tz \x0bq\r\n") for w in words]
+    assert [len(x) for x in odd] == [0] + [1] * (len(words) - 1)
+    assert len({int(x[0]) for x in odd[1:]}) == len(words) - 1
+    assert (cw.tokens(b"A b C d E f") == cw.tokens(b" a\nB c\x0cD  e F ")).all()
