@@ -98,8 +98,9 @@ def links(distinct: DataFrame, max_bits: int = MAX_BITS) -> DataFrame:
         "fp",
         F.posexplode(F.array(*[F.col("fp").bitwiseAND(F.lit(m).cast("long")) for m in signed])).alias("list", "bytes"),
     )
-    # The same frame twice, so that Spark shuffles the index once.
-    met = posted.alias("a").join(posted.alias("b"), (F.col("a.list") == F.col("b.list")) & (F.col("a.bytes") == F.col("b.bytes")) & (F.col("a.fp") < F.col("b.fp")))
+    # The same frame twice, so that Spark shuffles the index once. Spark takes the lists for no larger than the fingerprints that
+    # they are exploded from, and would broadcast them: the hint says that neither side is small.
+    met = posted.alias("a").join(posted.alias("b").hint("merge"), (F.col("a.list") == F.col("b.list")) & (F.col("a.bytes") == F.col("b.bytes")) & (F.col("a.fp") < F.col("b.fp")))
     pairs = met.select(F.col("a.fp").alias("a"), F.col("b.fp").alias("b"), F.col("a.list").alias("list"))
     # The positional bytes that match, as a sum of powers of two, and their tally.
     match = sum(F.when(F.expr(f"shiftright(a ^ b, {8 * p}) & 255") == 0, F.lit(1 << p)).otherwise(F.lit(0)) for p in range(8))

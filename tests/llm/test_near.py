@@ -114,6 +114,22 @@ def test_index_is_shuffled_once(spark):
     assert len(lines) == 2 and sum("ReusedExchange" in x for x in lines) == 1
 
 
+def test_index_is_not_broadcast(spark, monkeypatch):
+    from recount.llm.common import written
+    from tests.conftest import plan_text
+
+    # Fingerprints of under the 10 MB that Spark broadcasts, of which 35 times as many list entries are made.
+    fps = written(spark.range(5000).selectExpr("xxhash64(id) AS fp"), "fps")
+    found = simhash.links(fps)
+    found.collect()
+    plan = plan_text(found)
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+    plans = []
+    monkeypatch.setattr(simhash, "connected_components", lambda links: plans.append(plan_text(links)) or connected_components(links))
+    simhash.op2_simhash(spark, SMALL)
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
+
+
 def test_fingerprints_beyond_a_chunk():
     rng = np.random.default_rng(2)
     for n in (simhash._CHUNK + 1, simhash._CHUNK + 2, simhash._CHUNK + 3, 2 * simhash._CHUNK + 700):
