@@ -3,8 +3,10 @@
 from collections import Counter
 
 import corpus_pipeline as cp
-from recount.llm import quality
+from recount.llm import quality, simhash
 from recount.llm.common import written
+from recount.llm.components import connected_components
+from tests.conftest import plan_text
 from tests.llm.conftest import SMALL
 from tests.llm.test_native import _deduped
 from tests.llm.test_near import _classes, _cut, _fingerprint
@@ -47,3 +49,11 @@ def test_stages_on_odd_and_empty_tables(spark, odd, none):
             docs = written(stage(spark, docs, SMALL), name)
             assert docs.columns == [*table.columns, "lang", "n_chars"]
         cp.STAGES[-1][1](spark, docs, SMALL).collect()
+
+
+def test_fingerprint_stage_broadcasts_no_index(spark, monkeypatch):
+    docs, plans = spark.read.parquet(f"{SMALL}/documents.parquet"), []
+    monkeypatch.setattr(simhash, "connected_components", lambda links: plans.append(plan_text(links)) or connected_components(links))
+    cp.simhash_stage(spark, docs, SMALL)
+    # The lists are exploded from fingerprints of a few MB: the fingerprints' size says nothing of theirs.
+    assert len(plans) == 1 and "SortMergeJoin" in plans[0] and "Broadcast" not in plans[0]
