@@ -449,6 +449,87 @@ def test_common_pairs():
         assert cw.common_pairs([(np.arange(30), c, s)], texts, 33) == want
 
 
+def test_pairs_linked_by_way_of_others(spark, monkeypatch):
+    """Texts of a group that hold one linked passage are not verified again for that passage, only for what else they may share."""
+    rng = np.random.default_rng(23)
+    pick = lambda n: ["".join(chr(97 + x) for x in rng.integers(0, 26, 6)) for _ in range(n)]
+    sentence, passage, other = pick(20), pick(70), pick(60)
+    rows = [(i, i, " ".join(pick(50) + sentence + pick(50) + passage + pick(10) + (other if i % 8 == 0 else [])).encode()) for i in range(1, 25)]
+    rows.append((25, 25, " ".join(passage + pick(10) + sentence + passage + passage).encode()))  # repeats itself: compared whole
+    texts = cw.stored_texts(spark.createDataFrame(rows, "__t1 long, __t2 int, __text binary"))
+    signed = spark.createDataFrame([(1, 0, 55 if i < 25 else 85, i, i) for i, *_ in rows], "sig long, extra long, place int, __t1 long, __t2 int")
+    links = [(1, 1, i, i, 120, 190, 120 if i < 25 else 100, 190 if i < 25 else 240, 1.0) for i in range(2, 26)]
+    links = spark.createDataFrame(links, "x1 long, x2 int, y1 long, y2 int, " + cw.LINKS)
+    for cell in (512, 5):
+        monkeypatch.setattr(cw, "CELL", cell)
+        pairs = sorted((r.a.t1, r.b.t1) for r in cw.unlinked_pairs(signed, links, texts).collect())
+        assert pairs == sorted([(8, 16), (8, 24), (16, 24)] + [(i, 25) for i in range(1, 25)])
+
+
+def test_common_pairs_by_class():
+    rng = np.random.default_rng(24)
+    for k in range(40):
+        texts = [rng.integers(0, (60, 400)[k % 2], int(rng.integers(0, 150))).astype(np.uint64) for _ in range(20)]
+        labels = [rng.integers(-1, (1, 3)[k % 3 > 0], len(x)) for x in texts]
+
+        def more(i, j):
+            there = [set(labels[j][texts[j] == t].tolist()) for t in texts[i]]
+            return sum(bool(at) and (at != {x} or x < 0) for at, x in zip(there, labels[i].tolist())) > 20
+
+        want = [(i, j) for i in range(20) for j in range(i + 1, 20) if more(i, j) and more(j, i)]
+        assert cw.common_pairs([(np.arange(20), np.arange(20), np.zeros(20, int))], texts, 20, labels) == want
+        assert len(cw.common_pairs([(np.arange(20), np.arange(20), np.zeros(20, int))], texts, 20)) >= len(want)
+
+
+def test_dense_pairs():
+    rng = np.random.default_rng(25)
+    least, kept = 20, 0
+    for k in range(30):
+        base = rng.integers(0, 1 << 40, 90)
+        texts, labels = [], []
+        for _ in range(12):
+            x = np.where(rng.random(90) < rng.choice([0.05, 0.2, 0.5]), rng.integers(0, 1 << 40, 90), base)
+            if k % 3 == 0:
+                x[rng.integers(0, 90, 12)] = x[5]
+            texts.append(x[rng.integers(0, 30) : 90 - rng.integers(0, 50)].astype(np.uint64))
+            labels.append(np.repeat(rng.integers(-1, 2, 9), 10)[: len(texts[-1])])
+        pairs = [(i, j) for i in range(12) for j in range(i + 1, 12)]
+        shares = [cw.shares(x, 0.8, least) for x in texts]
+        for of in (labels, [np.full(len(x), -1) for x in texts]):
+
+            def best(i, j):
+                there = [set(of[j][texts[j] == t].tolist()) for t in texts[i]]
+                hit = [bool(at) and (at != {x} or x < 0) for at, x in zip(there, of[i].tolist())]
+                return max([sum(hit[a:b]) / (b - a) for a in range(len(hit)) for b in range(a + least, len(hit) + 1)], default=-1) + 1e-6
+
+            def fits(i, j):
+                p, q = best(i, j), best(j, i)
+                return p >= shares[i][0] and q >= shares[j][0] and (p >= shares[i][1] or q >= shares[j][1])
+
+            want = [p for p in pairs if fits(*p)]
+            assert cw.dense_pairs(pairs, texts, shares, least, of) == want
+            kept += len(want)
+    assert 0 < kept < 30 * 2 * len(pairs) and cw.dense_pairs([], [], [], least) == []
+
+
+def test_no_similar_pair_is_left_out():
+    """Of texts that are not linked yet, every pair in which verification finds a passage is a candidate."""
+    rng = np.random.default_rng(26)
+    linked = 0
+    for k in range(60):
+        base = rng.integers(0, 1 << 40, 130).astype(np.uint64)
+        if k % 4 == 0:
+            base[rng.integers(0, 130, 40)] = base[rng.integers(0, 5, 40)]
+        texts = []
+        for _ in range(2):
+            x = np.where(rng.random(130) < rng.choice([0.02, 0.08, 0.15]), rng.integers(0, 1 << 40, 130).astype(np.uint64), base)
+            texts.append(np.concatenate((rng.integers(0, 1 << 40, 20).astype(np.uint64), x, rng.integers(0, 1 << 40, 20).astype(np.uint64))))
+        if cw.similar_passages(*texts):
+            linked += 1
+            assert cw.dense_pairs([(0, 1)], texts, [cw.shares(x, 0.8, 46) for x in texts], 46) == [(0, 1)]
+    assert linked > 20
+
+
 def test_tokens_of_odd_words():
     words = [b"", b"a", b"a\0", b"a\0\0", b"b" * 8, b"b" * 9, b"c" * 63, b"c" * 64, b"c" * 65, b"c" * 64 + b"d", b"\x85", b"\x1c", b"\xc3\xa9"]
     odd = [cw.tokens(w + b" x y\tz \x0bq\r\n") for w in words]
